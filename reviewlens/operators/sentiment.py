@@ -11,8 +11,9 @@ from ..functions.texts import clean_delete
 from ..session import freeze
 from .words import Splitter, split_runs
 
-# A model up to this many bytes is broadcast; a larger one is joined by a salted shuffle.
-BROADCAST_BYTES = 64 * 1024 * 1024
+# At most this many weights are broadcast, of tokens up to this many bytes: some 100 MB in memory.
+HOT_TOKENS = 500_000
+HOT_TOKEN_BYTES = 64
 SALTS = 16
 
 
@@ -35,11 +36,6 @@ def _mass(model: DataFrame) -> Column:
     return model.agg((F.log(positive) - F.log(negative)).alias("mass")).scalar()
 
 
-def _fits_broadcast(model: DataFrame) -> bool:
-    size = model.agg(F.sum(F.octet_length("token") + 64).alias("bytes")).first()["bytes"]
-    return (size or 0) <= BROADCAST_BYTES
-
-
 def score(
     df: DataFrame,
     model: DataFrame,
@@ -47,30 +43,48 @@ def score(
     text: str,
     keep: str = P.KEEP_MIXED,
     splitter: Splitter = split_runs,
-    broadcast: bool | None = None,
+    hot_tokens: int = HOT_TOKENS,
 ) -> DataFrame:
     """(id_col, probability): chance that a text is positive, 0.5 for a text that is empty once cleaned.
 
     NULL and '' are left out. A token seen in neither class weighs like one occurrence in both.
-    The join spreads each token over ``SALTS`` keys when the model is too large to broadcast, so a
-    word found in most texts does not land in one task.
+
+    The weights of the ``hot_tokens`` most frequent tokens are broadcast and summed where the texts
+    are read. When the model holds more, only the other tokens of a text are shuffled to their
+    weights, each token spread over ``SALTS`` keys in case a text table is full of one of them.
     """
     model = freeze(model)
     weights = model.where(F.col("n_pos") != F.col("n_neg")).select(
-        "token", (F.log(F.col("n_pos") + 1) - F.log(F.col("n_neg") + 1)).alias("weight")
+        "token", (F.log(F.col("n_pos") + 1) - F.log(F.col("n_neg") + 1)).alias("weight"),
+        (F.col("n_pos") + F.col("n_neg")).alias("n"),
     )
     words = df.where(F.length(text) > 0).select(
         id_col, F.explode_outer(splitter(clean_delete(F.col(text), keep))).alias("token")
     )
-    if _fits_broadcast(model) if broadcast is None else broadcast:
-        joined = words.join(F.broadcast(weights), "token", "left")
+    short = F.octet_length("token") <= HOT_TOKEN_BYTES
+    small = weights.agg((F.count(F.lit(1)) <= hot_tokens) & F.coalesce(F.every(short), F.lit(True))).first()[0]
+    if small:
+        hot = weights.select("token", "weight")
     else:
-        copies = weights.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        salted = words.withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-        joined = salted.join(copies, ["token", "salt"], "left")
-    sums = joined.groupBy(id_col).agg(F.count("token").alias("n_tokens"), F.sum("weight").alias("weight"))
+        hot = freeze(
+            weights.where(short).orderBy(F.desc("n"), "token").limit(hot_tokens).select("token", "weight")
+        )
+    sums = words.join(F.broadcast(hot), "token", "left").select(id_col, "token", "weight")
+    if not small:
+        cold = weights.join(F.broadcast(hot), "token", "left_anti").select(
+            "token", "weight", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        )
+        rare = (
+            words.join(F.broadcast(hot), "token", "left_anti")
+            .where(F.col("token").isNotNull())
+            .withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
+        )
+        found = rare.join(cold, ["token", "salt"])
+        # The tokens themselves were counted above, so these rows bring their weight only.
+        sums = sums.unionAll(found.select(id_col, F.lit(None).cast("string").alias("token"), "weight"))
+    totals = sums.groupBy(id_col).agg(F.count("token").alias("n_tokens"), F.sum("weight").alias("weight"))
     log_odds = (1 - F.col("n_tokens")) * _mass(model) + F.coalesce("weight", F.lit(0.0))
-    return sums.select(
+    return totals.select(
         id_col,
         F.when(F.col("n_tokens") == 0, F.lit(S.NEUTRAL_SCORE))
         .otherwise(1 / (1 + F.exp(-log_odds)))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import decade, parse_double
 
-N = F.count(F.lit(1)).alias("n")
+
+def row_count() -> Column:
+    return F.count(F.lit(1)).alias("n")
 
 
 def ranked(counts: DataFrame, top: int, *value: str) -> DataFrame:
@@ -28,7 +30,7 @@ def value_counts(df: DataFrame, col: str, top: int | None = None, exclude: Seque
     kept = df.where(F.col(col).isNotNull())
     if exclude:
         kept = kept.where(~F.col(col).isin(*exclude))
-    counts = kept.groupBy(col).agg(N)
+    counts = kept.groupBy(col).agg(row_count())
     return counts if top is None else ranked(counts, top, col)
 
 
@@ -57,7 +59,7 @@ def decade_counts(df: DataFrame, year: Column, earliest: int = 1900) -> DataFram
     return (
         df.where(parse_double(year) >= earliest)
         .groupBy(start.alias("decade"))
-        .agg(N)
+        .agg(row_count())
         .orderBy("decade")
     )
 
@@ -108,7 +110,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20) -> DataFrame:
         .when((value >= edge(guess + 1)) & (guess < bins - 1), guess + 1)
         .otherwise(guess)
     )
-    counts = df.where(F.col(col).isNotNull()).groupBy(bin_of.alias("bin")).agg(N)
+    counts = df.where(F.col(col).isNotNull()).groupBy(bin_of.alias("bin")).agg(row_count())
     spine = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     return spine.join(F.broadcast(counts), "bin", "left").select(
         "bin",
@@ -124,7 +126,7 @@ def kde(df: DataFrame, col: str, points: int = 200, bins: int = 20) -> DataFrame
     Equal values are counted first. Every task then folds its values into ``points`` sums, so the
     shuffle carries ``points`` rows per task. y is NULL where all values are the same.
     """
-    values = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(N)
+    values = df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("v")).agg(row_count())
     facts = df.agg(
         F.struct(
             F.count(col).cast("double").alias("n"),
@@ -248,7 +250,7 @@ def trend_bootstrap(
 
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, n), one aggregate per named frame."""
-    rows = [df.agg(F.lit(name).alias("stage"), N) for name, df in stages.items()]
+    rows = [df.agg(F.lit(name).alias("stage"), row_count()) for name, df in stages.items()]
     out = rows[0]
     for row in rows[1:]:
         out = out.unionAll(row)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,8 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.texts import clean_delete
-from ..session import send_by_value
-from .stats import ranked, value_counts
+from ..session import freeze, send_by_value
+from .stats import ranked, row_count, value_counts
 
 send_by_value(__name__)
 
@@ -50,18 +51,23 @@ def longest_matches(run: str, words: frozenset[str], longest: int) -> list[str]:
 
 
 def dictionary_splitter(df: DataFrame, dictionary: Iterable[str]) -> Splitter:
-    """Splitter by forward longest match; the words are sent to each executor once."""
+    """Splitter by forward longest match; the words are sent to each executor once.
+
+    A text goes to Python and back as one string with a space between tokens, which costs Arrow far
+    less than arrays do.
+    """
     words = frozenset(w for w in dictionary if w)
     if sum(len(w.encode()) for w in words) > MAX_DICTIONARY_BYTES:
         raise ValueError(f"dictionary is over {MAX_DICTIONARY_BYTES} bytes")
     shared = df.sparkSession.sparkContext.broadcast((words, max(map(len, words), default=1)))
 
-    @F.pandas_udf("array<string>")
-    def cut(runs: pd.Series) -> pd.Series:
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
         known, longest = shared.value
-        return runs.map(lambda parts: [w for run in parts for w in longest_matches(run, known, longest)])
+        split = lru_cache(maxsize=100_000)(lambda run: " ".join(longest_matches(run, known, longest)))
+        return texts.map(lambda text: " ".join(map(split, text.split(" "))), na_action="ignore")
 
-    return lambda text: cut(split_runs(text))
+    return lambda text: F.split(cut(F.array_join(split_runs(text), " ")), " ")
 
 
 def tokens(
@@ -98,62 +104,73 @@ def term_weights(df: DataFrame, col: str, top: int = 300, **options) -> DataFram
     return _weighted(keywords(df, col, top, **options))
 
 
-def pairs(
-    df: DataFrame,
-    col: str,
-    keep: str = P.KEEP_MIXED,
-    stop: Sequence[str] = (),
-    min_len: int = 2,
-    splitter: Splitter = split_runs,
-) -> DataFrame:
-    """(first, second) for tokens next to each other once stop words and short tokens are out."""
-    words = splitter(clean_delete(F.col(col), keep))
+def _neighbours(words: Column) -> Column:
+    """Array of (first, second) for each pair of adjacent elements."""
+    inner = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.arrays_zip(
+        F.slice(words, F.lit(1), inner).alias("first"), F.slice(words, F.lit(2), inner).alias("second")
+    )
+
+
+def kept_words(
+    col: str, keep: str = P.KEEP_MIXED, stop: Sequence[str] = (), min_len: int = 2, splitter: Splitter = split_runs
+) -> Column:
+    """Array of a text's tokens without stop words and short tokens."""
 
     def wanted(word: Column) -> Column:
         long_enough = F.length(word) >= min_len
         return long_enough & ~word.isin(*stop) if stop else long_enough
 
-    held = df.select(F.filter(words, wanted).alias("w")).where(F.size("w") > 1)
-    inner = F.size("w") - 1
-    zipped = F.arrays_zip(
-        F.slice("w", F.lit(1), inner).alias("first"), F.slice("w", F.lit(2), inner).alias("second")
-    )
-    return held.select(F.inline(zipped))
+    return F.filter(splitter(clean_delete(F.col(col), keep)), wanted)
 
 
 def term_bigrams(df: DataFrame, col: str, top: int = 300, **options) -> DataFrame:
-    """(rank, first, second, n, weight): the most frequent neighbours."""
-    counts = pairs(df, col, **options).groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
+    """(rank, first, second, n, weight): the most frequent neighbours, stop words already out."""
+    words = df.select(kept_words(col, **options).alias("w"))
+    counts = words.select(F.inline(_neighbours(F.col("w")))).groupBy("first", "second").agg(row_count())
     return _weighted(ranked(counts, top, "first", "second"))
 
 
+def term_counts(df: DataFrame, col: str, **options) -> DataFrame:
+    """(first, second, n): counts of tokens (``second`` is NULL) and of neighbours, from one pass.
+
+    Frozen, as its users read it several times and it is far smaller than the texts.
+    """
+    words = df.select(kept_words(col, **options).alias("w"))
+    single = F.transform("w", lambda x: F.struct(x.alias("first"), F.lit(None).cast("string").alias("second")))
+    both = words.select(F.inline(F.concat(single, _neighbours(F.col("w")))))
+    return freeze(both.groupBy("first", "second").agg(row_count()))
+
+
 def _log_likelihood(k: Column, n: Column, x: Column) -> Column:
     """Logarithm of x^k (1-x)^(n-k), x kept inside (0, 1)."""
     bounded = F.greatest(x, F.lit(1e-10))
     return F.log(bounded) * k + F.log(F.greatest(1 - x, F.lit(1e-10))) * (n - k)
 
 
-def collocations(df: DataFrame, col: str, threshold: float = 30, **options) -> DataFrame:
-    """(first, second, n, score) for neighbours that meet more often than chance.
+def collocations(counts: DataFrame, threshold: float = 30) -> DataFrame:
+    """(first, second, n, score) for neighbours in ``term_counts`` that meet more often than chance.
 
     The score is Dunning's likelihood ratio; pairs at or below ``threshold`` are left out.
     """
-    words = tokens(df, col, **options).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    words = counts.where(F.col("second").isNull()).select(F.col("first").alias("token"), F.col("n").alias("c"))
     total = words.agg(F.sum("c").cast("double")).scalar()
-    counts = pairs(df, col, **options).groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"))
-    joined = counts.join(words.select(F.col("token").alias("first"), F.col("c").alias("c1")), "first").join(
-        words.select(F.col("token").alias("second"), F.col("c").alias("c2")), "second"
+    joined = (
+        counts.where(F.col("second").isNotNull())
+        .join(words.select(F.col("token").alias("first"), F.col("c").alias("c1")), "first")
+        .join(words.select(F.col("token").alias("second"), F.col("c").alias("c2")), "second")
+        .withColumn("total", total)
     )
-    with_total = joined.withColumn("total", total)
     n12, c1, c2, t = (F.col(c).cast("double") for c in ("n", "c1", "c2", "total"))
-    p, p1, p2 = c2 / t, n12 / c1, F.try_divide(c2 - n12, t - c1)
+    # A text of one distinct word leaves nothing outside c1; the pair is then expected anyway.
+    p, p1, p2 = c2 / t, n12 / c1, F.coalesce(F.try_divide(c2 - n12, t - c1), F.lit(0.0))
     score = -2 * (
         _log_likelihood(n12, c1, p)
         + _log_likelihood(c2 - n12, t - c1, p)
         - _log_likelihood(n12, c1, p1)
         - _log_likelihood(c2 - n12, t - c1, p2)
     )
-    return with_total.select("first", "second", "n", score.alias("score")).where(F.col("score") > threshold)
+    return joined.select("first", "second", "n", score.alias("score")).where(F.col("score") > threshold)
 
 
 def cloud_terms(df: DataFrame, col: str, top: int = 300, threshold: float = 30, **options) -> DataFrame:
@@ -161,9 +178,17 @@ def cloud_terms(df: DataFrame, col: str, top: int = 300, threshold: float = 30,
 
     A collocation counts as a term of its own and its occurrences no longer count for its two words.
     """
-    found = collocations(df, col, threshold, **options)
-    used = found.select(F.explode(F.array("first", "second")).alias("term"), (-F.col("n")).alias("n"))
-    words = tokens(df, col, **options).groupBy(F.col("token").alias("term")).agg(F.count(F.lit(1)).alias("n"))
-    joint = found.select(F.concat_ws(" ", "first", "second").alias("term"), "n")
-    counts = words.unionAll(used).unionAll(joint).groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") > 0)
-    return _weighted(ranked(counts, top, "term"))
+    counts = term_counts(df, col, **options)
+    # Each found pair gives three rows at once: itself, and what its words lose.
+    found = collocations(counts, threshold).select(
+        F.explode(
+            F.array(
+                F.struct(F.concat_ws(" ", "first", "second").alias("term"), F.col("n").alias("n")),
+                F.struct(F.col("first").alias("term"), (-F.col("n")).alias("n")),
+                F.struct(F.col("second").alias("term"), (-F.col("n")).alias("n")),
+            )
+        ).alias("t")
+    )
+    words = counts.where(F.col("second").isNull()).select(F.col("first").alias("term"), "n")
+    merged = words.unionAll(found.select("t.term", "t.n")).groupBy("term").agg(F.sum("n").alias("n"))
+    return _weighted(ranked(merged.where(F.col("n") > 0), top, "term"))

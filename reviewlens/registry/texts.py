@@ -91,7 +91,8 @@ found AS (SELECT * FROM s WHERE score > 30)
 
 @query(f"WITH {COLLOCATIONS} SELECT first, second, n, round(score, 4) AS score FROM found")
 def collocations(spark, sf):
-    return words.collocations(_docs(spark, sf), "text", 30, **OPTIONS).withColumn("score", F.round("score", 4))
+    counts = words.term_counts(_docs(spark, sf), "text", **OPTIONS)
+    return words.collocations(counts, 30).withColumn("score", F.round("score", 4))
 
 
 @query(
@@ -190,9 +191,9 @@ def sentiment_score(spark, sf):
 
 
 @query(f"WITH {SCORED} SELECT doc_id, sentiment, score FROM scored")
-def sentiment_score_salted(spark, sf):
-    """The join used for a model that is too large to broadcast."""
-    return _scored(spark, sf, broadcast=False).drop("probability")
+def sentiment_score_split(spark, sf):
+    """The plan for a model too large to broadcast: frequent tokens broadcast, the others shuffled."""
+    return _scored(spark, sf, hot_tokens=1000).drop("probability")
 
 
 @query(

@@ -3,7 +3,7 @@
 Keyed results are kept as one folder per micro-batch and resolved on reading. A replayed batch
 overwrites its own folder, so the sinks are idempotent; no batch rewrites what earlier ones wrote;
 and a key with a large share of the rows is cut down in every map task by the same per-key limits
-as in batch. ``compact`` folds the folders together.
+as in batch. ``compact`` folds the folders into one.
 """
 
 from __future__ import annotations
@@ -111,9 +111,12 @@ def read_accumulated(
     return accumulate_pages(spark.read.parquet(target).drop(BATCH), keys, page, order_by, cap, max_pages)
 
 
-def compact(spark: SparkSession, table: DataFrame, target: str) -> None:
-    """Write the resolved ``table`` to ``target`` as its first batch."""
-    _store(table, target, 0)
+def compact(table: DataFrame, new_target: str) -> None:
+    """Write the resolved ``table`` to a new folder, as a batch before all others.
+
+    A stream stopped before and started again on ``new_target`` with its old checkpoint goes on there.
+    """
+    _store(table, new_target, -1)
 
 
 def dedup_stream(
