@@ -10,23 +10,28 @@ from . import patterns as P
 
 def strip(col: Column) -> Column:
     """Without leading and trailing Unicode white space."""
-    return F.regexp_replace(col, P.STRIP, "")
+    return F.btrim(col, F.lit(P.SPACE_CHARS))
 
 
 def collapse(col: Column) -> Column:
     """Each run of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(col, P.SPACES, " "))
+    return F.trim(F.regexp_replace(col, P.UNEVEN_SPACE, " "))
+
+
+def delete_other(col: Column, keep: str) -> Column:
+    """Without what is neither in ``keep`` nor white space; NULL becomes ''."""
+    return F.regexp_replace(F.coalesce(col, F.lit("")), f"(?U:[^{keep}{P.SPACE}]+)", "")
 
 
 def clean_delete(col: Column, keep: str = P.KEEP_MIXED) -> Column:
-    """Delete what is neither in ``keep`` nor white space; NULL becomes ''."""
-    kept = F.regexp_replace(F.coalesce(col, F.lit("")), f"[^{keep}{P.SPACE}]", "")
-    return collapse(kept)
+    """As ``delete_other``, with white space collapsed."""
+    return collapse(delete_other(col, keep))
 
 
 def clean_space(col: Column, keep: str = P.KEEP_CJK) -> Column:
     """Turn every run of characters outside ``keep`` into one space; NULL becomes ''."""
-    return F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), f"[^{keep}]+", " "))
+    # A single space is right already and is not matched.
+    return F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), f"[^{keep}]{{2,}}|[^{keep} ]", " "))
 
 
 def or_default(col: Column, default: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions import patterns as P
-from ..functions.texts import clean_delete
+from ..functions.texts import delete_other
 from ..session import freeze
 from .words import Splitter, split_runs
 
@@ -22,7 +22,7 @@ def fit_nb(
 ) -> DataFrame:
     """(token, n_pos, n_neg): how often a token occurs in texts labelled 1 and in texts labelled 0."""
     words = labelled.where(F.col(label).isin(0, 1)).select(
-        F.col(label).alias("label"), F.explode(splitter(clean_delete(F.col(text), keep))).alias("token")
+        F.col(label).alias("label"), F.explode(splitter(delete_other(F.col(text), keep))).alias("token")
     )
     return words.groupBy("token").agg(
         F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if(F.col("label") == 0).alias("n_neg")
@@ -59,7 +59,7 @@ def score(
         (F.col("n_pos") + F.col("n_neg")).alias("n"),
     )
     words = df.where(F.length(text) > 0).select(
-        id_col, F.explode_outer(splitter(clean_delete(F.col(text), keep))).alias("token")
+        id_col, F.explode_outer(splitter(delete_other(F.col(text), keep))).alias("token")
     )
     short = F.octet_length("token") <= HOT_TOKEN_BYTES
     small = weights.agg((F.count(F.lit(1)) <= hot_tokens) & F.coalesce(F.every(short), F.lit(True))).first()[0]

@@ -220,6 +220,8 @@ def trend_bootstrap(
             F.max("x").alias("hi"),
         )
     )
+    # The sums are few but their replicates are not, so they are dealt out to all cores.
+    moments = moments.repartition(spark.sparkContext.defaultParallelism)
     draw = F.concat_ws(":", F.lit(str(seed)), F.col("block").cast("string"), F.col("rep").cast("string"))
     drawn = moments.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps))).alias("rep"))
     # Replicate 0 weighs every block once: it is the line itself.

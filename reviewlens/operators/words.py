@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.texts import clean_delete
+from ..functions.texts import delete_other
 from ..session import freeze, send_by_value
 from .stats import ranked, row_count, value_counts
 
@@ -25,7 +25,7 @@ Splitter = Callable[[Column], Column]
 
 def split_runs(text: Column) -> Column:
     """Runs of Chinese characters and runs of other characters."""
-    return F.regexp_extract_all(text, F.lit(f"[{P.CJK}]+|[^{P.CJK}{P.SPACE}]+"), 0)
+    return F.regexp_extract_all(text, F.lit(P.RUN), 0)
 
 
 def split_pairs(text: Column) -> Column:
@@ -80,7 +80,7 @@ def tokens(
     splitter: Splitter = split_runs,
 ) -> DataFrame:
     """(ids, token), one row per token of the cleaned text; stop words and short tokens left out."""
-    cut = df.select(*ids, F.explode(splitter(clean_delete(F.col(col), keep))).alias("token"))
+    cut = df.select(*ids, F.explode(splitter(delete_other(F.col(col), keep))).alias("token"))
     kept = cut.where(F.length("token") >= min_len)
     return kept.where(~F.col("token").isin(*stop)) if stop else kept
 
@@ -121,7 +121,7 @@ def kept_words(
         long_enough = F.length(word) >= min_len
         return long_enough & ~word.isin(*stop) if stop else long_enough
 
-    return F.filter(splitter(clean_delete(F.col(col), keep)), wanted)
+    return F.filter(splitter(delete_other(F.col(col), keep)), wanted)
 
 
 def term_bigrams(df: DataFrame, col: str, top: int = 300, **options) -> DataFrame:

@@ -65,24 +65,29 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(MOVIES, part=table(spark, sf_dir, "part"))
 
 
-# Fragments of DuckDB SQL.
+# Fragments of DuckDB SQL. Its regular expressions want white space spelled out.
+SPACE = (
+    r"\t\n\x{000B}\f\r \x{001C}-\x{001F}\x{0085}\x{00A0}\x{1680}"
+    r"\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
+WORD = f"[^{SPACE}]+"
 SQL_MOVIES = MOVIES.format(part="part")
 
 
 def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '{P.STRIP}', '', 'g')"
+    return f"regexp_replace({x}, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')"
 
 
 def sql_collapse(x: str) -> str:
-    return f"trim(regexp_replace({x}, '{P.SPACES}', ' ', 'g'), ' ')"
+    return f"trim(regexp_replace({x}, '[{SPACE}]+', ' ', 'g'), ' ')"
 
 
 def sql_clean(x: str, keep: str) -> str:
-    return sql_collapse(f"regexp_replace(coalesce({x}, ''), '[^{keep}{P.SPACE}]', '', 'g')")
+    return sql_collapse(f"regexp_replace(coalesce({x}, ''), '[^{keep}{SPACE}]', '', 'g')")
 
 
 def sql_runs(x: str) -> str:
-    return f"regexp_extract_all({x}, '[{P.CJK}]+|[^{P.CJK}{P.SPACE}]+')"
+    return f"regexp_extract_all({x}, '[{P.CJK}]+|[^{P.CJK}{SPACE}]+')"
 
 
 def sql_number(x: str) -> str:

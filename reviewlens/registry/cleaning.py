@@ -10,7 +10,8 @@ from ..functions import patterns as P
 from ..functions import texts as X
 from ..operators import clean, validate
 from ..plans.catalogue import clean_movies
-from .base import SQL_MOVIES, movies, query, sql_clean, sql_collapse, sql_number, sql_strip, table
+from ..session import spread
+from .base import SQL_MOVIES, WORD, movies, query, sql_clean, sql_collapse, sql_number, sql_strip, table
 
 D = S.MOVIE_DEFAULTS
 
@@ -189,7 +190,9 @@ def safe_name(spark, sf):
 
 @query(f"SELECT doc_id, {sql_clean('text', P.KEEP_LATIN)} AS cleaned FROM documents")
 def clean_text_delete(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.clean_delete(F.col("text"), P.KEEP_LATIN).alias("cleaned"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", X.clean_delete(F.col("text"), P.KEEP_LATIN).alias("cleaned")
+    )
 
 
 LATIN_LETTERS = r"a-zA-Z\x{00C0}-\x{024F}"
@@ -200,7 +203,9 @@ LATIN_LETTERS = r"a-zA-Z\x{00C0}-\x{024F}"
 FROM documents"""
 )
 def clean_text_space(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", X.clean_space(F.col("text"), LATIN_LETTERS).alias("cleaned"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id", X.clean_space(F.col("text"), LATIN_LETTERS).alias("cleaned")
+    )
 
 
 # Field extraction from the two-line info text.
@@ -215,7 +220,7 @@ DIRECTOR_PART = (
 ACTOR_PART = f"(CASE WHEN contains({LINE1}, '主演:') THEN " + sql_strip(f"split_part({LINE1}, '主演:', 2)") + " END)"
 DIRECTOR = (
     f"coalesce(nullif(regexp_extract({DIRECTOR_PART}, '({P.CJK_NAME})', 1), ''), "
-    f"nullif(regexp_extract({DIRECTOR_PART}, '({P.WORD})', 1), ''), '{D['director']}')"
+    f"nullif(regexp_extract({DIRECTOR_PART}, '({WORD})', 1), ''), '{D['director']}')"
 )
 ACTORS = (
     f"coalesce(nullif(array_to_string((regexp_extract_all({ACTOR_PART}, '{P.CJK_NAME}'))[1:3], '、'), ''), "

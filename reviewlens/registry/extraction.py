@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import markup, names
 from ..operators.extract import explode_blocks, pick, step
 from ..plans import catalogue
+from ..session import spread
 from .base import query, sql_strip, table
 
 
@@ -78,7 +79,7 @@ def html_items(spark, sf):
 def html_items_parsed(spark, sf):
     """The same blocks by the parser for irregular pages."""
     fields = {"href": pick("a", attr="href"), "label": pick("a")}
-    return explode_blocks(table(spark, sf, "pages"), step("li"), fields)
+    return explode_blocks(spread(table(spark, sf, "pages")), step("li"), fields)
 
 
 ITEMS_ALL = "regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)', 1)"
@@ -166,7 +167,7 @@ SELECT p_partkey, 2, 0, '<No> rank', 0.0, 0, '', '无经典台词', '', 'rank_nu
 """
 )
 def movie_pages(spark, sf):
-    parsed = catalogue.parse_movies(_list_pages(spark, sf))
+    parsed = catalogue.parse_movies(spread(_list_pages(spark, sf)))
     return parsed.drop("url", "poster_url", "poster_name")
 
 
@@ -182,7 +183,7 @@ FROM part
 """
 )
 def item_pages(spark, sf):
-    return catalogue.parse_items(_list_pages(spark, sf)).drop("url")
+    return catalogue.parse_items(spread(_list_pages(spark, sf))).drop("url")
 
 
 @query(
@@ -205,7 +206,7 @@ def detail_pages(spark, sf):
     pages = table(spark, sf, "part").select(
         F.concat(F.lit("https://movies.example.com/subject/"), n).alias("url"), html.alias("html")
     )
-    return catalogue.parse_details(pages)
+    return catalogue.parse_details(spread(pages))
 
 
 @query(
@@ -234,4 +235,4 @@ def review_pages(spark, sf):
         F.lit('</span></div><div class="comment-item"><span class="short"> </span></div>'),
     )
     pages = table(spark, sf, "conversations").select("conv_id", "turn", html.alias("html"))
-    return catalogue.parse_reviews(pages, keep=("conv_id", "turn"))
+    return catalogue.parse_reviews(spread(pages), keep=("conv_id", "turn"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions import patterns as P
 from ..operators import sentiment, words
+from ..session import spread
 from .base import query, sql_clean, sql_list, sql_runs, table
 
 STOP = [
@@ -21,7 +22,7 @@ OPTIONS = {"keep": P.KEEP_LATIN, "stop": STOP}
 
 
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 @query(

@@ -56,6 +56,12 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt out to all cores when its files give it to fewer tasks; others as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def send_by_value(module: str) -> None:
     """Let the functions of ``module`` travel with a task, so workers need no copy of the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
