@@ -50,13 +50,14 @@ def review_url(link: Column) -> Column:
 
 
 def absolute_url(base: Column, link: Column) -> Column:
-    """``link`` seen from page ``base``: absolute, rooted, query-only or relative."""
+    """``link`` seen from page ``base``: empty, absolute, rooted, query-only or relative."""
     site = F.regexp_extract(base, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     folder = F.regexp_extract(page, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/]*.*/)", 1)
     has_folder = page.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*/")
     return (
-        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+        F.when(link == "", base)
+        .when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
         .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([^:]*:)", 1), link))
         .when(link.startswith("/"), F.concat(site, link))
         .when(link.startswith("?"), F.concat(page, link))

@@ -9,11 +9,9 @@ SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
+SPACES = f"(?U:[{SPACE}]+)"
 ANY_SPACE = f"(?U:[{SPACE}]*)"
 WORD = f"(?U:[^{SPACE}]+)"
-# A run of white space that is not one plain space already.
-UNEVEN_SPACE = f"(?U:[{SPACE}]{{2,}}|[{SPACE}&&[^ ]])"
-
 # Chinese characters, and names that may hold a middle dot.
 CJK = r"\x{4e00}-\x{9fa5}"
 CJK_NAME = f"[{CJK}·]+"

@@ -206,10 +206,11 @@ def trend_bootstrap(
     """
     spark = df.sparkSession
     block = F.floor(hash_uniform(F.concat(F.lit("block:"), unit)) * blocks).cast("int")
-    pairs = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), block.alias("block"))
+    pairs = df.dropna(subset=[x, y]).select(
+        F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), block.alias("block")
+    )
     moments = (
-        pairs.dropna()
-        .groupBy("block")
+        pairs.groupBy("block")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.sum("x").alias("sx"),
@@ -224,10 +225,12 @@ def trend_bootstrap(
     moments = moments.repartition(spark.sparkContext.defaultParallelism)
     draw = F.concat_ws(":", F.lit(str(seed)), F.col("block").cast("string"), F.col("rep").cast("string"))
     drawn = moments.select("*", F.explode(F.sequence(F.lit(0), F.lit(reps))).alias("rep"))
-    # Replicate 0 weighs every block once: it is the line itself.
-    w = F.when(F.col("rep") == 0, F.lit(1)).otherwise(poisson_weight(hash_uniform(draw)))
+    # A column of its own, as the weight looks at it many times. Replicate 0 is the line itself.
+    drawn = drawn.withColumn("u", hash_uniform(draw)).withColumn(
+        "w", F.when(F.col("rep") == 0, F.lit(1)).otherwise(poisson_weight(F.col("u")))
+    )
     sums = drawn.groupBy("rep").agg(
-        *[F.sum(w * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")],
+        *[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "sxy")],
         F.min("lo").alias("lo"),
         F.max("hi").alias("hi"),
     )

@@ -195,16 +195,16 @@ def clean_text_delete(spark, sf):
     )
 
 
-LATIN_LETTERS = r"a-zA-Z\x{00C0}-\x{024F}"
+LETTERS = r"\p{L}"
 
 
 @query(
-    f"""SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[^{LATIN_LETTERS}]+', ' ', 'g'), ' ') AS cleaned
+    f"""SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '[^{LETTERS}]+', ' ', 'g'), ' ') AS cleaned
 FROM documents"""
 )
 def clean_text_space(spark, sf):
     return spread(table(spark, sf, "documents").select("doc_id", "text")).select(
-        "doc_id", X.clean_space(F.col("text"), LATIN_LETTERS).alias("cleaned")
+        "doc_id", X.clean_space(F.col("text"), LETTERS).alias("cleaned")
     )
 
 

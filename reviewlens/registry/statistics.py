@@ -72,7 +72,7 @@ WHERE year(o_orderdate) >= 1900 GROUP BY ALL
 """
 )
 def decade_counts(spark, sf):
-    return stats.decade_counts(table(spark, sf, "orders"), F.date_format("o_orderdate", "yyyy"))
+    return stats.decade_counts(table(spark, sf, "orders"), F.year("o_orderdate").cast("string"))
 
 
 @query(
