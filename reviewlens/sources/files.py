@@ -17,7 +17,10 @@ CSV_MISSING = [
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; a byte-order mark and line breaks inside quotes are understood."""
+    """CSV with a header; a byte-order mark and line breaks inside quotes are understood.
+
+    The format has one spelling for NULL and '', which is read as NULL.
+    """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 

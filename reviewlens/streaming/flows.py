@@ -25,12 +25,12 @@ BATCH = "batch_id"
 def file_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", max_files: int | None = None
 ) -> DataFrame:
-    """New files below a folder, or one file, as a stream."""
+    """New files below a folder or matching a pattern, or one file, as a stream."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    # As a pattern the path may name a folder or a single file.
-    return reader.load(f"{path[:-1]}[{path[-1]}]")
+    # A stream takes a single file only as a pattern; this one stands for the path itself.
+    return reader.load(path if any(c in path for c in "*?[{") else f"{path[:-1]}[{path[-1]}]")
 
 
 def _run(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
