@@ -1,31 +1,26 @@
-"""Clean a movie file, relate its reviews, write tables and reports.
+"""Programs over movie files, item files and run reports.
 
-    python -m reviewlens --movies raw.json --reviews reviews.json --out folder
+    python -m reviewlens movies --movies raw.json --reviews reviews.json --out folder
+    python -m reviewlens items --source folder-of-json-lines --out folder
+    python -m reviewlens compare --runs runs.json --baseline a --candidate b --out folder
 """
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas as S
 from .operators import relate, validate
-from .plans import catalogue
+from .operators.compare import run_comparison
+from .plans import catalogue, items
 from .session import build_session
 from .sources import files, sinks
 
 
-def main(argv: list[str] | None = None) -> int:
-    args = argparse.ArgumentParser(prog="reviewlens", description=__doc__)
-    args.add_argument("--movies", required=True, help="raw movies, .json or .csv")
-    args.add_argument("--reviews", help="reviews, .json or .csv")
-    args.add_argument("--labelled", help="Parquet table (text, label) to learn sentiment from")
-    args.add_argument("--lines", action="store_true", help="JSON files hold one record per line")
-    args.add_argument("--out", required=True)
-    opts = args.parse_args(argv)
-    spark = build_session()
-
+def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
     raw = files.load_raw(spark, opts.movies, S.RAW_MOVIES, opts.lines)
     movies = catalogue.clean_movies(raw).persist()
     if movies.isEmpty():
@@ -43,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
         "nulls_before": validate.null_report(raw),
         "nulls_after": validate.null_report(movies),
         "constraints": validate.constraint_report(movies, S.MOVIE_LIMITS, S.MOVIE_NOT_NULL),
+        "duplicate_ranks": relate.unique_violations(movies, ["rank_num"]),
         **catalogue.movie_reports(movies),
     }
     if opts.reviews:
@@ -59,5 +55,44 @@ def main(argv: list[str] | None = None) -> int:
     return 0
 
 
+def _items(spark: SparkSession, opts: argparse.Namespace) -> int:
+    items.store_items(items.item_stream(spark, opts.source), opts.out).awaitTermination()
+    movies, comments = items.read_items(spark, opts.out)
+    movies.write.mode("overwrite").parquet(f"{opts.out}/movies")
+    comments.write.mode("overwrite").parquet(f"{opts.out}/comments")
+    return 0
+
+
+def _compare(spark: SparkSession, opts: argparse.Namespace) -> int:
+    runs = files.read_json(spark, opts.runs, S.RUNS)
+    report = run_comparison(runs, opts.baseline, opts.candidate, opts.limit)
+    sinks.write_json(report, f"{opts.out}/comparison")
+    return 0
+
+
+def main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(prog="reviewlens", description=__doc__)
+    programs = parser.add_subparsers(dest="program", required=True)
+    args = programs.add_parser("movies", help="clean movies, relate reviews, write tables and reports")
+    args.add_argument("--movies", required=True, help="raw movies, .json or .csv")
+    args.add_argument("--reviews", help="reviews, .json or .csv")
+    args.add_argument("--labelled", help="Parquet table (text, label) to learn sentiment from")
+    args.add_argument("--lines", action="store_true", help="JSON files hold one record per line")
+    args.set_defaults(run=_movies)
+    args = programs.add_parser("items", help="store new item files by link and export them")
+    args.add_argument("--source", required=True, help="folder of JSON Lines files")
+    args.set_defaults(run=_items)
+    args = programs.add_parser("compare", help="compare two collection runs")
+    args.add_argument("--runs", required=True, help="JSON Lines file of runs")
+    args.add_argument("--baseline", required=True)
+    args.add_argument("--candidate", required=True)
+    args.add_argument("--limit", type=int, default=10, help="records each run was to collect")
+    args.set_defaults(run=_compare)
+    for sub in programs.choices.values():
+        sub.add_argument("--out", required=True)
+    opts = parser.parse_args(argv)
+    return opts.run(build_session(), opts)
+
+
 if __name__ == "__main__":
     raise SystemExit(main())

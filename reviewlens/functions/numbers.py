@@ -49,3 +49,9 @@ def decimal_or_zero(col: Column) -> Column:
 def decade(year: Column) -> Column:
     """1994 → 1990; text that is no number gives NULL."""
     return (F.floor(parse_double(year) / 10) * 10).cast("int")
+
+
+def fixed_text(value: Column, digits: int, unit: str = "") -> Column:
+    """A number as text with a fixed number of places, for reports: ``66.7%``."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.concat(F.call_function("format_number", value, F.lit(pattern)), F.lit(unit))

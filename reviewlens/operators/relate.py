@@ -103,7 +103,7 @@ def with_row_id(df: DataFrame, order_by: Sequence[str], name: str = "id") -> Dat
 def override(base: DataFrame, detail: DataFrame, on: str, cols: Sequence[str], missing: str | None = "") -> DataFrame:
     """``base`` with ``cols`` taken from ``detail``; where a detail row lacks a value: ``missing``.
 
-    With ``missing=None`` the value of ``base`` stays instead.
+    With ``missing=None`` the value of ``base`` stays instead. ``detail`` has one row per key.
     """
     picked = detail.select(on, *[F.col(c).alias(f"__{c}") for c in cols])
     joined = base.join(picked, on, "left")

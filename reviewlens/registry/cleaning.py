@@ -79,9 +79,9 @@ def drop_missing(spark, sf):
     return clean.drop_missing(_labelled(spark, sf), ["quality", "toxic"]).select("doc_id", "lang", "quality", "toxic")
 
 
-@query("SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice >= 920 AND p_retailprice <= 960")
+@query("SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice >= 905 AND p_retailprice <= 960")
 def range_filter(spark, sf):
-    return clean.in_range(table(spark, sf, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 920, 960)
+    return clean.in_range(table(spark, sf, "part").select("p_partkey", "p_retailprice"), "p_retailprice", 905, 960)
 
 
 RANK_SQL = "(CASE WHEN regexp_matches(coalesce(rank_num, ''), '^[0-9]+$') THEN CAST(rank_num AS BIGINT) ELSE 0 END)"

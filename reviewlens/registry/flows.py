@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..plans import items
 from ..session import scratch_dir
 from ..sources import sinks
 from ..streaming import flows
@@ -65,3 +66,39 @@ def stream_validation(spark, sf):
     out = checked.select("event_id", "value", F.array_join("flags", ",").alias("flags"))
     flows.to_files(out, f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/out")
+
+
+@query(
+    """
+WITH i AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)', 1) AS title,
+  len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*')) AS n FROM pages),
+k AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM i)
+SELECT row_number() OVER (ORDER BY url) AS id, url AS detail_link, CAST(page_id AS VARCHAR) AS rank,
+  CASE WHEN n % 2 = 0 THEN 'missing:title_cn' ELSE '' END AS flags, n AS comments
+FROM k WHERE rn = 1
+"""
+)
+def item_flow(spark, sf):
+    """Nested items as a stream: flagged, upserted by link, exported, split into movies and reviews."""
+    root = scratch_dir(spark, "items")
+    links = F.transform(
+        F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'), 1),
+        lambda x: F.struct(
+            x.alias("author"), F.lit("").alias("score"), F.lit("").alias("time"), F.lit("text").alias("content")
+        ),
+    )
+    page = table(spark, sf, "pages").select(
+        F.col("page_id").cast("string").alias("rank"),
+        F.when(F.size(links) % 2 != 0, F.regexp_extract("html", "<title>([^<]*)", 1)).alias("title_cn"),
+        F.lit("9.5").alias("rating"),
+        F.col("url").alias("detail_link"),
+        F.lpad(F.col("page_id").cast("string"), 20, "0").alias("crawled_at"),
+        links.alias("hot_comments"),
+    )
+    sinks.write_json(page, f"{root}/in")
+    items.store_items(items.item_stream(spark, f"{root}/in"), f"{root}/out").awaitTermination()
+    movies, comments = items.read_items(spark, f"{root}/out")
+    counts = comments.groupBy(F.col("movie_id").alias("id")).agg(F.count(F.lit(1)).alias("comments"))
+    return movies.join(counts, "id", "left").select(
+        "id", "detail_link", "rank", F.array_join("flags", ",").alias("flags"), F.coalesce("comments", F.lit(0)).alias("comments")
+    )

@@ -78,10 +78,13 @@ def jdbc_replace(
     batch: int = 5000,
     properties: Mapping[str, str] | None = None,
 ) -> None:
-    """Truncate a database table and fill it. Keys are checked before anything is changed."""
+    """Truncate a database table and fill it. Keys are checked before anything is changed.
+
+    Each connection commits its own part; a load that must appear at once goes to a staging table first.
+    """
     if keys:
         check_unique(df, keys)
-    writer = df.coalesce(connections).write.mode("overwrite").option("truncate", True).option("batchsize", batch)
+    writer = df.repartition(connections).write.mode("overwrite").option("truncate", True).option("batchsize", batch)
     writer.jdbc(url, table, properties=dict(properties or {}))
 
 

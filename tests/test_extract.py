@@ -30,6 +30,10 @@ def test_two_blocks_and_none(movies):
     assert [(m.page_id, m.rank_num) for m in got] == [(0, 1), (0, 2)]
 
 
+def test_no_blocks_at_all(movies):
+    assert movies("<p>nothing</p>", "") == []
+
+
 def test_quote_variants(movies):
     bare = ITEM.replace("<span>Q</span>", "“Quoted” text\"")
     none = ITEM.replace('<p class="quote"><span>Q</span></p>', "")

@@ -34,6 +34,11 @@ def test_decade(column):
     assert column(numbers.decade(x()), "1994", "2000", "未知年份", None) == [1990, 2000, None, None]
 
 
+def test_report_texts(column):
+    assert column(numbers.fixed_text(x(), 1, "%"), 66.66, 12.25, 0.0, kind="double") == ["66.7%", "12.2%", "0.0%"]
+    assert column(numbers.fixed_text(x(), 3), 1.3532, -0.5, kind="double") == ["1.353", "-0.500"]
+
+
 # The six infos and what has to come out of each: director, year, genre, actors.
 INFOS = [
     (

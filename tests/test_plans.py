@@ -7,7 +7,7 @@ import pytest
 import reviewlens.__main__ as program
 from reviewlens import schemas as S
 from reviewlens.operators import clean, relate, validate
-from reviewlens.plans import catalogue
+from reviewlens.plans import catalogue, items
 from reviewlens.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -69,7 +69,7 @@ def test_program(spark, tmp_path, monkeypatch):
     reviews.write_text(json.dumps(rows, ensure_ascii=False), encoding="utf-8")
     labelled = tmp_path / "labelled"
     spark.createDataFrame([("好看 喜欢", 1), ("难看 无聊", 0)], "text string, label int").write.parquet(str(labelled))
-    argv = ["--movies", str(movies), "--reviews", str(reviews), "--labelled", str(labelled), "--out", str(out)]
+    argv = ["movies", "--movies", str(movies), "--reviews", str(reviews), "--labelled", str(labelled), "--out", str(out)]
     assert program.main(argv) == 0
     assert spark.read.parquet(f"{out}/movies").count() == 5
     assert [r.username for r in spark.read.parquet(f"{out}/comments").collect()] == ["a"]
@@ -85,7 +85,63 @@ def test_program_without_movies(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(program, "build_session", lambda: spark)
     empty = tmp_path / "m.json"
     empty.write_text("[]", encoding="utf-8")
-    assert program.main(["--movies", str(empty), "--out", str(tmp_path / "o")]) == 1
+    assert program.main(["movies", "--movies", str(empty), "--out", str(tmp_path / "o")]) == 1
+
+
+def item(link, at, title, comments, **more):
+    return {"rank": "1", "title_cn": title, "rating": "9", "detail_link": link, "crawled_at": at, "hot_comments": comments, **more}
+
+
+def comment(text):
+    return {"author": "a", "score": "", "time": "t", "content": text}
+
+
+def test_item_program(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(program, "build_session", lambda: spark)
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    argv = ["items", "--source", str(source), "--out", str(out)]
+
+    def put(name, *rows):
+        (source / name).write_text("\n".join(json.dumps(r, ensure_ascii=False) for r in rows), encoding="utf-8")
+        assert program.main(argv) == 0
+
+    put("1.json", item("l/a", "1", "甲", [comment("x"), comment("y")], year="1994"), item("l/b", "1", "乙", []), item("l/a", "2", "甲2", [comment("z")], year="1995"))
+    put("2.json", item("l/b", "3", None, [comment("w")], rating="11"))
+    movies = {r.detail_link: r for r in spark.read.parquet(f"{out}/movies").collect()}
+    assert (movies["l/a"].title_cn, movies["l/a"].year, movies["l/a"].flags) == ("甲2", "1995", [])
+    assert (movies["l/b"].title_cn, movies["l/b"].flags) == (None, ["missing:title_cn", "range:rating"])
+    comments = {(r.movie_id, r.position, r.content) for r in spark.read.parquet(f"{out}/comments").collect()}
+    assert comments == {(movies["l/a"].id, 1, "z"), (movies["l/b"].id, 1, "w")}
+    exported = spark.read.json(f"{out}/json")
+    assert exported.count() == 4 and "flags" not in exported.columns
+    header = spark.read.option("header", True).csv(f"{out}/movies_csv").columns
+    assert [c for c in header if c != "batch_id"] == sorted(c for c in S.ITEMS.names if c != "hot_comments")
+    assert spark.read.option("header", True).csv(f"{out}/comments_csv").count() == 4
+
+
+def test_compare_program(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(program, "build_session", lambda: spark)
+    runs = tmp_path / "runs.json"
+    run = {"success": True, "memory_used": 0, "data_count": 10, "db_size_mb": 0, "movies": 0, "comments": 0}
+    runs.write_text("\n".join(json.dumps({**run, "run": n, "execution_time": t}) for n, t in (("a", 145.0), ("b", 107.0))))
+    out = tmp_path / "out"
+    assert program.main(["compare", "--runs", str(runs), "--baseline", "a", "--candidate", "b", "--out", str(out)]) == 0
+    got = spark.read.json(f"{out}/comparison").first()
+    assert got.time_verdict == "candidate faster" and got.memory_ratio is None and got.completeness_baseline == 1.0
+
+
+def test_items_from_pages(spark):
+    lists = spark.createDataFrame([("a", "A"), ("b", "B")], "detail_link string, title_cn string")
+    details = spark.createDataFrame([("a", "1994")], "detail_link string, year string")
+    rows = [("a", p, i, "u", "", f"{p}-{i}", "t") for p in (1, 2, 3, 4) for i in range(6)] + [("a", 1, 9, "u", "", "", "t")]
+    reviews = spark.createDataFrame(
+        rows, "detail_link string, page int, position int, username string, rating string, content string, comment_time string"
+    )
+    got = {r.detail_link: r for r in items.items_from_pages(lists, details, reviews).collect()}
+    want = [f"{p}-{i}" for p in (1, 2) for i in range(6)] + ["3-0", "3-1", "3-2"]
+    assert [c.content for c in got["a"].hot_comments] == want and got["a"].year == "1994"
+    assert got["b"].hot_comments is None and got["b"].spider_name == "reviewlens"
 
 
 def plan(df):
