@@ -109,9 +109,10 @@ class Pick:
     own_text: bool = False
     every: bool = False
 
-    def values(self, block: Node) -> list[str]:
-        found = [block]
-        for step in self.path:
+    def values(self, block: Node, inside: list[Node]) -> list[str]:
+        """Values below ``block``, whose elements are ``inside``."""
+        found = [node for node in inside if self.path[0].fits(node)] if self.path else [block]
+        for step in self.path[1:]:
             seen: dict[int, Node] = {}
             for node in found:
                 for below in node.inside():
@@ -160,9 +161,9 @@ def explode_blocks(
     keep = list(keep)
 
     def row_values(node: Node) -> list:
-        out = []
+        out, inside = [], list(node.inside())
         for p in picks:
-            values = [v.strip() for v in p.values(node)]
+            values = [v.strip() for v in p.values(node, inside)]
             out.append(values if p.every else (values[0] if values else None))
         return out
 

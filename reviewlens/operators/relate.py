@@ -39,16 +39,20 @@ def keep_last(df: DataFrame, keys: Keys, order_by: Keys) -> DataFrame:
     return first_k(df, keys, [c.desc_nulls_last() for c in _columns(order_by)], 1)
 
 
-def dedup_reviews(df: DataFrame, rank: str, user: str, content: str, order_by: Keys, width: int = 100) -> DataFrame:
-    """Reviews with text, one per movie, user and first ``width`` characters of it."""
+def review_key(rank: str, user: str, content: str, width: int = 100) -> Column:
+    """Movie, user and first ``width`` characters of a review as one text."""
     empty = F.lit("")
-    key = F.concat_ws(
+    return F.concat_ws(
         "_",
         F.coalesce(F.col(rank).cast("string"), empty),
         F.coalesce(F.col(user), empty),
         F.left(F.col(content), F.lit(width)),
     )
-    return keep_first(df.where(F.length(content) > 0), [key], order_by)
+
+
+def dedup_reviews(df: DataFrame, rank: str, user: str, content: str, order_by: Keys, width: int = 100) -> DataFrame:
+    """Reviews with text, the first one per ``review_key``."""
+    return keep_first(df.where(F.length(content) > 0), [review_key(rank, user, content, width)], order_by)
 
 
 def accumulate_pages(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import relate
 from ..plans import items
 from ..session import scratch_dir
 from ..sources import sinks
@@ -43,6 +44,15 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@query(ORACLE["comment_dedup"])
+def stream_first(spark, sf):
+    root = scratch_dir(spark, "first")
+    docs = _stream(spark, sf, "documents").select("doc_id", "source", "lang", "text").where(F.length("text") > 0)
+    key = [relate.review_key("source", "lang", "text")]
+    flows.first_stream(docs, f"{root}/table", key, ["doc_id"], f"{root}/checkpoint").awaitTermination()
+    return flows.read_first(spark, f"{root}/table", key, ["doc_id"])
+
+
 @query(ORACLE["page_accumulate"])
 def stream_accumulate(spark, sf):
     root = scratch_dir(spark, "accumulate")

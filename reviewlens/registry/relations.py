@@ -133,7 +133,7 @@ def union_all(spark, sf):
 @query(
     """
 SELECT c_acctbal AS balance, c_name AS name, c_nationkey AS nation, c_mktsegment AS segment, NULL AS suppkey FROM customer
-UNION ALL SELECT s_acctbal, s_name, s_nationkey, NULL, s_suppkey FROM supplier
+UNION ALL SELECT s_acctbal, s_name, s_nationkey, NULL, CAST(s_suppkey AS VARCHAR) FROM supplier
 """
 )
 def union_by_name(spark, sf):
@@ -144,7 +144,7 @@ def union_by_name(spark, sf):
         F.col("c_mktsegment").alias("segment"),
     )
     suppliers = table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("suppkey"),
+        F.col("s_suppkey").cast("string").alias("suppkey"),
         F.col("s_name").alias("name"),
         F.col("s_nationkey").alias("nation"),
         F.col("s_acctbal").alias("balance"),

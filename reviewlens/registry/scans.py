@@ -74,7 +74,7 @@ def stage_counts(spark, sf):
         {
             "read": docs,
             "with_text": with_text,
-            "unique": with_text.select("text").distinct(),
+            "unique": with_text.select(F.sha2("text", 256)).distinct(),  # far shorter than the texts
             "labelled": docs.join(table(spark, sf, "labels").select("doc_id"), "doc_id", "left_semi"),
         }
     )
@@ -84,7 +84,7 @@ def stage_counts(spark, sf):
     """
 WITH p AS (SELECT concat(page_id, '.html') AS name, url, octet_length(encode(html)) AS length FROM pages),
 j AS (SELECT e.name, l.length FROM p e LEFT JOIN (SELECT name, length FROM p WHERE url LIKE 'https%') l USING (name))
-SELECT name, length,
+SELECT name, coalesce(length, -1) AS length,
   CASE WHEN length IS NULL THEN 'missing' WHEN length > 4096 THEN 'valid' ELSE 'refetch' END AS status,
   coalesce(length >= 4096, false) AS accept_new
 FROM j
@@ -95,7 +95,7 @@ def asset_manifest(spark, sf):
     listing = pages.where(F.col("url").startswith("https")).select(
         "name", F.octet_length("html").cast("bigint").alias("length")
     )
-    return files.asset_manifest(pages.select("name"), listing, 4096)
+    return files.asset_manifest(pages.select("name"), listing, 4096).na.fill({"length": -1})
 
 
 CONTENT_TYPES = ["image/jpeg", "image/png; q=1", "image/webp", "image/gif", "text/html", "image/jpg"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.relate import accumulate_pages, keep_last
+from ..operators.relate import accumulate_pages, keep_first, keep_last
 from ..operators.validate import validate
 from ..sources.sinks import Writer, fan_out
 
@@ -46,22 +46,23 @@ def _store(df: DataFrame, target: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
 
 
-def upsert_stream(
+def reduced_stream(
     stream: DataFrame,
     target: str,
-    keys: Sequence[str],
-    order_by: Sequence,
+    reduce: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     sinks: Sequence[Callable[[int], Writer]] = (),
 ) -> StreamingQuery:
-    """Last row per key, whole rows replaced. ``sinks`` give further writers for a batch number.
+    """Each micro-batch cut down by ``reduce`` and stored in its own folder.
 
-    The writers get every row of the batch, in the given order after the table itself.
+    ``reduce`` must give the same when applied to batches and then to their union, as limits per key
+    do. ``sinks`` give further writers for a batch number; they get every row of the batch, in the
+    given order after the table itself.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         def table(df: DataFrame) -> None:
-            _store(keep_last(df, keys, order_by), target, batch_id)
+            _store(reduce(df), target, batch_id)
 
         if sinks:
             fan_out(batch, [table, *[sink(batch_id) for sink in sinks]])
@@ -71,6 +72,18 @@ def upsert_stream(
     return _run(stream, step, checkpoint)
 
 
+def upsert_stream(
+    stream: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    order_by: Sequence,
+    checkpoint: str,
+    sinks: Sequence[Callable[[int], Writer]] = (),
+) -> StreamingQuery:
+    """Last row per key, whole rows replaced."""
+    return reduced_stream(stream, target, lambda df: keep_last(df, keys, order_by), checkpoint, sinks)
+
+
 def read_upserted(spark: SparkSession, target: str, keys: Sequence[str], order_by: Sequence) -> DataFrame:
     """The table behind ``upsert_stream``: a later batch wins, within a batch the last row."""
     rows = spark.read.parquet(target)
@@ -91,11 +104,9 @@ def accumulate_stream(
 
     The state of a key is its first ``cap`` rows of each batch, so it does not grow with the batch.
     """
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        _store(accumulate_pages(batch, keys, page, order_by, cap, max_pages), target, batch_id)
-
-    return _run(stream, step, checkpoint)
+    return reduced_stream(
+        stream, target, lambda df: accumulate_pages(df, keys, page, order_by, cap, max_pages), checkpoint
+    )
 
 
 def read_accumulated(
@@ -111,6 +122,18 @@ def read_accumulated(
     return accumulate_pages(spark.read.parquet(target).drop(BATCH), keys, page, order_by, cap, max_pages)
 
 
+def first_stream(
+    stream: DataFrame, target: str, keys: Sequence, order_by: Sequence, checkpoint: str
+) -> StreamingQuery:
+    """First row per key: dedup with a known survivor."""
+    return reduced_stream(stream, target, lambda df: keep_first(df, keys, order_by), checkpoint)
+
+
+def read_first(spark: SparkSession, target: str, keys: Sequence, order_by: Sequence) -> DataFrame:
+    """The table behind ``first_stream``: an earlier batch wins, within a batch the first row."""
+    return keep_first(spark.read.parquet(target), keys, [F.col(BATCH), *order_by]).drop(BATCH)
+
+
 def compact(table: DataFrame, new_target: str) -> None:
     """Write the resolved ``table`` to a new folder, as a batch before all others.
 

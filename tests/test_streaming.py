@@ -74,6 +74,19 @@ def test_dedup_over_batches(spark, items, tmp_path, spread):
     assert sorted(r.link for r in spark.read.parquet(str(tmp_path / "o")).collect()) == ["a", "b", "c"]
 
 
+def test_first_over_batches(spark, items, tmp_path):
+    def run():
+        return flows.first_stream(
+            stream(spark, items), str(tmp_path / "t"), ["link"], ["o"], str(tmp_path / "c")
+        ).awaitTermination()
+
+    run()
+    write(spark, items, "2", [("a", 0, "late", "9"), ("c", 6, "z", "9"), ("c", 5, "y", "9")], ITEMS)
+    run()
+    got = flows.read_first(spark, str(tmp_path / "t"), ["link"], ["o"])
+    assert {(r.link, r.title) for r in got.collect()} == {("a", "x"), ("b", "y"), ("c", "y")}
+
+
 def test_dedup_with_bounded_state(spark, tmp_path):
     schema = "k string, ts timestamp"
     import datetime as dt
