@@ -1,5 +1,6 @@
 """Programs over movie files, item files and run reports.
 
+    python -m reviewlens pages --lists lists/ --details details/ --out folder
     python -m reviewlens movies --movies raw.json --reviews reviews.json --out folder
     python -m reviewlens items --source folder-of-json-lines --out folder
     python -m reviewlens compare --runs runs.json --baseline a --candidate b --out folder
@@ -20,6 +21,17 @@ from .session import build_session
 from .sources import files, sinks
 
 
+def _pages(spark: SparkSession, opts: argparse.Namespace) -> int:
+    posters = files.list_assets(spark, opts.posters) if opts.posters else None
+    lists, details = spark.read.parquet(opts.lists), spark.read.parquet(opts.details)
+    good, blocked = validate.split_blocked(lists, opts.block_host, S.BLOCK_PHRASES)
+    movies, reviews = catalogue.assemble(good, details, posters, opts.posters or "")
+    blocked.select("page_id", "url").write.mode("overwrite").parquet(f"{opts.out}/blocked")
+    sinks.write_json(movies, f"{opts.out}/movies.json")
+    sinks.write_json(reviews, f"{opts.out}/reviews.json")
+    return 0
+
+
 def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
     raw = files.load_raw(spark, opts.movies, S.RAW_MOVIES, opts.lines)
     movies = catalogue.clean_movies(raw).persist()
@@ -73,6 +85,12 @@ def _compare(spark: SparkSession, opts: argparse.Namespace) -> int:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="reviewlens", description=__doc__)
     programs = parser.add_subparsers(dest="program", required=True)
+    args = programs.add_parser("pages", help="parse list and detail pages into raw movies and reviews")
+    args.add_argument("--lists", required=True, help="Parquet table (page_id, url, html) of list pages")
+    args.add_argument("--details", required=True, help="Parquet table (url, html), url being a movie's link")
+    args.add_argument("--posters", help="folder of poster files")
+    args.add_argument("--block-host", action="append", default=[], help="host that marks a blocked page")
+    args.set_defaults(run=_pages)
     args = programs.add_parser("movies", help="clean movies, relate reviews, write tables and reports")
     args.add_argument("--movies", required=True, help="raw movies, .json or .csv")
     args.add_argument("--reviews", help="reviews, .json or .csv")

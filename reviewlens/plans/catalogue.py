@@ -147,9 +147,16 @@ def pick_having(*path: str, **options):
     return type(made)((step(first, **options), *made.path), made.attr, made.own_text, made.every)
 
 
-def parse_reviews(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), no_rating: str = S.NO_RATING_FLAT) -> DataFrame:
-    """Reviews with text, in page order."""
+def parse_reviews(
+    pages: DataFrame,
+    keep: Sequence[str] = ("page_id", "url"),
+    no_rating: str = S.NO_RATING_FLAT,
+    limit: int | None = None,
+) -> DataFrame:
+    """Reviews with text, in page order; with ``limit`` those among the first ``limit`` blocks of a page."""
     blocks = explode_blocks(pages, REVIEW_BLOCK, REVIEW_FIELDS, keep)
+    if limit is not None:
+        blocks = blocks.where(F.col("position") <= limit)
     return blocks.select(
         *keep,
         "position",
@@ -160,6 +167,50 @@ def parse_reviews(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), no
     ).where(F.length("content") > 0)
 
 
+def with_poster_paths(movies: DataFrame, listing: DataFrame, folder: str, min_bytes: int = 1024) -> DataFrame:
+    """Adds ``poster_path``: the file of a movie's poster where ``listing`` has a valid one, else ''."""
+    valid = listing.where(F.col("length") > min_bytes).select(F.col("name").alias("poster_name"), F.lit(True).alias("__held"))
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), "poster_name")
+    return (
+        movies.join(valid, "poster_name", "left")
+        .withColumn("poster_path", F.when(F.col("__held"), path).otherwise(F.lit("")))
+        .drop("__held")
+    )
+
+
+def assemble(lists: DataFrame, details: DataFrame, posters: DataFrame | None = None, folder: str = "") -> tuple[DataFrame, DataFrame]:
+    """(raw movies, reviews) from list pages (page_id, url, html) and detail pages (url, html).
+
+    Movies pass the gate; reviews are taken before it, so those of a rejected movie stay, as orphans.
+    A movie with a link gets year, runtime and imdb from its detail page, '' where that has none; one
+    without a link gets NULL.
+    """
+    parsed = parse_movies(lists)
+    linked = F.col("detail_url") != ""
+    reviews = (
+        parse_reviews(details, keep=("url",), limit=S.REVIEWS_PER_MOVIE)
+        .withColumnsRenamed({"url": "detail_url", "position": "review"})
+        .join(parsed.where(linked).select("page_id", "position", "rank_num", "detail_url"), "detail_url")
+    )
+    numbered = relate.with_row_id(
+        reviews.select(
+            "page_id", "position", "review", F.col("rank_num").cast("int").alias("movie_rank"),
+            "username", "rating", "content", "comment_time",
+        ),
+        ["page_id", "position", "review"],
+        "ordinal",
+    )
+    extra = ["year", "runtime", "imdb"]
+    movies = relate.override(clean.accepted(parsed), parse_details(details), "detail_url", extra)
+    movies = movies.withColumns({c: F.when(linked, F.col(c)) for c in extra})
+    if posters is not None:
+        movies = with_poster_paths(movies, posters, folder)
+    else:
+        movies = movies.withColumn("poster_path", F.lit(""))
+    texts_only = [F.col(c).cast("string").alias(c) for c in S.RAW_MOVIES.names]
+    return movies.select(*texts_only), numbered.select(*S.REVIEWS.names)
+
+
 def clean_movies(raw: DataFrame, order_by: Sequence[str] = ("rank_num",)) -> DataFrame:
     """Drop, fill, cast, extract, dedup, range - in this order, on which the result depends.
 

@@ -127,6 +127,15 @@ def list_assets(spark: SparkSession, folder: str, pattern: str = "*") -> DataFra
     return files.select(F.substring_index("path", "/", -1).alias("name"), "length")
 
 
+def folder_size_mb(spark: SparkSession, folder: str) -> float:
+    """Size of the files below ``folder`` in MB, two places; 0 for one that is absent."""
+    try:
+        total = list_assets(spark, folder).agg(F.sum("length").alias("bytes")).first()["bytes"]
+    except AnalysisException:
+        total = None
+    return round((total or 0) / 1024 / 1024, 2)
+
+
 def asset_manifest(expected: DataFrame, listing: DataFrame, min_bytes: int = 1024) -> DataFrame:
     """(name, length, status, accept_new) for every expected file.
 

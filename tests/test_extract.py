@@ -110,3 +110,25 @@ def test_parser_takes_broken_markup(spark):
     pages = spark.createDataFrame([(1, "<li>a</li><li><i>b</i></li>")], "page_id long, html string")
     got = explode_blocks(pages, step("li"), {"t": pick(), "all": pick("i", every=True)}, keep=("page_id",)).collect()
     assert [(r.position, r.t, r["all"]) for r in got] == [(1, "a", []), (2, "b", ["b"])]
+
+
+def test_assemble(spark):
+    second = ITEM.replace("<em>1", "<em>2").replace('href="u"', 'href="v"')
+    unlinked = ITEM.replace("<em>1", "<em>3").replace(' href="u"', "")
+    refused = ITEM.replace("<em>1", "<em>0").replace('href="u"', 'href="w"')
+    lists = spark.createDataFrame([(1, "l", ITEM + second), (2, "m", unlinked + refused)], "page_id long, url string, html string")
+    block = '<div class="comment-item"><span class="short">{}</span></div>'
+    info = '<div id="info">1994 142 分钟</div>'
+    many = "".join(block.format("" if i == 0 else f"r{i:02d}") for i in range(20))
+    details = spark.createDataFrame([("u", info + many), ("w", block.format("orphan"))], "url string, html string")
+    posters = spark.createDataFrame([("T O.jpg", 2000)], "name string, length long")
+    movies, reviews = catalogue.assemble(lists, details, posters, "posters/")
+    got = {m.rank_num: m for m in movies.collect()}
+    assert set(got) == {"1", "2", "3"}
+    assert (got["1"].year, got["1"].runtime, got["1"].imdb) == ("1994", "142分钟", "")
+    assert (got["2"].year, got["3"].year, got["1"].poster_path) == ("", None, "posters/T O.jpg")
+    rows = sorted((r.ordinal, r.movie_rank, r.content) for r in reviews.collect())
+    # Of the first 15 blocks one is empty; the review of the refused movie stays, under rank 0.
+    assert rows == [(i, 1, f"r{i:02d}") for i in range(1, 15)] + [(15, 0, "orphan")]
+    cleaned = catalogue.clean_movies(movies)
+    assert cleaned.count() == 1  # one title and rating three times

@@ -88,6 +88,22 @@ def test_program_without_movies(spark, tmp_path, monkeypatch):
     assert program.main(["movies", "--movies", str(empty), "--out", str(tmp_path / "o")]) == 1
 
 
+def test_page_program(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(program, "build_session", lambda: spark)
+    html = '<div class="item"><em>1</em><a href="u"><span class="title">T</span></a><span class="rating_num">9</span></div>'
+    lists = spark.createDataFrame([(1, "l", html), (2, "m", "请验证")], "page_id long, url string, html string")
+    review = '<div class="comment-item"><span class="short">good</span></div>'
+    lists.write.parquet(str(tmp_path / "l"))
+    spark.createDataFrame([("u", review)], "url string, html string").write.parquet(str(tmp_path / "d"))
+    out = tmp_path / "out"
+    assert program.main(["pages", "--lists", str(tmp_path / "l"), "--details", str(tmp_path / "d"), "--out", str(out)]) == 0
+    assert [r.url for r in spark.read.parquet(f"{out}/blocked").collect()] == ["m"]
+    argv = ["movies", "--lines", "--movies", f"{out}/movies.json", "--reviews", f"{out}/reviews.json", "--out", f"{out}/final"]
+    assert program.main(argv) == 0
+    assert [(r.rank_num, r.rating) for r in spark.read.parquet(f"{out}/final/movies").collect()] == [(1, 9.0)]
+    assert [(r.movie_id, r.content) for r in spark.read.parquet(f"{out}/final/comments").collect()] == [(1, "good")]
+
+
 def item(link, at, title, comments, **more):
     return {"rank": "1", "title_cn": title, "rating": "9", "detail_link": link, "crawled_at": at, "hot_comments": comments, **more}
 

@@ -76,6 +76,12 @@ def test_assets(spark, tmp_path):
     assert got == {"a.jpg": ("valid", True), "b.jpg": ("refetch", True), "c.jpg": ("refetch", False), "d.jpg": ("missing", False)}
 
 
+def test_folder_size(spark, tmp_path):
+    (tmp_path / "a").write_bytes(b"x" * 1024 * 256)
+    assert files.folder_size_mb(spark, str(tmp_path)) == 0.25
+    assert files.folder_size_mb(spark, str(tmp_path / "none")) == 0
+
+
 def test_runs(spark, tmp_path):
     path = str(tmp_path / "runs")
     for stamp, value in (("20240101_000000", 1), ("20240102_000000", 2), ("20240102_000000", 3)):
