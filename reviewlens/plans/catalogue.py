@@ -12,6 +12,7 @@ from ..functions import markup, names, numbers, texts
 from ..functions import patterns as P
 from ..operators import clean, relate, sentiment, stats, words
 from ..operators.extract import explode_blocks, pick, step
+from ..session import freeze
 
 # Where the fields of the list, detail and review pages stand.
 LIST_ITEM = step("div.item")
@@ -185,7 +186,7 @@ def assemble(lists: DataFrame, details: DataFrame, posters: DataFrame | None = N
     A movie with a link gets year, runtime and imdb from its detail page, '' where that has none; one
     without a link gets NULL.
     """
-    parsed = parse_movies(lists)
+    parsed = freeze(parse_movies(lists))
     linked = F.col("detail_url") != ""
     reviews = (
         parse_reviews(details, keep=("url",), limit=S.REVIEWS_PER_MOVIE)

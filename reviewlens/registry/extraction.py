@@ -186,6 +186,23 @@ def item_pages(spark, sf):
     return catalogue.parse_items(spread(_list_pages(spark, sf))).drop("url")
 
 
+# Detail pages made from every part, each with two reviews, the second without text.
+def _detail_pages(spark, sf, before, after):
+    n, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    html = F.concat(
+        F.lit('<body><div id="info">上映: '),
+        (F.col("p_size") + 1900).cast("string"),
+        F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("-10-14<br>片长: "), size, F.lit(" 分钟"))).otherwise(F.lit("")),
+        F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("<br>imdb:  tt"), n, F.lit(" more"))).otherwise(F.lit("")),
+        F.lit('</div><div class="comment-item"><span class="short">about '),
+        F.col("p_name"),
+        F.lit('</span></div><div class="comment-item"><span class="short"></span></div></body>'),
+    )
+    return table(spark, sf, "part").select(
+        F.concat(F.lit(before), n, F.lit(after)).alias("url"), html.alias("html")
+    )
+
+
 @query(
     """
 SELECT concat('https://movies.example.com/subject/', p_partkey) AS detail_url, CAST(1900 + p_size AS VARCHAR) AS year,
@@ -195,18 +212,7 @@ FROM part
 """
 )
 def detail_pages(spark, sf):
-    n, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
-    html = F.concat(
-        F.lit('<body><div id="info">上映: '),
-        (F.col("p_size") + 1900).cast("string"),
-        F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("-10-14<br>片长: "), size, F.lit(" 分钟"))).otherwise(F.lit("")),
-        F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("<br>imdb:  tt"), n, F.lit(" more"))).otherwise(F.lit("")),
-        F.lit("</div></body>"),
-    )
-    pages = table(spark, sf, "part").select(
-        F.concat(F.lit("https://movies.example.com/subject/"), n).alias("url"), html.alias("html")
-    )
-    return catalogue.parse_details(spread(pages))
+    return catalogue.parse_details(spread(_detail_pages(spark, sf, "https://movies.example.com/subject/", "")))
 
 
 @query(
@@ -236,3 +242,31 @@ def review_pages(spark, sf):
     )
     pages = table(spark, sf, "conversations").select("conv_id", "turn", html.alias("html"))
     return catalogue.parse_reviews(spread(pages), keep=("conv_id", "turn"))
+
+
+@query(
+    """
+SELECT CAST(p_partkey AS VARCHAR) AS rank_num, concat(p_name, ' ', p_brand) AS title,
+  concat(p_size % 10, '.5') AS rating, concat('/subject/', p_partkey, '/') AS detail_url,
+  CAST(1900 + p_size AS VARCHAR) AS year, CASE WHEN p_size % 4 <> 0 THEN concat(p_size, '分钟') ELSE '' END AS runtime,
+  CASE WHEN p_size % 3 <> 0 THEN concat('tt', p_partkey) ELSE '' END AS imdb
+FROM part WHERE p_partkey > 0
+"""
+)
+def assembled_movies(spark, sf):
+    details = _detail_pages(spark, sf, "/subject/", "/")
+    movies, _ = catalogue.assemble(spread(_list_pages(spark, sf)), spread(details))
+    return movies.select("rank_num", "title", "rating", "detail_url", "year", "runtime", "imdb")
+
+
+@query(
+    """
+SELECT row_number() OVER (ORDER BY p_partkey) AS ordinal, CAST(p_partkey AS INTEGER) AS movie_rank,
+  '无评分' AS rating, concat('about ', p_name) AS content FROM part
+"""
+)
+def assembled_reviews(spark, sf):
+    """Reviews of all listed movies, the one the gate refuses among them."""
+    details = _detail_pages(spark, sf, "/subject/", "/")
+    _, reviews = catalogue.assemble(spread(_list_pages(spark, sf)), spread(details))
+    return reviews.select("ordinal", "movie_rank", "rating", "content")
