@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas as S
 from .operators import relate, validate
@@ -21,6 +22,12 @@ from .session import build_session
 from .sources import files, sinks
 
 
+def _store(df: DataFrame, schema: T.StructType, absent: dict[str, object], path: str) -> None:
+    """Write a numbered table in its stored form."""
+    stored = T.StructType([T.StructField("id", T.LongType()), *schema.fields])
+    sinks.with_load_time(sinks.conform(df, stored, absent)).write.mode("overwrite").parquet(path)
+
+
 def _pages(spark: SparkSession, opts: argparse.Namespace) -> int:
     posters = files.list_assets(spark, opts.posters) if opts.posters else None
     lists, details = spark.read.parquet(opts.lists), spark.read.parquet(opts.details)
@@ -38,12 +45,13 @@ def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
     if movies.isEmpty():
         print("no movie is left after cleaning")
         return 1
+    numbered = relate.with_row_id(movies, ["rank_num", "title", "rating"])
     sinks.fan_out(
-        sinks.with_load_time(movies),
+        numbered,
         [
-            lambda df: sinks.write_csv(df, f"{opts.out}/movies_csv"),
-            lambda df: sinks.write_json(df, f"{opts.out}/movies_json"),
-            lambda df: df.write.mode("overwrite").parquet(f"{opts.out}/movies"),
+            lambda df: sinks.write_csv(df.drop("id"), f"{opts.out}/movies_csv"),
+            lambda df: sinks.write_json(df.drop("id"), f"{opts.out}/movies_json"),
+            lambda df: _store(df, S.MOVIES_TABLE, S.MOVIES_ABSENT, f"{opts.out}/movies"),
         ],
     )
     reports = {
@@ -51,13 +59,15 @@ def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
         "nulls_after": validate.null_report(movies),
         "constraints": validate.constraint_report(movies, S.MOVIE_LIMITS, S.MOVIE_NOT_NULL),
         "duplicate_ranks": relate.unique_violations(movies, ["rank_num"]),
+        "rank_id_mismatch": relate.surrogate_mismatch(numbered, "rank_num"),
         **catalogue.movie_reports(movies),
     }
     if opts.reviews:
         reviews = files.load_raw(spark, opts.reviews, S.REVIEWS, opts.lines).persist()
         unique = relate.dedup_reviews(reviews, "movie_rank", "username", "content", ["ordinal"])
         stored = sinks.comments_for_load(unique, movies)
-        sinks.with_load_time(stored).write.mode("overwrite").parquet(f"{opts.out}/comments")
+        stored = relate.with_row_id(stored, ["ordinal"])
+        _store(stored, S.COMMENTS_TABLE, S.COMMENTS_ABSENT, f"{opts.out}/comments")
         parents = movies.select(F.col("rank_num").alias("movie_rank"))
         reports["orphan_reviews"] = relate.fk_rejects(unique, parents, ["movie_rank"])
         labelled = spark.read.parquet(opts.labelled) if opts.labelled else None

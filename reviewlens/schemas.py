@@ -116,6 +116,29 @@ MOVIE_NOT_NULL = ["rank_num", "title", "rating"]
 COMMENT_LIMITS = {"username": 100, "rating": 20, "time": 50}
 COMMENT_NOT_NULL = ["movie_id", "content"]
 
+# The stored tables, without their id and load time.
+MOVIES_TABLE = T.StructType(
+    [
+        T.StructField("rank_num", T.IntegerType()),
+        T.StructField("title", T.StringType()),
+        T.StructField("rating", T.DoubleType()),
+        T.StructField("comment_num", T.LongType()),
+        *_strings(
+            "info", "quote", "detail_url", "poster_path", "year", "runtime", "imdb", "genre", "director", "actors"
+        ),
+    ]
+)
+COMMENTS_TABLE = T.StructType(
+    [T.StructField("movie_id", T.IntegerType()), *_strings("username", "rating", "content", "time")]
+)
+
+# What a stored column holds when a load does not bring it.
+MOVIES_ABSENT = {
+    "comment_num": 0, "detail_url": "", "poster_path": "", "year": "", "runtime": "", "imdb": "", "genre": "",
+    "director": "",
+}
+COMMENTS_ABSENT = {"username": "", "rating": "", "time": ""}
+
 # Sentiment class names and their bounds.
 POSITIVE, NEUTRAL, NEGATIVE = "正面", "中性", "负面"
 POSITIVE_ABOVE, NEGATIVE_BELOW = 0.7, 0.3

@@ -7,8 +7,10 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.relate import fk_valid, keep_last, unique_violations
+from .files import open_parquet
 
 Writer = Callable[[DataFrame], None]
 
@@ -40,6 +42,25 @@ def iso_now():
     return F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
 
 
+def conform(df: DataFrame, schema: T.StructType, absent: Mapping[str, object]) -> DataFrame:
+    """The columns of ``schema`` in its types; one that ``df`` lacks gets its default or NULL.
+
+    A NULL that ``df`` brings stays NULL: defaults stand for columns, not for values.
+    """
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(absent.get(f.name))).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
+def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty table at ``path`` unless there is a table already."""
+    if open_parquet(spark, path) is None:
+        spark.createDataFrame([], schema).write.parquet(path)
+
+
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Refuse a load in which a key repeats."""
     bad = unique_violations(df, keys).limit(5).collect()

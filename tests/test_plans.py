@@ -71,7 +71,9 @@ def test_program(spark, tmp_path, monkeypatch):
     spark.createDataFrame([("好看 喜欢", 1), ("难看 无聊", 0)], "text string, label int").write.parquet(str(labelled))
     argv = ["movies", "--movies", str(movies), "--reviews", str(reviews), "--labelled", str(labelled), "--out", str(out)]
     assert program.main(argv) == 0
-    assert spark.read.parquet(f"{out}/movies").count() == 5
+    stored = {r.id: r for r in spark.read.parquet(f"{out}/movies").collect()}
+    assert sorted(stored) == [1, 2, 3, 4, 5] and stored[2].rank_num == 3 and stored[1].created_at is not None
+    assert {r.id for r in spark.read.parquet(f"{out}/reports/rank_id_mismatch").collect()} == {2, 3, 4, 5}
     assert [r.username for r in spark.read.parquet(f"{out}/comments").collect()] == ["a"]
     reports = {p.name for p in (out / "reports").iterdir()}
     assert {"top_movies", "directors", "genres", "decades", "keywords", "sentiment_summary", "orphan_reviews"} <= reports

@@ -76,6 +76,19 @@ def test_assets(spark, tmp_path):
     assert got == {"a.jpg": ("valid", True), "b.jpg": ("refetch", True), "c.jpg": ("refetch", False), "d.jpg": ("missing", False)}
 
 
+def test_stored_form(spark, tmp_path):
+    df = spark.createDataFrame([(1, "9.5", None, "extra")], "movie_id long, content string, username string, more string")
+    got = sinks.conform(df, S.COMMENTS_TABLE, S.COMMENTS_ABSENT)
+    assert got.schema.simpleString() == S.COMMENTS_TABLE.simpleString()
+    assert tuple(got.first()) == (1, None, "", "9.5", "")
+    path = str(tmp_path / "comments")
+    sinks.ensure_table(spark, path, S.COMMENTS_TABLE)
+    assert spark.read.parquet(path).count() == 0
+    got.write.mode("overwrite").parquet(path)
+    sinks.ensure_table(spark, path, S.COMMENTS_TABLE)
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_folder_size(spark, tmp_path):
     (tmp_path / "a").write_bytes(b"x" * 1024 * 256)
     assert files.folder_size_mb(spark, str(tmp_path)) == 0.25
