@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import lines  # noqa: F401
+from reviewlens.llm import langid, lines  # noqa: F401
 from reviewlens.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
