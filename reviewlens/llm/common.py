@@ -157,3 +157,26 @@ def gram_hash(words: np.ndarray, n: int) -> np.ndarray:
 def same(a: str, b: str):
     """Equality in which NULL equals NULL, for joins on keys that may be NULL."""
     return F.col(a).eqNullSafe(F.col(b))
+
+
+# A key with more than one in HOT_PART of all rows is hot; there can be at most HOT_PART such keys.
+HOT_PART = 4096
+HOT_SALTS = 64
+
+
+def join_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, spread: str) -> DataFrame:
+    """Inner join of ``rows`` with ``keys`` (stored, one row per key, ``count``: rows of the key), hot keys dealt out.
+
+    Keys above 1 / HOT_PART of all rows number HOT_PART at most, whatever the size of the tables, so
+    they are broadcast to mark the rows that get a salt from the column ``spread``; ``keys`` repeats
+    those keys once per salt. All other keys join as they are.
+    """
+    salt, hot, key_salt = fresh_name("salt"), fresh_name("hot"), fresh_name("salt")
+    total = keys.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    is_hot = F.col(count) > max(1, total // HOT_PART)
+    marks = keys.where(is_hot).select(*on, F.lit(True).alias(hot))
+    dealt = F.when(F.col(hot), F.pmod(F.xxhash64(spread), F.lit(HOT_SALTS))).otherwise(F.lit(0))
+    salted = rows.join(F.broadcast(marks), on, "left").withColumn(salt, dealt.cast("int")).drop(hot)
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = keys.withColumn(key_salt, F.explode(salts)).withColumnRenamed(key_salt, salt)
+    return salted.join(repeated, [*on, salt]).drop(salt)
