@@ -33,7 +33,7 @@ LIMIT = 512
 MEMO = 600_000  # pieces remembered by a task before it starts afresh
 CACHE = "tokenizer string, content string, n_tokens long"
 PIECE = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
-OTHER_SPACE = r"\x1c-\x1f\x85\xa0 ᠎ -‏ -  ⁠　﻿"
+OTHER_SPACE = r"\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f\u2060\u3000\ufeff"
 
 
 def _by_pieces(config: dict) -> bool:
