@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlens.llm import decontaminate, jaccard, langid, lines, mainhtml, mixing, quality, tokens  # noqa: F401
+from reviewlens.llm import decontaminate, jaccard, langid, lines, mainhtml, mixing, quality, tokens, urls  # noqa: F401
 from reviewlens.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -164,8 +164,10 @@ HOT_PART = 4096
 HOT_SALTS = 64
 
 
-def join_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, spread: str) -> DataFrame:
-    """Inner join of ``rows`` with ``keys`` (stored, one row per key, ``count``: rows of the key), hot keys dealt out.
+def join_hot(
+    rows: DataFrame, keys: DataFrame, on: list[str], count: str, spread: str, how: str = "inner"
+) -> DataFrame:
+    """Join of ``rows`` with ``keys`` (stored, one row per key, ``count``: rows of the key), hot keys dealt out.
 
     Keys above 1 / HOT_PART of all rows number HOT_PART at most, whatever the size of the tables, so
     they are broadcast to mark the rows that get a salt from the column ``spread``; ``keys`` repeats
@@ -179,4 +181,4 @@ def join_hot(rows: DataFrame, keys: DataFrame, on: list[str], count: str, spread
     salted = rows.join(F.broadcast(marks), on, "left").withColumn(salt, dealt.cast("int")).drop(hot)
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = keys.withColumn(key_salt, F.explode(salts)).withColumnRenamed(key_salt, salt)
-    return salted.join(repeated, [*on, salt]).drop(salt)
+    return salted.join(repeated, [*on, salt], how).drop(salt)
