@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlens.llm import (  # noqa: F401
-    decontaminate, jaccard, langid, lines, mainhtml, mixing, quality, tokens, urls,
+    decontaminate, jaccard, langid, lines, mainhtml, mixing, passages, quality, tokens, urls,
 )
 from reviewlens.llm.common import stored, table
 from reviewlens.llm.registry import ORACLE, QUERIES

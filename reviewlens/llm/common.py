@@ -66,8 +66,11 @@ def lower_ascii() -> np.ndarray:
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(UTF-8 bytes of all texts end to end, start of each text and the end of the last); NULL is ''."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """(bytes of all texts, UTF-8, or binaries end to end, start of each text and the end of the last); NULL is ''."""
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    else:
+        column = pc.fill_null(column.cast(pa.large_string()), "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if column.buffers()[2] is None or not len(column):
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
