@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from . import schemas as S
 from .operators import relate, validate
 from .operators.compare import run_comparison
+from .operators.extract import refused_pages
 from .plans import catalogue, items
 from .session import build_session
 from .sources import files, sinks
@@ -34,6 +35,8 @@ def _pages(spark: SparkSession, opts: argparse.Namespace) -> int:
     good, blocked = validate.split_blocked(lists, opts.block_host, S.BLOCK_PHRASES)
     movies, reviews = catalogue.assemble(good, details, posters, opts.posters or "")
     blocked.select("page_id", "url").write.mode("overwrite").parquet(f"{opts.out}/blocked")
+    refused = refused_pages(good.select("url", "html").unionByName(details.select("url", "html")), keep=("url",))
+    refused.write.mode("overwrite").parquet(f"{opts.out}/refused")
     sinks.write_json(movies, f"{opts.out}/movies.json")
     sinks.write_json(reviews, f"{opts.out}/reviews.json")
     return 0
@@ -63,7 +66,8 @@ def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
         **catalogue.movie_reports(movies),
     }
     if opts.reviews:
-        reviews = files.load_raw(spark, opts.reviews, S.REVIEWS, opts.lines).persist()
+        reviews = relate.number_rows(files.load_raw(spark, opts.reviews, S.REVIEWS, opts.lines), "__number")
+        reviews = reviews.withColumn("ordinal", F.coalesce("ordinal", "__number")).drop("__number")
         unique = relate.dedup_reviews(reviews, "movie_rank", "username", "content", ["ordinal"])
         stored = sinks.comments_for_load(unique, movies)
         stored = relate.with_row_id(stored, ["ordinal"])

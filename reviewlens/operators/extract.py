@@ -18,6 +18,7 @@ from ..session import send_by_value
 
 send_by_value(__name__)
 
+ROWS_OUT = 5000  # rows handed on at once
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 # An open element of these kinds ends where the next of its kind starts.
 IMPLIED_END = {"p": {"p"}, "li": {"li"}, "option": {"option"}, "tr": {"tr", "td"}, "td": {"td"}}
@@ -84,6 +85,14 @@ def parse(html: str) -> Node:
     return tree.open[0]
 
 
+def parsed_or_reason(html: str | None) -> tuple[Node | None, str | None]:
+    """The tree of a page, or why the parser refuses it. Its refusals are plain AssertionErrors and ValueErrors."""
+    try:
+        return parse(html or ""), None
+    except (AssertionError, ValueError) as refusal:
+        return None, f"{type(refusal).__name__}: {refusal}"
+
+
 @dataclass(frozen=True)
 class Step:
     """An element kind: tag name, class, id and other attributes it must have."""
@@ -102,12 +111,18 @@ class Step:
 
 @dataclass(frozen=True)
 class Pick:
-    """Values below a block: the elements along ``path``, their text, own text nodes or an attribute."""
+    """Values below a block: the elements along ``path``, their text, own text nodes or an attribute.
+
+    With ``where`` (attribute, text) only elements whose attribute holds the text count; with
+    ``only_first`` the first element alone, which then may have no value.
+    """
 
     path: tuple[Step, ...]
     attr: str | None = None
     own_text: bool = False
     every: bool = False
+    where: tuple[str, str] | None = None
+    only_first: bool = False
 
     def values(self, block: Node, inside: list[Node]) -> list[str]:
         """Values below ``block``, whose elements are ``inside``."""
@@ -119,6 +134,10 @@ class Pick:
                     if step.fits(below):
                         seen.setdefault(id(below), below)
             found = list(seen.values())
+        if self.where is not None:
+            found = [node for node in found if self.where[1] in node.attrs.get(self.where[0], "")]
+        if self.only_first:
+            found = found[:1]
         if self.attr is not None:
             return [node.attrs[self.attr] for node in found if self.attr in node.attrs]
         if self.own_text:
@@ -126,9 +145,9 @@ class Pick:
         return [node.text() for node in found]
 
 
-def pick(*path: str, attr: str | None = None, own_text: bool = False, every: bool = False) -> Pick:
-    """``pick("div.hd", "a", attr="href")``: steps are ``tag`` or ``tag.class``, outermost first."""
-    return Pick(tuple(step(p) for p in path), attr, own_text, every)
+def pick(*path: str, **options) -> Pick:
+    """``pick("div.hd", "a", attr="href")``: steps are ``tag`` or ``tag.class``, outermost first; options as in ``Pick``."""
+    return Pick(tuple(step(p) for p in path), **options)
 
 
 def step(text: str, **having: str) -> Step:
@@ -145,6 +164,7 @@ def explode_blocks(
 ) -> DataFrame:
     """(keep, position, fields): one row per ``block`` of a page, a page without any gives none.
 
+    A page that the parser refuses gives none either; ``refused_pages`` lists those.
     A field is the first value of its pick, stripped and NULL when there is none; with ``every``
     it is the array of all values.
     """
@@ -171,9 +191,30 @@ def explode_blocks(
         for batch in batches:
             rows = []
             for *kept, text in batch[[*keep, html]].itertuples(index=False, name=None):
-                blocks = [n for n in parse(text or "").inside() if block.fits(n)]
+                tree, _ = parsed_or_reason(text)
+                blocks = [n for n in tree.inside() if block.fits(n)] if tree else []
                 for position, node in enumerate(blocks, start=1):
                     rows.append([*kept, position, *row_values(node)])
+                    if len(rows) >= ROWS_OUT:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
             yield pd.DataFrame(rows, columns=names)
 
     return pages.select(*keep, html).mapInPandas(run, schema)
+
+
+def refused_pages(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), html: str = "html") -> DataFrame:
+    """(keep, reason) of the pages that the parser refuses, so that none is lost silently."""
+    keep = list(keep)
+    schema = T.StructType([pages.schema[c] for c in keep] + [T.StructField("reason", T.StringType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for *kept, text in batch[[*keep, html]].itertuples(index=False, name=None):
+                _, reason = parsed_or_reason(text)
+                if reason:
+                    rows.append([*kept, reason])
+            yield pd.DataFrame(rows, columns=[*keep, "reason"])
+
+    return pages.select(*keep, html).mapInPandas(run, schema)

@@ -39,6 +39,21 @@ def keep_last(df: DataFrame, keys: Keys, order_by: Keys) -> DataFrame:
     return first_k(df, keys, [c.desc_nulls_last() for c in _columns(order_by)], 1)
 
 
+def has_null(keys: Keys) -> Column:
+    """Whether one of the key columns is NULL."""
+    return reduce(lambda a, b: a | b, [c.isNull() for c in _columns(keys)])
+
+
+def keep_last_named(df: DataFrame, keys: Keys, order_by: Keys) -> DataFrame:
+    """As ``keep_last``, but rows with a NULL in their key all stay, as a UNIQUE column keeps them."""
+    return keep_last(df.where(~has_null(keys)), keys, order_by).unionByName(df.where(has_null(keys)))
+
+
+def text_key(col: str) -> list[Column]:
+    """Digest and length of a text: a key that shuffles and sorts without the text itself."""
+    return [F.sha2(col, 256), F.length(col)]
+
+
 def review_key(rank: str, user: str, content: str, width: int = 100) -> Column:
     """Movie, user and first ``width`` characters of a review as one text."""
     empty = F.lit("")
@@ -88,9 +103,13 @@ def with_row_id(df: DataFrame, order_by: Sequence[str], name: str = "id") -> Dat
     of the partitions before it. The offsets have one row per shuffle partition, however large
     ``df`` is, which bounds both their window and their broadcast.
     """
-    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    return number_rows(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by), name)
+
+
+def number_rows(df: DataFrame, name: str = "id") -> DataFrame:
+    """Gap-free ids 1..n in the order in which the rows come: of a file, its own order. Frozen once."""
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = freeze(ranged.withColumn("__part", F.spark_partition_id()).withColumn("__place", place))
+    placed = freeze(df.withColumn("__part", F.spark_partition_id()).withColumn("__place", place))
     before = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("__part")

@@ -45,44 +45,43 @@ def score(
     splitter: Splitter = split_runs,
     hot_tokens: int = HOT_TOKENS,
 ) -> DataFrame:
-    """(id_col, probability): chance that a text is positive, 0.5 for a text that is empty once cleaned.
+    """(id_col, probability), one row per text: chance that it is positive, 0.5 for one that is empty once cleaned.
 
-    NULL and '' are left out. A token seen in neither class weighs like one occurrence in both.
+    NULL and '' are left out. Every row is a text of its own, whatever its id. A token seen in neither class
+    weighs like one occurrence in both.
 
-    The weights of the ``hot_tokens`` most frequent tokens are broadcast and summed where the texts
-    are read. When the model holds more, only the other tokens of a text are shuffled to their
-    weights, each token spread over ``SALTS`` keys in case a text table is full of one of them.
+    The weights of the ``hot_tokens`` most frequent tokens are broadcast, which their number and length
+    bound, and summed where the texts are read. A text's other tokens are shuffled to their weights, each
+    token spread over ``SALTS`` keys in case a text table is full of one of them. The plan is the same for any model.
     """
     model = freeze(model)
     weights = model.where(F.col("n_pos") != F.col("n_neg")).select(
         "token", (F.log(F.col("n_pos") + 1) - F.log(F.col("n_neg") + 1)).alias("weight"),
         (F.col("n_pos") + F.col("n_neg")).alias("n"),
     )
+    short = F.octet_length("token") <= HOT_TOKEN_BYTES
+    frequent = weights.where(short).orderBy(F.desc("n"), "token").limit(hot_tokens)
+    hot = freeze(frequent.select("token", F.col("weight").alias("hot_weight")))
     words = df.where(F.length(text) > 0).select(
-        id_col, F.explode_outer(splitter(delete_other(F.col(text), keep))).alias("token")
+        id_col, F.monotonically_increasing_id().alias("__row"), F.col(text).alias("__text")
+    ).select(id_col, "__row", F.explode_outer(splitter(delete_other(F.col("__text"), keep))).alias("token"))
+    met = words.join(F.broadcast(hot), "token", "left")
+    # A text's hot tokens become one row in its task; the others stay apart until they have met their weights.
+    parts = met.groupBy(
+        "__row", F.when(F.col("hot_weight").isNull(), F.col("token")).alias("token")
+    ).agg(F.first(id_col).alias(id_col), F.count("token").alias("n_tokens"), F.sum("hot_weight").alias("hot_weight"))
+    cold = weights.join(F.broadcast(hot), "token", "left_anti").select(
+        "token", F.col("weight").alias("cold_weight"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    )
+    # rows without a token to look up are spread like all others
+    keyed = parts.withColumn("salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int"))
+    found = keyed.where(F.col("token").isNotNull()).join(cold, ["token", "salt"], "left")
+    weighed = found.select("__row", id_col, "n_tokens", (F.col("cold_weight") * F.col("n_tokens")).alias("weight")).unionAll(
+        keyed.where(F.col("token").isNull()).select("__row", id_col, "n_tokens", F.col("hot_weight").alias("weight"))
+    )
+    totals = weighed.groupBy("__row").agg(
+        F.first(id_col).alias(id_col), F.sum("n_tokens").alias("n_tokens"), F.sum("weight").alias("weight")
     )
-    short = F.octet_length("token") <= HOT_TOKEN_BYTES
-    small = weights.agg((F.count(F.lit(1)) <= hot_tokens) & F.coalesce(F.every(short), F.lit(True))).first()[0]
-    if small:
-        hot = weights.select("token", "weight")
-    else:
-        hot = freeze(
-            weights.where(short).orderBy(F.desc("n"), "token").limit(hot_tokens).select("token", "weight")
-        )
-    sums = words.join(F.broadcast(hot), "token", "left").select(id_col, "token", "weight")
-    if not small:
-        cold = weights.join(F.broadcast(hot), "token", "left_anti").select(
-            "token", "weight", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-        )
-        rare = (
-            words.join(F.broadcast(hot), "token", "left_anti")
-            .where(F.col("token").isNotNull())
-            .withColumn("salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)).cast("int"))
-        )
-        found = rare.join(cold, ["token", "salt"])
-        # The tokens themselves were counted above, so these rows bring their weight only.
-        sums = sums.unionAll(found.select(id_col, F.lit(None).cast("string").alias("token"), "weight"))
-    totals = sums.groupBy(id_col).agg(F.count("token").alias("n_tokens"), F.sum("weight").alias("weight"))
     log_odds = (1 - F.col("n_tokens")) * _mass(model) + F.coalesce("weight", F.lit(0.0))
     return totals.select(
         id_col,

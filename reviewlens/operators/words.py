@@ -19,6 +19,7 @@ send_by_value(__name__)
 
 # A dictionary is a word list of its own, not a table that grows with the texts.
 MAX_DICTIONARY_BYTES = 64 * 1024 * 1024
+SALTS = 16
 
 Splitter = Callable[[Column], Column]
 
@@ -155,12 +156,17 @@ def collocations(counts: DataFrame, threshold: float = 30) -> DataFrame:
     """
     words = counts.where(F.col("second").isNull()).select(F.col("first").alias("token"), F.col("n").alias("c"))
     total = words.agg(F.sum("c").cast("double")).scalar()
-    joined = (
-        counts.where(F.col("second").isNotNull())
-        .join(words.select(F.col("token").alias("first"), F.col("c").alias("c1")), "first")
-        .join(words.select(F.col("token").alias("second"), F.col("c").alias("c2")), "second")
-        .withColumn("total", total)
-    )
+    # A frequent word has very many neighbours: its pairs are dealt out over the salts on both sides.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    salted = freeze(words.select("token", "c", salts))
+
+    def with_count(pairs: DataFrame, word: str, other: str, name: str) -> DataFrame:
+        side = salted.select(F.col("token").alias(word), F.col("c").alias(name), "salt")
+        dealt = pairs.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+        return dealt.join(side, [word, "salt"]).drop("salt")
+
+    pairs = counts.where(F.col("second").isNotNull())
+    joined = with_count(with_count(pairs, "first", "second", "c1"), "second", "first", "c2").withColumn("total", total)
     n12, c1, c2, t = (F.col(c).cast("double") for c in ("n", "c1", "c2", "total"))
     # A text of one distinct word leaves nothing outside c1; the pair is then expected anyway.
     p, p1, p2 = c2 / t, n12 / c1, F.coalesce(F.try_divide(c2 - n12, t - c1), F.lit(0.0))

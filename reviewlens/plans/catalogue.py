@@ -12,7 +12,6 @@ from ..functions import markup, names, numbers, texts
 from ..functions import patterns as P
 from ..operators import clean, relate, sentiment, stats, words
 from ..operators.extract import explode_blocks, pick, step
-from ..session import freeze
 
 # Where the fields of the list, detail and review pages stand.
 LIST_ITEM = step("div.item")
@@ -25,7 +24,7 @@ MOVIE_FIELDS = {
     "about": pick("div.bd", "p"),
     "quote_text": pick("p.quote"),
     "quote_span": pick("p.quote", "span"),
-    "link": pick("a", attr="href"),
+    "link": pick("a", attr="href", only_first=True),
     "image": pick("img", attr="src"),
 }
 ITEM_FIELDS = {
@@ -115,8 +114,7 @@ def parse_item_details(pages: DataFrame) -> DataFrame:
         "year_text": pick("span.year", own_text=True),
         "info": pick_having("div", own_text=True, every=True, id="info"),
         "genres": pick_having("span", own_text=True, every=True, property="v:genre"),
-        "links": pick("a", attr="href", every=True),
-        "link_texts": pick("a", every=True),
+        "imdb": pick("a", where=("href", "imdb.com")),
         "posters": pick_having("div", "img", attr="src", id="mainpic"),
     }
     body = explode_blocks(pages, DETAIL_PAGE, fields, keep=("url",)).where(F.col("position") == 1)
@@ -126,16 +124,7 @@ def parse_item_details(pages: DataFrame) -> DataFrame:
         F.btrim("year_text", F.lit("() ")).alias("year"),
         F.nullif(F.regexp_extract(info, P.DURATION, 1), F.lit("")).alias("duration"),
         markup.join_texts(F.col("genres"), ", ").alias("genre"),
-        F.get(
-            F.transform(
-                F.filter(
-                    F.arrays_zip(F.col("links").alias("link"), F.col("link_texts").alias("text")),
-                    lambda a: F.contains(a["link"], F.lit("imdb.com")),
-                ),
-                lambda a: a["text"],
-            ),
-            F.lit(0),
-        ).alias("imdb_rating"),
+        F.col("imdb").alias("imdb_rating"),
         F.col("posters").alias("poster_url"),
     )
 
@@ -153,11 +142,16 @@ def parse_reviews(
     keep: Sequence[str] = ("page_id", "url"),
     no_rating: str = S.NO_RATING_FLAT,
     limit: int | None = None,
+    require: Sequence[str] = (),
 ) -> DataFrame:
-    """Reviews with text, in page order; with ``limit`` those among the first ``limit`` blocks of a page."""
+    """Reviews with text, in page order; with ``limit`` those among the first ``limit`` blocks of a page.
+
+    A block that lacks one of the elements ``require`` names (username, comment_time) is skipped.
+    """
     blocks = explode_blocks(pages, REVIEW_BLOCK, REVIEW_FIELDS, keep)
     if limit is not None:
         blocks = blocks.where(F.col("position") <= limit)
+    blocks = blocks.dropna(subset=list(require)) if require else blocks
     return blocks.select(
         *keep,
         "position",
@@ -170,7 +164,8 @@ def parse_reviews(
 
 def with_poster_paths(movies: DataFrame, listing: DataFrame, folder: str, min_bytes: int = 1024) -> DataFrame:
     """Adds ``poster_path``: the file of a movie's poster where ``listing`` has a valid one, else ''."""
-    valid = listing.where(F.col("length") > min_bytes).select(F.col("name").alias("poster_name"), F.lit(True).alias("__held"))
+    held = listing.where(F.col("length") > min_bytes).select(F.col("name").alias("poster_name")).distinct()
+    valid = held.withColumn("__held", F.lit(True))
     path = F.concat(F.lit(folder.rstrip("/") + "/"), "poster_name")
     return (
         movies.join(valid, "poster_name", "left")
@@ -179,37 +174,59 @@ def with_poster_paths(movies: DataFrame, listing: DataFrame, folder: str, min_by
     )
 
 
-def assemble(lists: DataFrame, details: DataFrame, posters: DataFrame | None = None, folder: str = "") -> tuple[DataFrame, DataFrame]:
-    """(raw movies, reviews) from list pages (page_id, url, html) and detail pages (url, html).
+def _latest(details: DataFrame, order_by: Sequence) -> DataFrame:
+    """One page per url, the last in ``order_by`` and then by a digest; pages without url belong to no movie."""
+    return relate.keep_last(details.where(F.col("url") != ""), ["url"], [*order_by, F.xxhash64("html")])
+
 
-    Movies pass the gate; reviews are taken before it, so those of a rejected movie stay, as orphans.
-    A movie with a link gets year, runtime and imdb from its detail page, '' where that has none; one
-    without a link gets NULL.
+def assemble_movies(
+    lists: DataFrame, details: DataFrame, posters: DataFrame | None = None, folder: str = "",
+    order_by: Sequence = (),
+) -> DataFrame:
+    """Raw movies from list pages (page_id, url, html) and detail pages (url, html).
+
+    Movies pass the gate. One with a link gets year, runtime and imdb from its detail page, '' where that
+    has none; one without a link gets NULL and meets no detail page. Of several pages of one url the last in
+    ``order_by`` (columns of ``details``) counts.
     """
-    parsed = freeze(parse_movies(lists))
+    passed = clean.accepted(parse_movies(lists))
     linked = F.col("detail_url") != ""
-    reviews = (
-        parse_reviews(details, keep=("url",), limit=S.REVIEWS_PER_MOVIE)
-        .withColumnsRenamed({"url": "detail_url", "position": "review"})
-        .join(parsed.where(linked).select("page_id", "position", "rank_num", "detail_url"), "detail_url")
-    )
+    extra = ["year", "runtime", "imdb"]
+    found = relate.override(passed.where(linked), parse_details(_latest(details, order_by)), "detail_url", extra)
+    without = passed.where(~linked).withColumns({c: F.lit(None).cast("string") for c in extra})
+    movies = found.unionByName(without)
+    if posters is not None:
+        movies = with_poster_paths(movies, posters, folder)
+    else:
+        movies = movies.withColumn("poster_path", F.lit(""))
+    return movies.select(*[F.col(c).cast("string").alias(c) for c in S.RAW_MOVIES.names])
+
+
+def assemble_reviews(lists: DataFrame, details: DataFrame, order_by: Sequence = ()) -> DataFrame:
+    """Reviews of the listed movies with gap-free ordinals, from list pages and detail pages.
+
+    They are taken before the gate, so those of a rejected movie stay, as orphans. Blocks without author or time
+    are skipped.
+    """
+    listed = parse_movies(lists).where(F.col("detail_url") != "").select("page_id", "position", "rank_num", "detail_url")
+    found = parse_reviews(
+        _latest(details, order_by), keep=("url",), limit=S.REVIEWS_PER_MOVIE, require=("username", "comment_time")
+    ).withColumnsRenamed({"url": "detail_url", "position": "review"})
     numbered = relate.with_row_id(
-        reviews.select(
+        found.join(listed, "detail_url").select(
             "page_id", "position", "review", F.col("rank_num").cast("int").alias("movie_rank"),
             "username", "rating", "content", "comment_time",
         ),
         ["page_id", "position", "review"],
         "ordinal",
     )
-    extra = ["year", "runtime", "imdb"]
-    movies = relate.override(clean.accepted(parsed), parse_details(details), "detail_url", extra)
-    movies = movies.withColumns({c: F.when(linked, F.col(c)) for c in extra})
-    if posters is not None:
-        movies = with_poster_paths(movies, posters, folder)
-    else:
-        movies = movies.withColumn("poster_path", F.lit(""))
-    texts_only = [F.col(c).cast("string").alias(c) for c in S.RAW_MOVIES.names]
-    return movies.select(*texts_only), numbered.select(*S.REVIEWS.names)
+    return numbered.select(*S.REVIEWS.names)
+
+
+def assemble(lists: DataFrame, details: DataFrame, posters: DataFrame | None = None, folder: str = "",
+             order_by: Sequence = ()) -> tuple[DataFrame, DataFrame]:
+    """(raw movies, reviews); each is parsed only when it is used."""
+    return assemble_movies(lists, details, posters, folder, order_by), assemble_reviews(lists, details, order_by)
 
 
 def clean_movies(raw: DataFrame, order_by: Sequence[str] = ("rank_num",)) -> DataFrame:

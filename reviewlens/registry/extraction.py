@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import markup, names
+from ..operators import extract
 from ..operators.extract import explode_blocks, pick, step
 from ..plans import catalogue
 from ..session import spread
@@ -12,8 +13,9 @@ from .base import query, sql_strip, table
 
 
 def sql_decode(x: str) -> str:
-    for entity, char in markup.ENTITIES:
-        x = f"replace({x}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+    """The references that the given pages hold, written out here so that the check has its own list."""
+    for entity, char in (("&copy;", "©"), ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
     return x
 
 
@@ -22,7 +24,7 @@ def sql_text(found: str) -> str:
 
 
 def sql_open(tag: str, cls: str | None = None) -> str:
-    return markup.open_tag(tag, cls)
+    return f'<{tag} class="{cls}">' if cls else f"<{tag}>"
 
 
 @query(
@@ -159,16 +161,17 @@ SELECT p_partkey AS page_id, 1 AS position, p_partkey AS rank_num, concat(p_name
   CAST(CASE WHEN p_size % 7 <> 0 THEN p_size * 1000 + 345 ELSE 0 END AS BIGINT) AS comment_num,
   'line oneline two' AS info,
   CASE WHEN p_size % 5 <> 0 OR p_size % 3 <> 0 THEN p_type ELSE '无经典台词' END AS quote,
-  concat('/subject/', p_partkey, '/') AS detail_url,
+  concat('/subject/', p_partkey, '/') AS detail_url, '' AS poster_url,
+  concat(trim(left(replace(concat(p_name, ' ', p_brand), '#', '_'), 30)), '.jpg') AS poster_name,
   CASE WHEN p_partkey = 0 THEN 'rank_num' END AS reject_reason
 FROM part
 UNION ALL
-SELECT p_partkey, 2, 0, '<No> rank', 0.0, 0, '', '无经典台词', '', 'rank_num' FROM part
+SELECT p_partkey, 2, 0, '<No> rank', 0.0, 0, '', '无经典台词', '', '', '_No_ rank.jpg', 'rank_num' FROM part
 """
 )
 def movie_pages(spark, sf):
     parsed = catalogue.parse_movies(spread(_list_pages(spark, sf)))
-    return parsed.drop("url", "poster_url", "poster_name")
+    return parsed.drop("url")
 
 
 @query(
@@ -194,7 +197,9 @@ def _detail_pages(spark, sf, before, after):
         (F.col("p_size") + 1900).cast("string"),
         F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("-10-14<br>片长: "), size, F.lit(" 分钟"))).otherwise(F.lit("")),
         F.when(F.col("p_size") % 3 != 0, F.concat(F.lit("<br>imdb:  tt"), n, F.lit(" more"))).otherwise(F.lit("")),
-        F.lit('</div><div class="comment-item"><span class="short">about '),
+        F.lit('</div><div class="comment-item"><span class="comment-info">'),
+        F.when(F.col("p_size") % 5 != 0, F.concat(F.lit('<a href="/u">user '), size, F.lit("</a>"))).otherwise(F.lit("")),
+        F.lit('<span class="comment-time"> 2024-01-02 </span></span><span class="short">about '),
         F.col("p_name"),
         F.lit('</span></div><div class="comment-item"><span class="short"></span></div></body>'),
     )
@@ -244,29 +249,91 @@ def review_pages(spark, sf):
     return catalogue.parse_reviews(spread(pages), keep=("conv_id", "turn"))
 
 
+# Every ninth detail page is there twice, the earlier one with another year.
+def _repeated_details(spark, sf):
+    details = _detail_pages(spark, sf, "/subject/", "/").withColumn("fetched", F.lit(2))
+    key = F.regexp_extract("url", "([0-9]+)", 1).cast("long")
+    earlier = details.where(key % 9 == 0).select(
+        "url", F.regexp_replace("html", "上映: [0-9]+", "上映: 1888").alias("html"), F.lit(1).alias("fetched")
+    )
+    return spread(details.unionByName(earlier))
+
+
 @query(
     """
 SELECT CAST(p_partkey AS VARCHAR) AS rank_num, concat(p_name, ' ', p_brand) AS title,
-  concat(p_size % 10, '.5') AS rating, concat('/subject/', p_partkey, '/') AS detail_url,
+  concat(p_size % 10, '.5') AS rating,
+  CAST(CASE WHEN p_size % 7 <> 0 THEN p_size * 1000 + 345 ELSE 0 END AS VARCHAR) AS comment_num, 'line oneline two' AS info,
+  CASE WHEN p_size % 5 <> 0 OR p_size % 3 <> 0 THEN p_type ELSE '无经典台词' END AS quote,
+  concat('/subject/', p_partkey, '/') AS detail_url, '' AS poster_path,
   CAST(1900 + p_size AS VARCHAR) AS year, CASE WHEN p_size % 4 <> 0 THEN concat(p_size, '分钟') ELSE '' END AS runtime,
   CASE WHEN p_size % 3 <> 0 THEN concat('tt', p_partkey) ELSE '' END AS imdb
 FROM part WHERE p_partkey > 0
 """
 )
 def assembled_movies(spark, sf):
-    details = _detail_pages(spark, sf, "/subject/", "/")
-    movies, _ = catalogue.assemble(spread(_list_pages(spark, sf)), spread(details))
-    return movies.select("rank_num", "title", "rating", "detail_url", "year", "runtime", "imdb")
+    """All columns of raw movies; a repeated detail page counts once, in its later form."""
+    details = _repeated_details(spark, sf)
+    return catalogue.assemble_movies(spread(_list_pages(spark, sf)), details, order_by=["fetched"])
 
 
 @query(
     """
 SELECT row_number() OVER (ORDER BY p_partkey) AS ordinal, CAST(p_partkey AS INTEGER) AS movie_rank,
-  '无评分' AS rating, concat('about ', p_name) AS content FROM part
+  concat('user ', p_size) AS username, '无评分' AS rating, concat('about ', p_name) AS content, '2024-01-02' AS comment_time
+FROM part WHERE p_size % 5 <> 0
 """
 )
 def assembled_reviews(spark, sf):
-    """Reviews of all listed movies, the one the gate refuses among them."""
-    details = _detail_pages(spark, sf, "/subject/", "/")
-    _, reviews = catalogue.assemble(spread(_list_pages(spark, sf)), spread(details))
-    return reviews.select("ordinal", "movie_rank", "rating", "content")
+    """Reviews of all listed movies, the one the gate refuses among them; blocks without an author are skipped."""
+    details = _repeated_details(spark, sf)
+    return catalogue.assemble_reviews(spread(_list_pages(spark, sf)), details, order_by=["fetched"])
+
+
+@query(
+    """
+SELECT page_id, CAST(position AS INTEGER) AS position, label, CAST(NULL AS VARCHAR) AS reason FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)', 1)) AS label,
+    generate_subscripts(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)', 1), 1) AS position
+  FROM pages WHERE page_id % 5 <> 0)
+UNION ALL
+SELECT page_id, 0, NULL, 'AssertionError' FROM pages WHERE page_id % 5 = 0
+"""
+)
+def refused_pages(spark, sf):
+    """Every fifth page holds a declaration that the parser refuses: listed with its reason, the others give rows."""
+    broken = F.when(F.col("page_id") % 5 == 0, F.concat(F.col("html"), F.lit("<![foo bar]>"))).otherwise(F.col("html"))
+    pages = spread(table(spark, sf, "pages").select("page_id", "url", broken.alias("html")))
+    good = explode_blocks(pages, step("li"), {"label": pick("a")}, keep=("page_id",))
+    bad = extract.refused_pages(pages, keep=("page_id",)).select(
+        "page_id", F.lit(0).alias("position"), F.lit(None).cast("string").alias("label"),
+        F.substring_index("reason", ":", 1).alias("reason"),
+    )
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query(
+    """
+SELECT concat('/subject/', p_partkey, '/') AS detail_link, CAST(1900 + p_size AS VARCHAR) AS year,
+  CASE WHEN p_size % 4 <> 0 THEN concat(p_size, '分钟') END AS duration, concat(p_type, ', ', p_brand) AS genre,
+  CASE WHEN p_size % 3 <> 0 THEN concat('tt', p_partkey) END AS imdb_rating, concat('p', p_partkey, '.jpg') AS poster_url
+FROM part
+"""
+)
+def item_details(spark, sf):
+    """Detail pages of the nested flow, with anchors that have no href before the one wanted."""
+    return catalogue.parse_item_details(spread(_item_detail_pages(spark, sf)))
+
+
+def _item_detail_pages(spark, sf):
+    n, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    html = F.concat(
+        F.lit('<body><a name="top">TOP</a><a href="/x">X</a><span class="year">('), (F.col("p_size") + 1900).cast("string"),
+        F.lit(')</span><div id="mainpic"><a href="/p"><img src="p'), n, F.lit('.jpg"></a></div><div id="info">'),
+        F.when(F.col("p_size") % 4 != 0, F.concat(F.lit("片长: "), size, F.lit("分钟"))).otherwise(F.lit("")),
+        F.lit('<span property="v:genre">'), F.col("p_type"), F.lit('</span><span property="v:genre">'), F.col("p_brand"),
+        F.lit("</span>"),
+        F.when(F.col("p_size") % 3 != 0, F.concat(F.lit('<a href="http://www.imdb.com/t">tt'), n, F.lit("</a>"))).otherwise(F.lit("")),
+        F.lit("</div></body>"),
+    )
+    return table(spark, sf, "part").select(F.concat(F.lit("/subject/"), n, F.lit("/")).alias("url"), html.alias("html"))

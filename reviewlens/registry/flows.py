@@ -17,10 +17,18 @@ def _stream(spark, sf, name):
     return flows.file_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
 
 
-@query(ORACLE["upsert_latest"])
+@query(
+    """
+WITH e AS (SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, event_id, event_type, value, ts FROM events)
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e)
+WHERE rn = 1 OR user_id IS NULL
+"""
+)
 def stream_upsert(spark, sf):
     root = scratch_dir(spark, "upsert")
-    events = _stream(spark, sf, "events").select("user_id", "event_id", "event_type", "value", "ts")
+    user = F.when(F.col("event_id") % 11 != 0, F.col("user_id").cast("string")).alias("user_id")
+    events = _stream(spark, sf, "events").select(user, "event_id", "event_type", "value", "ts")
 
     def to_json(batch_id):
         return lambda df: sinks.write_json(df, f"{root}/json/batch_id={batch_id}")

@@ -107,7 +107,7 @@ SELECT doc_id, lang, source, text FROM (
 )
 def dedup_first(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
-    return relate.keep_first(docs, ["text", "lang"], ["doc_id"])
+    return relate.keep_first(docs, [*relate.text_key("text"), "lang"], ["doc_id"])
 
 
 @query(

@@ -56,7 +56,7 @@ def page_offsets(spark, sf):
 )
 def table_counts(spark, sf):
     tables = {t: files.open_parquet(spark, f"{sf}/{t}.parquet") for t in [*TABLES, "absent"]}
-    return files.table_counts(tables)
+    return files.table_counts(spark, tables)
 
 
 @query(
@@ -134,14 +134,18 @@ def run_partition_latest(spark, sf):
 
 @query(
     """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, value, event_type,
+    CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS src FROM events)
 SELECT event_id, user_id, value, event_type FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY src DESC, event_id DESC) AS rn FROM (
-    SELECT event_id, user_id, value, event_type, CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS src FROM events))
-WHERE (src = 1 AND rn = 1) OR (src = 0 AND user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'view'))
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY src DESC, event_id DESC) AS rn FROM e)
+WHERE user_id IS NULL OR (src = 1 AND rn = 1)
+  OR (src = 0 AND user_id NOT IN (SELECT user_id FROM e WHERE src = 1 AND user_id IS NOT NULL))
 """
 )
 def upsert_merge(spark, sf):
-    events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
+    """Some events have no user: they replace nothing and all stay."""
+    user = F.when(F.col("event_id") % 11 != 0, F.col("user_id").cast("string")).alias("user_id")
+    events = table(spark, sf, "events").select("event_id", user, "value", "event_type")
     views = F.col("event_type") == "view"
     return sinks.upsert(events.where(~views), events.where(views), ["user_id"], ["event_id"])
 

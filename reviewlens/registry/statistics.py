@@ -141,7 +141,7 @@ def linear_trend(spark, sf):
     return line.withColumns({"slope": F.round("slope", 6), "intercept": F.round("intercept", 6)})
 
 
-REPS, BLOCKS, POINTS = 200, 1024, 50
+REPS, BLOCKS, POINTS = 1000, 4096, 100
 _WEIGHT = (
     "CASE "
     + " ".join(f"WHEN u < {bound!r}::DOUBLE THEN {k}" for k, bound in enumerate(stats.POISSON_BOUNDS))

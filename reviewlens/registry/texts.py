@@ -38,14 +38,13 @@ def keywords_top(spark, sf):
 @query(
     f"""
 SELECT token, count(*) AS n FROM {TOKENS} WHERE token NOT IN (SELECT lang FROM documents) GROUP BY token
-HAVING count(*) >= 10
 """
 )
 def keywords_without(spark, sf):
     """Stop words from a table: counted first, then anti-joined."""
     stop = table(spark, sf, "documents").select(F.col("lang").alias("token")).distinct()
     counts = words.value_counts(words.tokens(_docs(spark, sf), "text", **OPTIONS), "token")
-    return words.without(counts, stop).where("n >= 10")
+    return words.without(counts, stop)
 
 
 @query(
@@ -193,7 +192,7 @@ def sentiment_score(spark, sf):
 
 @query(f"WITH {SCORED} SELECT doc_id, sentiment, score FROM scored")
 def sentiment_score_split(spark, sf):
-    """The plan for a model too large to broadcast: frequent tokens broadcast, the others shuffled."""
+    """With few hot tokens, so that most weights are met by the shuffle."""
     return _scored(spark, sf, hot_tokens=1000).drop("probability")
 
 
@@ -212,3 +211,29 @@ def sentiment_summary(spark, sf):
 @query(f"WITH {SCORED} SELECT count(score) AS n, coalesce(round_even(avg(score), 3), 0.5) AS average FROM scored")
 def sentiment_avg(spark, sf):
     return sentiment.average(_scored(spark, sf))
+
+
+TURN = sql_clean("text", P.KEEP_LATIN)
+
+
+@query(
+    f"""
+WITH {MODEL},
+mass AS (SELECT CAST(sum(n_pos) + count(*) FILTER (n_pos > 0) AS DOUBLE) AS tp,
+  CAST(sum(n_neg) + count(*) FILTER (n_neg > 0) AS DOUBLE) AS tn FROM model),
+r AS (SELECT row_number() OVER () AS r, CASE WHEN turn % 3 <> 0 THEN CAST(conv_id % 7 AS VARCHAR) END AS review, text
+  FROM conversations WHERE length(text) > 0),
+tok AS (SELECT r, unnest({sql_runs(TURN)}) AS token FROM r),
+sums AS (SELECT r, sum(ln((coalesce(n_pos, 0) + 1) / tp)) AS lp, sum(ln((coalesce(n_neg, 0) + 1) / tn)) AS ln
+  FROM tok LEFT JOIN model USING (token) CROSS JOIN mass GROUP BY r)
+SELECT review, round_even(CASE WHEN s.r IS NULL THEN 0.5 ELSE 1 / (1 + exp((ln(tn) + s.ln) - (ln(tp) + s.lp))) END, 3) AS score
+FROM r LEFT JOIN sums s USING (r) CROSS JOIN mass
+"""
+)
+def review_scores(spark, sf):
+    """One score per row, whatever its id: here ids repeat and every third is NULL."""
+    model = sentiment.fit_nb(_labelled(spark, sf), "text", "label", keep=P.KEEP_LATIN)
+    review = F.when(F.col("turn") % 3 != 0, (F.col("conv_id") % 7).cast("string")).alias("review")
+    turns = table(spark, sf, "conversations").select(review, "text")
+    scored = sentiment.with_sentiment(sentiment.score(turns, model, "review", "text", keep=P.KEEP_LATIN))
+    return scored.select("review", "score")

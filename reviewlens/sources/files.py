@@ -73,8 +73,8 @@ def page_offsets(totals: DataFrame, total: str, template: str, cap: int = 250, s
     return starts.withColumn("url", F.format_string(template, F.col("start")))
 
 
-def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """(table_name, n) for named tables; a table that could not be opened (None) counts 0."""
+def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) -> DataFrame:
+    """(table_name, n) for the named tables, one at least; a table that could not be opened (None) counts 0."""
     out = None
     for name, df in tables.items():
         if df is None:
@@ -82,12 +82,10 @@ def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
         row = df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"))
         out = row if out is None else out.unionAll(row)
     absent = [name for name, df in tables.items() if df is None]
-    if out is None:
-        raise ValueError("no table could be opened")
     if absent:
         names = F.array(*[F.lit(name) for name in absent])
-        zero = out.limit(1).select(F.explode(names).alias("table_name"), F.lit(0).cast("bigint").alias("n"))
-        out = out.unionAll(zero)
+        zero = spark.range(1).select(F.explode(names).alias("table_name"), F.lit(0).cast("bigint").alias("n"))
+        out = zero if out is None else out.unionAll(zero)
     return out
 
 

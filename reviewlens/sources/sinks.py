@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.relate import fk_valid, keep_last, unique_violations
+from ..operators.relate import fk_valid, keep_last_named, unique_violations
 from .files import open_parquet
 
 Writer = Callable[[DataFrame], None]
@@ -116,8 +116,11 @@ def comments_for_load(reviews: DataFrame, movies: DataFrame, rank: str = "rank_n
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence) -> DataFrame:
-    """``target`` with the last row per key of ``batch`` in place of its own; all columns are replaced."""
-    newest = keep_last(batch, keys, order_by)
+    """``target`` with the last row per key of ``batch`` in place of its own; all columns are replaced.
+
+    Rows with a NULL in their key replace nothing and are replaced by nothing.
+    """
+    newest = keep_last_named(batch, keys, order_by)
     kept = target.join(newest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(newest)
 

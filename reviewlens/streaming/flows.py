@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.relate import accumulate_pages, keep_first, keep_last
+from ..operators.relate import accumulate_pages, keep_first, keep_last_named
 from ..operators.validate import validate
 from ..sources.sinks import Writer, fan_out
 
@@ -80,14 +80,14 @@ def upsert_stream(
     checkpoint: str,
     sinks: Sequence[Callable[[int], Writer]] = (),
 ) -> StreamingQuery:
-    """Last row per key, whole rows replaced."""
-    return reduced_stream(stream, target, lambda df: keep_last(df, keys, order_by), checkpoint, sinks)
+    """Last row per key, whole rows replaced; rows with a NULL in their key all stay."""
+    return reduced_stream(stream, target, lambda df: keep_last_named(df, keys, order_by), checkpoint, sinks)
 
 
 def read_upserted(spark: SparkSession, target: str, keys: Sequence[str], order_by: Sequence) -> DataFrame:
     """The table behind ``upsert_stream``: a later batch wins, within a batch the last row."""
     rows = spark.read.parquet(target)
-    return keep_last(rows, keys, [F.col(BATCH), *order_by]).drop(BATCH)
+    return keep_last_named(rows, keys, [F.col(BATCH), *order_by]).drop(BATCH)
 
 
 def accumulate_stream(

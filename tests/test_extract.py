@@ -1,7 +1,7 @@
 import pytest
 
 from reviewlens.operators import clean
-from reviewlens.operators.extract import explode_blocks, parse, pick, step
+from reviewlens.operators.extract import explode_blocks, parse, pick, refused_pages, step
 from reviewlens.plans import catalogue
 
 ITEM = (
@@ -117,11 +117,13 @@ def test_assemble(spark):
     unlinked = ITEM.replace("<em>1", "<em>3").replace(' href="u"', "")
     refused = ITEM.replace("<em>1", "<em>0").replace('href="u"', 'href="w"')
     lists = spark.createDataFrame([(1, "l", ITEM + second), (2, "m", unlinked + refused)], "page_id long, url string, html string")
-    block = '<div class="comment-item"><span class="short">{}</span></div>'
+    known = '<span class="comment-info"><a>n</a></span><span class="comment-time">t</span>'
+    block = '<div class="comment-item">' + known + '<span class="short">{}</span></div>'
+    nameless = '<div class="comment-item"><span class="short">nobody</span></div>'
     info = '<div id="info">1994 142 分钟</div>'
     many = "".join(block.format("" if i == 0 else f"r{i:02d}") for i in range(20))
-    details = spark.createDataFrame([("u", info + many), ("w", block.format("orphan"))], "url string, html string")
-    posters = spark.createDataFrame([("T O.jpg", 2000)], "name string, length long")
+    details = spark.createDataFrame([("u", info + many), ("w", block.format("orphan") + nameless), ("u", info + many)], "url string, html string")
+    posters = spark.createDataFrame([("T O.jpg", 2000), ("T O.jpg", 3000)], "name string, length long")
     movies, reviews = catalogue.assemble(lists, details, posters, "posters/")
     got = {m.rank_num: m for m in movies.collect()}
     assert set(got) == {"1", "2", "3"}
@@ -132,3 +134,18 @@ def test_assemble(spark):
     assert rows == [(i, 1, f"r{i:02d}") for i in range(1, 15)] + [(15, 0, "orphan")]
     cleaned = catalogue.clean_movies(movies)
     assert cleaned.count() == 1  # one title and rating three times
+
+
+def test_refused_pages_are_listed(spark):
+    pages = spark.createDataFrame([(1, "<li>a</li>"), (2, "<li>b</li><![foo bar]>"), (3, None)], "page_id long, html string")
+    assert [(r.page_id, r.t) for r in explode_blocks(pages, step("li"), {"t": pick()}, keep=("page_id",)).collect()] == [(1, "a")]
+    refused = refused_pages(pages, keep=("page_id",)).collect()
+    assert [r.page_id for r in refused] == [2] and refused[0].reason.startswith("AssertionError")
+
+
+def test_first_anchor_and_anchor_by_link(spark):
+    html = '<li><a name="t">TOP</a><a href="/x">X</a><a href="http://www.imdb.com/t">tt1</a></li>'
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    fields = {"first": pick("a", attr="href", only_first=True), "any": pick("a", attr="href"), "imdb": pick("a", where=("href", "imdb.com"))}
+    (row,) = explode_blocks(pages, step("li"), fields, keep=("page_id",)).collect()
+    assert (row["first"], row["any"], row.imdb) == (None, "/x", "tt1")

@@ -94,7 +94,8 @@ def test_page_program(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(program, "build_session", lambda: spark)
     html = '<div class="item"><em>1</em><a href="u"><span class="title">T</span></a><span class="rating_num">9</span></div>'
     lists = spark.createDataFrame([(1, "l", html), (2, "m", "请验证")], "page_id long, url string, html string")
-    review = '<div class="comment-item"><span class="short">good</span></div>'
+    known = '<span class="comment-info"><a>n</a></span><span class="comment-time">t</span>'
+    review = '<div class="comment-item">' + known + '<span class="short">good</span></div>'
     lists.write.parquet(str(tmp_path / "l"))
     spark.createDataFrame([("u", review)], "url string, html string").write.parquet(str(tmp_path / "d"))
     out = tmp_path / "out"
@@ -190,3 +191,18 @@ def test_rank_windows_follow_a_limit(spark):
     for name in ("keywords_top", "value_counts_top", "share_top", "topk_rating", "term_weights"):
         text = plan(QUERIES[name](spark, SF))
         assert text.index("Window") < text.index("TakeOrderedAndProject")
+
+
+def test_reviews_without_ordinals(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(program, "build_session", lambda: spark)
+    movie = {"rank_num": "1", "title": "T", "rating": "9", "info": "", "quote": "q"}
+    (tmp_path / "m.json").write_text(json.dumps([movie]), encoding="utf-8")
+    reviews = [{"movie_rank": 1, "username": f"u{i}", "content": f"好看 喜欢 {i}"} for i in range(5)]
+    (tmp_path / "r.json").write_text(json.dumps(reviews), encoding="utf-8")
+    spark.createDataFrame([("好看", 1), ("难看", 0)], "text string, label int").write.parquet(str(tmp_path / "t"))
+    argv = ["movies", "--movies", str(tmp_path / "m.json"), "--reviews", str(tmp_path / "r.json"), "--labelled", str(tmp_path / "t")]
+    assert program.main([*argv, "--out", str(tmp_path / "o")]) == 0
+    scored = spark.read.parquet(str(tmp_path / "o/reports/sentiment")).collect()
+    assert sorted(r.ordinal for r in scored) == [1, 2, 3, 4, 5]
+    stored = spark.read.parquet(str(tmp_path / "o/comments")).collect()
+    assert sorted(r.content for r in stored) == [f"好看 喜欢 {i}" for i in range(5)]
