@@ -8,10 +8,15 @@
 3. Entries of a list carry the set's size and the n-gram's position. Sizes fall into blocks, and only the
    same and the next block can hold partners; inside, a pair is skipped when size and position leave
    too few n-grams to reach the threshold.
-4. Lists are answered through pivots: each set is first checked against the smallest set of the lists it
-   shares most with, and sets that link take over their pivot's component. Later rounds ask only sets of
-   other components. What pivots leave open between different components is checked pair by pair.
-   Every check is exact, on the whole sets.
+4. Lists are answered through pivots. In each list the set with fewest n-grams of its own is the pivot; every
+   set is checked against the pivot it shares most lists with, and linked sets form components.
+5. Sets checked against one pivot b share its answers: with r(x) n-grams of b missing in x and a(x) added, two
+   of them link only if their differences from b have ``needed(x, y) - |b| + r(x) + r(y)`` n-grams in
+   common. For a set that missed the threshold with b this is 1 or more with any other, so these pairs meet through
+   lists of differences, which are short and again skipped by position; nothing is compared that
+   agrees with b only.
+6. Sets of one list that have different pivots and components are checked pair by pair.
+   Every check is exact, on whole sets or whole differences.
 """
 
 from __future__ import annotations
@@ -37,7 +42,6 @@ PERCENT = 80
 ZONE = 0.25
 CUT = -(1 << 63) + int(ZONE * (1 << 64))
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes that may be broadcast; more are joined by a shuffle
-# Rounds of pivots end when a round adds no link; each answers every set once at most.
 SCHEMA = "doc_id long, n long, d1 long, d2 long, z int, grams array<long>"
 
 
@@ -98,7 +102,7 @@ def _can_link(percent: int) -> Column:
 
 
 def _lists(sets: DataFrame, percent: int) -> DataFrame:
-    """Inverted lists (gram, set, n, p) of the n-grams within reach, those of one set left out; stored."""
+    """Inverted lists (gram, set, n, p, own: n-grams that no other set has) of the n-grams within reach; stored."""
     exploded = sets.select("d1", "n", "z", F.posexplode("grams").alias("i", "gram"))
     # z tells the position of an n-gram in the zone once its count is known; outside, i is the position
     rows = exploded.select("gram", "d1", "n", F.when(F.col("gram") < CUT, F.col("z")).otherwise(F.col("i")).alias("zi"))
@@ -116,8 +120,9 @@ def _lists(sets: DataFrame, percent: int) -> DataFrame:
         F.transform("zone", lambda x, i: F.struct(x["gram"].alias("gram"), (F.col("z") - F.size("zone") + i).alias("p"))),
         F.transform("rest", lambda x: F.struct(x["gram"].alias("gram"), x["zi"].alias("p"))),
     )
+    own = F.col("z") - F.size("zone")
     near = F.filter(placed, lambda x: x["p"] < prefix_length(F.col("n"), percent))
-    return stored(per_set.select("d1", "n", F.inline(near)), "lists")
+    return stored(per_set.select("d1", "n", F.coalesce(own, F.lit(0)).alias("own"), F.inline(near)), "lists")
 
 
 def _block(n: Column, percent: int) -> Column:
@@ -126,18 +131,70 @@ def _block(n: Column, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) for pairs (a, b), by the overlap of the whole sets; stored."""
+    """Pairs (a, b) with sizes, overlap, whether they link and, where b comes close, how a differs from it; stored."""
     left = whole.select(F.col("d1").alias("a"), F.col("grams").alias("grams_a"))
     right = whole.select(F.col("d1").alias("b"), F.col("grams").alias("grams_b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    overlap = F.size(F.array_intersect("grams_a", "grams_b"))
-    linked = overlap >= _needed(F.size("grams_a"), F.size("grams_b"), percent)
-    return stored(joined.select("a", "b", linked.alias("linked")), "checked")
+    sized = pairs.join(left, "a").join(right, "b").select(
+        "a", "b", "grams_a", "grams_b", F.size("grams_a").alias("n_a"), F.size("grams_b").alias("n_b"),
+        F.size(F.array_intersect("grams_a", "grams_b")).alias("overlap"),
+    )
+    needed = _needed(F.col("n_a"), F.col("n_b"), percent)
+    differs = F.concat(F.array_except("grams_a", "grams_b"), F.array_except("grams_b", "grams_a"))
+    close = 2 * F.col("overlap") >= needed
+    return stored(
+        sized.select("a", "b", "n_a", "n_b", "overlap", (F.col("overlap") >= needed).alias("linked"),
+                     close.alias("close"), F.when(close, differs).alias("differs")),
+        "checked",
+    )
+
+
+def _by_differences(checked: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of sets checked against one pivot that link, at least one of them not with the pivot itself."""
+    close = checked.where("close").withColumnRenamed("b", "pivot")
+    missed = stored(
+        close.groupBy("pivot").agg(F.count(F.lit(1)).alias("found"), F.bool_and("linked").alias("all")).where("not all"), "missed"
+    )
+    members = join_hot(close, missed, ["pivot"], "found", "a").select(
+        "pivot", F.col("a").alias("x"), F.col("n_a").alias("n"), "n_b", (F.col("n_b") - F.col("overlap")).alias("r"),
+        (F.col("n_a") - F.col("overlap")).alias("more"), "linked", "differs",
+    )
+    entries = members.select("pivot", "x", F.explode("differs").alias("gram"))
+    repeated = stored(entries.groupBy("pivot", "gram").agg(F.count(F.lit(1)).alias("found")).where("found > 1"), "differences")
+    met = join_hot(entries, repeated, ["pivot", "gram"], "found", "x").groupBy("pivot", "x").agg(
+        F.sort_array(F.collect_list(F.struct("found", "gram"))).alias("listed")
+    )
+    # n-grams of one set only come first, then rarer ones; rest: how many of the set's differences are left from here
+    listed = met.join(members.drop("differs"), ["pivot", "x"]).select(
+        "pivot", "x", "n", "n_b", "r", "more", "linked", F.posexplode("listed").alias("place", "entry"), F.size("listed").alias("many")
+    )
+    placed = stored(
+        listed.select("pivot", "x", "n", "n_b", "r", "more", "linked", F.col("entry.gram").alias("gram"),
+                      (F.col("many") - F.col("place")).alias("rest")),
+        "placed",
+    )
+    # against any other member at least so many differences must agree, see the module's step 5
+    least_asker = _needed(F.col("n"), F.col("n_b"), percent) - F.col("n_b") + F.col("r")
+    askers = placed.where(~F.col("linked") & (F.col("rest") >= least_asker)).select(
+        "pivot", "gram", F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("r").alias("r_a"), F.col("rest").alias("rest_a"), "n_b"
+    )
+    # a partner adds (100 r + percent (more)) / (100 + percent) to what its asker needs at least, which is 1
+    least_target = 1 + F.floor((100 * F.col("r") + percent * F.col("more")) / F.lit(100 + percent))
+    targets = placed.where(F.col("rest") >= least_target).select(
+        "pivot", "gram", F.col("x").alias("b"), F.col("n").alias("m_b"), F.col("r").alias("r_b"), F.col("rest").alias("rest_b")
+    )
+    needed = _needed(F.col("n_a"), F.col("m_b"), percent) - F.col("n_b") + F.col("r_a") + F.col("r_b")
+    met = askers.join(targets, ["pivot", "gram"]).where((F.col("a") != F.col("b")) & (F.least("rest_a", "rest_b") >= needed))
+    pairs = met.groupBy("pivot", "a", "b").agg(F.first(needed).alias("needed"))
+    sets = members.select("pivot", F.col("x").alias("a"), F.col("differs").alias("differs_a"))
+    others = members.select("pivot", F.col("x").alias("b"), F.col("differs").alias("differs_b"))
+    joined = pairs.join(sets, ["pivot", "a"]).join(others, ["pivot", "b"])
+    agree = F.size(F.array_intersect("differs_a", "differs_b"))
+    return stored(joined.where(agree >= F.col("needed")).select("a", "b"), "differing")
 
 
 def _untested(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    """Pairs (a, b), in either order, that are not in ``tested`` (a > b)."""
-    seen = tested.select(F.col("a").alias("seen_a"), F.col("b").alias("seen_b"))
+    """Pairs (a, b) that are not in ``tested``, in either order."""
+    seen = tested.select(F.greatest("a", "b").alias("seen_a"), F.least("a", "b").alias("seen_b"))
     return pairs.join(
         seen, (F.greatest("a", "b") == F.col("seen_a")) & (F.least("a", "b") == F.col("seen_b")), "left_anti"
     )
@@ -159,50 +216,63 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     whole = full.join(ids, (F.col("d1") == F.col("asked_d1")) & F.col("doc_id").eqNullSafe(F.col("named")))
     whole = stored(whole.select("d1", "grams"), "sets")
 
-    links, tested, labels = None, None, None
     blocks = F.array(F.col("block"), F.col("block") - 1)
-    while True:
-        own = lists if labels is None else lists.join(labels.select(F.col("node").alias("d1"), "root"), "d1", "left")
-        label = F.col("d1") if labels is None else F.coalesce("root", "d1")
-        listed = own.select("gram", "d1", "n", "p", label.alias("label"), _block(F.col("n"), percent).alias("block"))
-        listed = stored(listed, "listed")
-        # the pivot of a list's block is its entry with the smallest component and, in it, the smallest set
-        reach = listed.select("gram", "d1", "n", "p", "label", F.explode(blocks).alias("block"))
-        pivots = stored(
-            reach.groupBy("gram", "block").agg(
-                F.min(F.struct("label", "d1", "n", "p")).alias("pivot"), F.count(F.lit(1)).alias("length")
-            ).where("length > 1"),
-            "pivots",
-        )
-        met = join_hot(reach, pivots, ["gram", "block"], "length", "d1").where(F.col("label") != F.col("pivot.label"))
-        met = met.select(
-            F.col("d1").alias("a"), F.col("n").alias("n_a"), F.col("p").alias("p_a"),
-            F.col("pivot.d1").alias("b"), F.col("pivot.n").alias("n_b"), F.col("pivot.p").alias("p_b"),
-        ).where(_can_link(percent))
-        counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"))
-        if tested is not None:
-            counted = _untested(counted, tested)
-        chosen = counted.groupBy("a").agg(F.max_by("b", F.struct("common", "b")).alias("b"))
-        checked = _verified(chosen.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), whole, percent)
-        tested = checked.select("a", "b") if tested is None else tested.unionByName(checked.select("a", "b"))
-        fresh = checked.where("linked").select("a", "b")
-        if fresh.isEmpty():
-            break
-        links = fresh if links is None else links.unionByName(fresh)
-        labels = components(links)
-    # what is open: pairs of different components in one list that size and position allow
-    right = listed.select(
-        "gram", F.explode(blocks).alias("block"), F.col("d1").alias("b"), F.col("n").alias("n_b"),
-        F.col("p").alias("p_b"), F.col("label").alias("label_b"), F.col("block").alias("block_b"),
+    listed = stored(lists.withColumn("block", _block(F.col("n"), percent)), "listed")
+    # pivots: in each block of a list (and the next one) the set with fewest n-grams of its own
+    reach = listed.select("gram", "d1", "n", "p", "own", F.explode(blocks).alias("block"))
+    pivots = stored(
+        reach.groupBy("gram", "block").agg(
+            F.min(F.struct("own", "d1", "n", "p")).alias("pivot"), F.count(F.lit(1)).alias("length")
+        ).where("length > 1"),
+        "pivots",
     )
-    left = listed.select(
-        "gram", "block", F.col("d1").alias("a"), F.col("n").alias("n_a"), F.col("p").alias("p_a"), F.col("label").alias("label_a")
+    met = join_hot(reach, pivots, ["gram", "block"], "length", "d1").select(
+        F.col("d1").alias("a"), F.col("pivot.d1").alias("b"), F.col("pivot.own").alias("own_b")
+    ).where(F.col("a") != F.col("b"))
+    # a set that cannot link with its pivot is checked too: what it shares decides about the pivot's other sets
+    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common"), F.first("own_b").alias("own_b"))
+    chosen = counted.groupBy("a").agg(F.max_by("b", F.struct("common", -F.col("own_b"), "b")).alias("b"))
+    checked = _verified(chosen, whole, percent)
+    links = checked.where("linked").select("a", "b").unionByName(_by_differences(checked, percent))
+    labels = components(links)
+
+    # what is open: pairs of different pivots and components in one list that size and position allow
+    heads = checked.where("close").select(F.col("b").alias("d1")).distinct().withColumn("head", F.col("d1"))
+    groups = checked.where("close").select(F.col("a").alias("d1"), F.col("b").alias("pivot"))
+    named = listed.join(heads, "d1", "left").join(groups, "d1", "left").join(labels.withColumnRenamed("node", "d1"), "d1", "left")
+    named = named.select(
+        "gram", "block", "d1", "n", "p", F.coalesce("head", "pivot", "d1").alias("pivot"), F.coalesce("root", "d1").alias("label")
     )
-    ordered = (F.col("block_b") > F.col("block")) | (F.col("a") > F.col("b"))
-    open_ = left.join(right, ["gram", "block"]).where(ordered & (F.col("label_a") != F.col("label_b")) & _can_link(percent))
-    open_ = _untested(open_.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), tested)
-    last = _verified(open_, whole, percent).where("linked").select("a", "b")
-    return components(last if links is None else links.unionByName(last))
+    mixed = stored(
+        named.groupBy("gram").agg(
+            F.min("pivot").alias("p1"), F.max("pivot").alias("p2"), F.min("label").alias("l1"), F.max("label").alias("l2"),
+            F.count(F.lit(1)).alias("length"),
+        ).where("p1 <> p2 and l1 <> l2").select("gram", "length"),
+        "mixed",
+    )
+    named = stored(join_hot(named, mixed, ["gram"], "length", "d1").drop("length"), "named")
+    # sets of one pivot in one block of a list stand together; what their best could reach decides whether two such meet
+    sides = named.groupBy("gram", "pivot", "block").agg(
+        F.max(F.col("n") - F.col("p")).alias("rest"), F.min("n").alias("n"), F.min("label").alias("l1"), F.max("label").alias("l2")
+    )
+    other = sides.select(
+        "gram", F.col("pivot").alias("pivot_b"), F.explode(blocks).alias("block"), F.col("block").alias("block_b"),
+        F.col("rest").alias("rest_b"), F.col("n").alias("m_b"), F.col("l1").alias("l1_b"), F.col("l2").alias("l2_b"),
+    )
+    several = (F.col("l1") != F.col("l2")) | (F.col("l1_b") != F.col("l2_b")) | (F.col("l1") != F.col("l1_b"))
+    reachable = F.least("rest", "rest_b") >= _needed(F.col("n"), F.col("m_b"), percent)
+    once = (F.col("block_b") > F.col("block")) | (F.col("pivot") > F.col("pivot_b"))
+    meet = sides.join(other, ["gram", "block"]).where((F.col("pivot") != F.col("pivot_b")) & once & several & reachable)
+    meet = meet.select("gram", "pivot", "block", "pivot_b", "block_b")
+    left = named.select("gram", "pivot", "block", F.col("d1").alias("a"), F.col("n").alias("n_a"), F.col("p").alias("p_a"), F.col("label").alias("label_a"))
+    right = named.select(
+        "gram", F.col("pivot").alias("pivot_b"), F.col("block").alias("block_b"), F.col("d1").alias("b"), F.col("n").alias("n_b"),
+        F.col("p").alias("p_b"), F.col("label").alias("label_b"),
+    )
+    open_ = meet.join(left, ["gram", "pivot", "block"]).join(right, ["gram", "pivot_b", "block_b"])
+    open_ = open_.where((F.col("label_a") != F.col("label_b")) & _can_link(percent)).select("a", "b").distinct()
+    last = _verified(_untested(open_, checked), whole, percent).where("linked").select("a", "b")
+    return components(links.unionByName(last))
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
