@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_name, table
+from .common import fresh_name, join_hot, stored, table
 from .registry import ORACLE, QUERIES
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -55,12 +55,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     keyed = _keyed(docs, doc_id, text, min_chars)
     shared = (
         keyed.groupBy("h1", "h2")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"), F.bool_or(F.col("id").isNull()).alias("unnamed"))
+        .agg(
+            F.min("id").alias("first"), F.max("id").alias("last"), F.bool_or(F.col("id").isNull()).alias("unnamed"),
+            F.count(F.lit(1)).alias("rows"),
+        )
         .where((F.col("first") != F.col("last")) | (F.col("unnamed") & F.col("first").isNotNull()))
-        .select("h1", "h2", "first")
+        .select("h1", "h2", "first", "rows")
     )
+    # a line of very many documents is dealt out by the texts' digests
     dropped = (
-        keyed.join(shared, ["h1", "h2"])
+        join_hot(keyed, stored(shared, "shared"), ["h1", "h2"], "rows", "digest")
         .where(~F.col("id").eqNullSafe(F.col("first")))
         .groupBy(F.col("id").alias(own_id), F.col("digest").alias(own_digest))
         .agg(F.collect_set("place").alias(own_places))
