@@ -28,6 +28,7 @@ UNDETERMINED = "und"
 BLOCK = 1024
 SAMPLE_CHARS = 24_000
 SAMPLE_ROWS = 200
+PARTS = 64
 SPACE = 0  # the symbol of everything that is no letter; runs of it count once
 
 
@@ -144,10 +145,13 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}")).select(
         F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(text).alias("h")
     )
+    # a language's rows compete in parts first, so that the last step sees a bounded number of them
+    in_part = W.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("h")
     by_hash = W.partitionBy("lang").orderBy("h")
     running = F.sum("size").over(by_hash.rowsBetween(W.unboundedPreceding, -1))
     picked = (
         rows.groupBy("lang", "h").agg(F.min(F.length("text")).alias("size"))
+        .withColumn("place", F.row_number().over(in_part)).where(F.col("place") <= sample_rows)
         .withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= sample_rows)
         .withColumn("before", F.coalesce(running, F.lit(0))).where(F.col("before") < sample_chars)
         .select("lang", "h")
