@@ -218,8 +218,12 @@ def judge_quality(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
     rows get equal results; other columns are not returned; an empty table gives no rows.
     """
     points = stored(measured(docs, doc_id, text), "measures")
-    # the documents with the smallest hashes: a bounded sample, the same on every run
-    drawn = points.select(F.xxhash64("doc_id", "features").alias("h"), "features").orderBy("h").limit(SAMPLE).collect()
+    # The documents with the smallest hashes: a bounded sample, the same on every run. Only hashes below a bound that
+    # leaves some four times as many take part, so that the tasks together hand on no more than that.
+    share = min(1.0, 4 * SAMPLE / max(points.count(), 1))
+    hashed = points.select(F.xxhash64("doc_id", "features").alias("h"), "features")
+    low = hashed.where(F.col("h") <= int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else F.lit(True))
+    drawn = low.orderBy("h").limit(SAMPLE).collect()
     sample = sorted((r.h, tuple(r.features)) for r in drawn)
     forest = fit_forest(np.array([f for _, f in sample]))
     shared = docs.sparkSession.sparkContext.broadcast(forest)
