@@ -15,7 +15,7 @@ from .common import join_hot, stored, table
 from .lines import UPPER
 from .registry import QUERIES
 
-DEPTH = 6
+DEPTH = 4
 SUPPORT = 20
 Z = 2.58
 STRENGTH = 5.0
@@ -66,7 +66,7 @@ def with_template(urls: DataFrame, depth: int = DEPTH, support: int = SUPPORT, z
         joined = join_hot(at_level, kept, ["host", "template", "segment"], "n", "id", "left")
         step = F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))
         grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(step)
-        rows = joined.select(*urls.columns, "segments", grown.alias("template"))
+        rows = stored(joined.select(*urls.columns, "segments", grown.alias("template")), "level")
     tail = F.when(F.size("segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
     return rows.select(*urls.columns, tail.alias("template"))
 
