@@ -48,11 +48,17 @@ def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
     if movies.isEmpty():
         print("no movie is left after cleaning")
         return 1
+    try:
+        sinks.check_unique(movies, ["rank_num"])
+        sinks.check_constraints(movies, S.MOVIE_LIMITS, S.MOVIE_NOT_NULL)
+    except sinks.ConstraintError as refusal:
+        print(f"movies are not loaded, the old table stays: {refusal}")
+        return 1
     numbered = relate.with_row_id(movies, ["rank_num", "title", "rating"])
     sinks.fan_out(
         numbered,
         [
-            lambda df: sinks.write_csv(df.drop("id"), f"{opts.out}/movies_csv"),
+            lambda df: sinks.write_csv(df.drop("id"), f"{opts.out}/movies_csv", bom=True),
             lambda df: sinks.write_json(df.drop("id"), f"{opts.out}/movies_json"),
             lambda df: _store(df, S.MOVIES_TABLE, S.MOVIES_ABSENT, f"{opts.out}/movies"),
         ],
@@ -70,6 +76,11 @@ def _movies(spark: SparkSession, opts: argparse.Namespace) -> int:
         reviews = reviews.withColumn("ordinal", F.coalesce("ordinal", "__number")).drop("__number")
         unique = relate.dedup_reviews(reviews, "movie_rank", "username", "content", ["ordinal"])
         stored = sinks.comments_for_load(unique, movies)
+        try:
+            sinks.check_constraints(stored, S.COMMENT_LIMITS, S.COMMENT_NOT_NULL)
+        except sinks.ConstraintError as refusal:
+            print(f"reviews are not loaded, the old table stays: {refusal}")
+            return 1
         stored = relate.with_row_id(stored, ["ordinal"])
         _store(stored, S.COMMENTS_TABLE, S.COMMENTS_ABSENT, f"{opts.out}/comments")
         parents = movies.select(F.col("rank_num").alias("movie_rank"))

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.names import safe_name  # noqa: F401  (part of the cleaning surface)
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:

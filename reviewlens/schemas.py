@@ -58,12 +58,6 @@ ITEMS = T.StructType(
     + [T.StructField("hot_comments", T.ArrayType(COMMENT))]
 )
 
-DETAILS = T.StructType(_strings("detail_url", "year", "runtime", "imdb"))
-
-PAGES = T.StructType(
-    [T.StructField("page_id", T.LongType()), *_strings("url", "html")]
-)
-
 RUNS = T.StructType(
     [
         T.StructField("run", T.StringType()),
@@ -144,9 +138,8 @@ POSITIVE, NEUTRAL, NEGATIVE = "正面", "中性", "负面"
 POSITIVE_ABOVE, NEGATIVE_BELOW = 0.7, 0.3
 NEUTRAL_SCORE = 0.5
 
-# Phrases that mark a blocked page, and status codes worth another request.
+# Phrases that mark a blocked page.
 BLOCK_PHRASES = ["检测到异常访问", "验证"]
-RETRY_CODES = [403, 429, 500, 502, 503, 504]
 
 # Review paging.
 REVIEWS_PER_MOVIE = 15

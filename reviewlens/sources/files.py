@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import LIST_CAP, LIST_STEP
+
 # Cell texts of a CSV file that mean "no value".
 CSV_MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -16,12 +18,13 @@ CSV_MISSING = [
 ]
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header; a byte-order mark and line breaks inside quotes are understood.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; a byte-order mark is understood, and with ``multi_line`` line breaks inside quotes.
 
-    The format has one spelling for NULL and '', which is read as NULL.
+    A file with line breaks inside quotes is read by one task. Without ``multi_line`` each record is one line
+    and large files are split. The format has one spelling for NULL and '', which is read as NULL.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return reader.schema(schema).csv(path) if schema else reader.csv(path)
 
 
@@ -31,11 +34,11 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType, lines: bool
 
 
 def load_raw(spark: SparkSession, path: str, schema: T.StructType, lines: bool = False) -> DataFrame:
-    """Raw records from ``.json`` or ``.csv``; a column the file lacks is NULL."""
+    """Raw records from ``.json`` or ``.csv``; a column the file lacks is NULL. ``lines``: one record per line."""
     if path.endswith(".json"):
         return read_json(spark, path, schema, lines)
     if path.endswith(".csv"):
-        cells = read_csv(spark, path)
+        cells = read_csv(spark, path, multi_line=not lines)
         cols = []
         for f in schema.fields:
             cell = F.col(f"`{f.name}`") if f.name in cells.columns else F.lit(None).cast("string")
@@ -63,7 +66,7 @@ def read_jdbc(
     )
 
 
-def page_offsets(totals: DataFrame, total: str, template: str, cap: int = 250, step: int = 25) -> DataFrame:
+def page_offsets(totals: DataFrame, total: str, template: str, cap: int = LIST_CAP, step: int = LIST_STEP) -> DataFrame:
     """One row per list page to fetch: the columns of ``totals``, ``start`` and ``url``.
 
     ``template`` holds ``%d`` for the offset. Offsets run from 0 below ``least(cap, total)``.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.relate import fk_valid, keep_last_named, unique_violations
+from ..operators.validate import constraint_report
 from .files import open_parquet
 
 Writer = Callable[[DataFrame], None]
@@ -19,13 +20,19 @@ class ConstraintError(ValueError):
     """A load was refused; the table it was meant for is as before."""
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header. Nested columns are written as JSON text."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
+    """CSV with a header. Nested columns are written as JSON text.
+
+    With ``bom`` every part file begins with a byte-order mark, which stands before its header.
+    """
     nested = ("array", "struct", "map")
     flat = [
         F.to_json(name).alias(name) if kind.startswith(nested) else F.col(name) for name, kind in df.dtypes
     ]
-    df.select(*flat).write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    out = df.select(*flat)
+    if bom:
+        out = out.withColumnRenamed(out.columns[0], "\ufeff" + out.columns[0])
+    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -68,6 +75,13 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise ConstraintError(f"duplicate {'/'.join(keys)}: {[tuple(r)[:-1] for r in bad]}")
 
 
+def check_constraints(df: DataFrame, limits: Mapping[str, int], not_null: Sequence[str] = ()) -> None:
+    """Refuse a load with texts over their limit or NULLs where none may be."""
+    bad = constraint_report(df, limits, not_null).where("violations > 0").collect()
+    if bad:
+        raise ConstraintError(", ".join(f"{r.column_name} {r.rule}: {r.violations}" for r in bad))
+
+
 def write_run(df: DataFrame, path: str, run_ts: str) -> None:
     """Keep earlier results: each run has a folder of its own, which a repeated run replaces."""
     df.write.mode("overwrite").parquet(f"{path}/run_ts={run_ts}")
@@ -84,9 +98,12 @@ def read_latest_run(spark: SparkSession, path: str) -> DataFrame:
     return runs.where(F.col("run_ts") == latest)
 
 
-def replace_table(df: DataFrame, path: str, keys: Sequence[str], run_ts: str) -> None:
+def replace_table(df: DataFrame, path: str, keys: Sequence[str], run_ts: str,
+                  limits: Mapping[str, int] | None = None, not_null: Sequence[str] = ()) -> None:
     """New content for a table: checked first, then written beside the old and read instead of it."""
     check_unique(df, keys)
+    if limits or not_null:
+        check_constraints(df, limits or {}, not_null)
     write_run(df, path, run_ts)
 
 

@@ -150,3 +150,22 @@ def test_jdbc_replace_checks_first(spark, monkeypatch):
     with pytest.raises(sinks.ConstraintError):
         sinks.jdbc_replace(spark.range(3).union(spark.range(1)), "jdbc:x", "movies", ["id"])
     assert len(made) == 1
+
+
+def test_csv_with_mark_and_one_record_per_line(spark, tmp_path):
+    df = spark.createDataFrame([(1, "甲"), (2, "b")], "id int, t string")
+    sinks.write_csv(df.coalesce(1), str(tmp_path / "m"), bom=True)
+    (part,) = (tmp_path / "m").glob("part-*.csv")
+    assert part.read_bytes().startswith(b"\xef\xbb\xbfid,t")
+    for multi_line in (True, False):
+        got = files.read_csv(spark, str(tmp_path / "m"), df.schema, multi_line)
+        assert sorted(map(tuple, got.collect())) == [(1, "甲"), (2, "b")]
+
+
+def test_constraints_refuse_a_load(spark, tmp_path):
+    good = spark.createDataFrame([(1, "a")], "rank_num int, title string")
+    sinks.replace_table(good, str(tmp_path / "t"), ["rank_num"], "1", {"title": 3}, ["title"])
+    for bad in ([(1, "long"), (2, "a")], [(1, None)]):
+        with pytest.raises(sinks.ConstraintError):
+            sinks.replace_table(spark.createDataFrame(bad, good.schema), str(tmp_path / "t"), ["rank_num"], "2", {"title": 3}, ["title"])
+    assert [tuple(r)[:2] for r in sinks.read_runs(spark, str(tmp_path / "t")).collect()] == [(1, "a")]
