@@ -5,13 +5,14 @@ text is parsed greedily: a phrase is the longest piece that the automaton still
 phrase starts after it. Phrases per symbol estimate the cross entropy with the language.
 
 The automata are fitted on a bounded sample of labelled rows (``sample_chars`` symbols a language, from at
-most ``sample_rows`` rows) and laid out as dense tables, so that a task walks thousands of text blocks
-in step. Blocks of ``BLOCK`` symbols keep long texts from setting the pace; a phrase ends with its block.
+most ``sample_rows`` rows) and laid out as hash tables of state and symbol, whose size does not depend on the
+number of letters, so that a task walks thousands of text blocks in step. Blocks of ``BLOCK`` symbols keep long texts from setting the pace; a phrase ends with its block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import ship, slices, table
+from .common import _FACTOR, ship, slices, table
 from .registry import QUERIES
 
 ship(__name__)
@@ -32,8 +33,17 @@ PARTS = 64
 SPACE = 0  # the symbol of everything that is no letter; runs of it count once
 
 
-def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
-    """Transition table (states x ``size``, 0 where there is none) of all substrings of ``symbols``."""
+class Automaton(NamedTuple):
+    """Transitions of a suffix automaton as three columns; ``size`` is one more than the largest symbol there can be."""
+
+    state: np.ndarray
+    symbol: np.ndarray
+    target: np.ndarray
+    size: int
+
+
+def suffix_automaton(symbols: np.ndarray, size: int) -> Automaton:
+    """Automaton of all substrings of ``symbols``; state 0 is the start, and no transition leads there."""
     follow: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in symbols.tolist():
@@ -59,29 +69,70 @@ def suffix_automaton(symbols: np.ndarray, size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    out = np.zeros((len(follow), size), np.int32)
-    for state, edges in enumerate(follow):
-        for c, target in edges.items():
-            out[state, c] = target
-    return out
+    degrees = np.fromiter(map(len, follow), np.int64, len(follow))
+    edges = int(degrees.sum())
+    return Automaton(
+        np.repeat(np.arange(len(follow)), degrees), np.fromiter((c for f in follow for c in f), np.int64, edges),
+        np.fromiter((t for f in follow for t in f.values()), np.int64, edges), size,
+    )
+
+
+class Walk:
+    """Transitions in a hash table with linear probing, at most a quarter full."""
+
+    def __init__(self, automaton: Automaton) -> None:
+        self.size = automaton.size
+        self.bits = max(4, (4 * len(automaton.state)).bit_length())
+        keys = automaton.state * self.size + automaton.symbol
+        home = self.slots(keys)
+        order = np.argsort(home, kind="stable")
+        # in the order of their slots each key takes its own one or the next free one
+        rank = np.arange(len(order))
+        place = np.maximum.accumulate(home[order] - rank) + rank if len(order) else rank
+        self.reach = int((place - home[order]).max(initial=0))
+        cells = (1 << self.bits) + len(order) + 1
+        self.keys, self.targets = np.full(cells, -1, np.int64), np.zeros(cells, np.int32)
+        self.keys[place], self.targets[place] = keys[order], automaton.target[order]
+        self.root = np.zeros(self.size, np.int64)
+        first = automaton.state == 0
+        self.root[automaton.symbol[first]] = automaton.target[first]
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def follow(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Next state for each pair, 0 where there is none."""
+        keys = state * self.size + symbol
+        at = self.slots(keys)
+        held = self.keys[at]
+        hit = held == keys
+        out = np.where(hit, self.targets[at], 0)
+        left = np.flatnonzero(~hit & (held >= 0))
+        for further in range(1, self.reach + 1):
+            if not len(left):
+                break
+            there = at[left] + further
+            held = self.keys[there]
+            hit = held == keys[left]
+            out[left[hit]] = self.targets[there[hit]]
+            left = left[~hit & (held >= 0)]
+        return out
 
 
-def walk_table(automaton: np.ndarray) -> np.ndarray:
-    """Flat table of 2 * (first cell of the next state) + (1 where a phrase ends), for every state and symbol.
+def walk_table(automaton: Automaton) -> Walk:
+    """What ``count_phrases`` walks by.
 
     Where the phrase cannot go on, the next one starts with this symbol. A symbol that the training
     text lacks is a phrase of its own.
     """
-    restart = automaton[0] * automaton.shape[1] * 2 + 1
-    going = automaton.astype(np.int64) * automaton.shape[1] * 2
-    return np.where(automaton > 0, going, restart[None, :]).astype(np.int64).ravel()
+    return Walk(automaton)
 
 
 def letter_symbols(known: list[str]) -> np.ndarray:
     """Code point to symbol: 0 no letter, 1.. the known letters in any case, last any other letter."""
     number = {c: i + 1 for i, c in enumerate(known)}
     other = len(known) + 1
-    out = np.zeros(0x110000, np.uint8)
+    out = np.zeros(0x110000, np.uint32)
     for point in range(0x110000):
         c = chr(point)
         if c.isalpha():
@@ -102,7 +153,7 @@ def symbols_of(texts: list[str], lookup: np.ndarray) -> tuple[np.ndarray, np.nda
     return symbols[keep], before[borders]
 
 
-def count_phrases(symbols: np.ndarray, starts: np.ndarray, walks: list[np.ndarray]) -> np.ndarray:
+def count_phrases(symbols: np.ndarray, starts: np.ndarray, walks: list[Walk]) -> np.ndarray:
     """Phrases of each text (rows) under each language's automaton (columns)."""
     texts = len(starts) - 1
     blocks = -(-np.diff(starts) // BLOCK)
@@ -117,15 +168,17 @@ def count_phrases(symbols: np.ndarray, starts: np.ndarray, walks: list[np.ndarra
     lanes = np.ascontiguousarray(padded[begin[:, None] + np.arange(BLOCK)[None, :]].T)
     out = np.zeros((texts, len(walks)), np.int64)
     for column, walk in enumerate(walks):
-        cell = np.zeros(len(begin), np.int64)
+        state = np.zeros(len(begin), np.int64)
         ended = np.zeros(len(begin), np.int64)
         for step in range(BLOCK):
             k = active[step]
             if not k:
                 break
-            found = walk[cell[:k] + lanes[step, :k]]
-            ended[:k] += found & 1
-            cell[:k] = found >> 1
+            symbol = lanes[step, :k]
+            found = walk.follow(state[:k], symbol)
+            over = found == 0
+            ended[:k] += over
+            state[:k] = np.where(over, walk.root[symbol], found)
         out[:, column] = np.bincount(owner, weights=ended, minlength=texts)
     return out
 
@@ -161,14 +214,16 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     sample: dict[str, str] = {}
     for row in sorted(chosen.collect(), key=lambda r: (r.lang, r.h)):
         sample[row.lang] = (sample.get(row.lang, "") + "\n" + row.text)[: 2 * sample_chars]
-    letters = sorted({c for t in sample.values() for c in t.lower() if len(c) == 1 and c.isalpha()})[:250]
+    letters = sorted({c for t in sample.values() for c in t.lower() if c.isalpha()})
     lookup = letter_symbols(letters)
     languages = sorted(sample)
     size = len(letters) + 2
-    automata = [suffix_automaton(symbols_of([sample[x]], lookup)[0], size) for x in languages]
-    for a in automata:
-        a[:, size - 1] = 0  # a letter that no language has shown
-    return {"languages": languages, "lookup": lookup, "walks": [walk_table(a) for a in automata]}
+    walks = []
+    for x in languages:
+        a = suffix_automaton(symbols_of([sample[x]], lookup)[0], size)
+        known = a.symbol < size - 1  # the last one is a letter that no language has shown
+        walks.append(walk_table(Automaton(a.state[known], a.symbol[known], a.target[known], size)))
+    return {"languages": languages, "lookup": lookup, "walks": walks}
 
 
 def judge(texts: list[str], model: dict) -> tuple[list[str], np.ndarray]:

@@ -77,3 +77,40 @@ def test_held_out_accuracy(spark):
     got = langid.op7_language_id(spark, "/root/testdata/sf0.01").where("held_out").join(docs, "doc_id")
     rows = [(r.lang, r.lang_pred) for r in got.where("lang is not null").collect()]
     assert sum(a == b for a, b in rows) >= 0.98 * len(rows) > 200
+
+
+def test_phrases_of_many_symbols():
+    rng = np.random.default_rng(4)
+    training = (rng.integers(0, 3000, 4000) ** 2 // 3000).astype(np.uint32)
+    walk = langid.walk_table(langid.suffix_automaton(training, 3002))
+    texts = [(rng.integers(0, 3002, n) ** 2 // 3002).astype(np.uint32) for n in (1, 40, 900, 1024)] + [training[700:1500]]
+    starts = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    plain = "".join(map(chr, training.tolist()))
+    want = []
+    for text in texts:
+        count, held = 0, ""
+        for c in map(chr, text.tolist()):
+            if held + c in plain:
+                held += c
+            else:
+                count, held = count + 1, c if c in plain else ""
+        want.append(count)
+    assert langid.count_phrases(np.concatenate(texts), starts, [walk])[:, 0].tolist() == want
+
+
+def test_tells_languages_of_many_letters(spark):
+    """Three scripts of 700 letters each, far more than the first few hundred letters there are."""
+    kinds = {"de": 0x1400, "ko": 0xAC00, "zh": 0x4E00}  # 'de' has one letter in four from Latin
+
+    def text(kind, seed):
+        rng = random.Random(seed)
+        pairs = [chr(kinds[kind] + random.Random(k).randrange(700)) + chr(kinds[kind] + random.Random(-k - 1).randrange(500)) for k in range(900)]
+        return " ".join("a" * (kind == "de") + rng.choice(pairs) + rng.choice(pairs) for _ in range(60))
+
+    names = sorted(kinds)
+    rows = [(i, text(names[i % 3], i), names[i % 3], None, None) for i in range(90)]
+    docs = frame(spark, rows, SCHEMA)
+    model = langid.fit(docs.where(langid.learned_from("doc_id")))
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert [got[r[0]].lang_pred for r in rows] == [r[2] for r in rows]
+    assert min(r.score for r in got.values()) > 0.1
