@@ -2,7 +2,8 @@
 
 The tree grows level by level. Under each node, path segments of few URLs are variable and become the
 wildcard ``*``; branches whose share of bad labelled pages does not differ from the node's own by more than
-chance allows merge into the wildcard too. A leaf is a template; it is rejected when its share of bad
+chance allows merge into the wildcard too. The tree goes as deep as any node of enough URLs has further
+segments. A leaf is a template; it is rejected when its share of bad
 labelled pages, smoothed towards its host's and that towards all pages', exceeds ``most_bad``.
 """
 
@@ -11,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from .common import join_hot, stored, table
 from .lines import UPPER
 from .registry import QUERIES
 
-DEPTH = 4
+DEPTH = 6  # levels that are written out even where a node has few URLs; no bound of the tree
 SUPPORT = 20
 Z = 2.58
 STRENGTH = 5.0
@@ -47,28 +49,40 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]] = RULE
 
 
 def with_template(urls: DataFrame, depth: int = DEPTH, support: int = SUPPORT, z: float = Z) -> DataFrame:
-    """``urls`` (id, host, path, bad) with the leaf ``template`` of each path; segments beyond ``depth`` are one ``**``."""
+    """``urls`` (id, host, path, bad) with the leaf ``template`` of each path.
+
+    Beyond ``depth`` levels the tree goes on under nodes of which at least ``support`` urls have a further
+    segment, however deep; under the others no branch could stand, and what is left of a path is one ``**``.
+    """
+    spark = urls.sparkSession
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    rows = urls.select("*", segments.alias("segments"), F.lit("").alias("template"))
-    for level in range(depth):
-        at_level = rows.withColumn("segment", F.get("segments", F.lit(level)))
-        counts = at_level.where(F.col("segment").isNotNull()).groupBy("host", "template", "segment").agg(
+    rows = urls.select("*", segments.alias("segments"), F.lit("").alias("template"), (F.size(segments) > 0).alias("more"))
+    schema, paths, level = rows.schema, [], 0
+    while True:
+        paths.append(scratch_dir(spark, "level"))
+        rows.write.parquet(paths[-1])
+        # finished rows stay in the files of their level
+        growing = spark.read.schema(schema).parquet(paths[-1]).where("more").withColumn("segment", F.get("segments", F.lit(level)))
+        counts = growing.groupBy("host", "template", "segment").agg(
             F.count(F.lit(1)).alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("n_bad")
         )
         counts = stored(counts, "segments")
+        if counts.isEmpty():
+            return spark.read.schema(schema).parquet(*paths).where("not more").select(*urls.columns, "template")
         nodes = counts.groupBy("host", "template").agg(
-            F.try_divide(F.sum("n_bad"), F.sum("labelled")).alias("share"), F.count(F.lit(1)).alias("branches")
+            F.try_divide(F.sum("n_bad"), F.sum("labelled")).alias("share"), F.sum("n").alias("size")
         )
         noise = z * F.sqrt(F.try_divide(F.col("share") * (1 - F.col("share")), F.col("labelled")))
         differs = F.abs(F.try_divide(F.col("n_bad"), F.col("labelled")) - F.col("share")) > noise
-        kept = counts.where((F.col("n") >= support) & (F.col("labelled") > 0)).join(nodes, ["host", "template"])
-        kept = stored(kept.where(differs).select("host", "template", "segment", "n", F.col("segment").alias("name")), "branches")
-        joined = join_hot(at_level, kept, ["host", "template", "segment"], "n", "id", "left")
-        step = F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))
-        grown = F.when(F.col("segment").isNull(), F.col("template")).otherwise(step)
-        rows = stored(joined.select(*urls.columns, "segments", grown.alias("template")), "level")
-    tail = F.when(F.size("segments") > depth, F.concat("template", F.lit("/**"))).otherwise(F.col("template"))
-    return rows.select(*urls.columns, tail.alias("template"))
+        own = F.coalesce((F.col("n") >= support) & (F.col("labelled") > 0) & differs, F.lit(False))
+        branches = counts.join(nodes, ["host", "template"]).where(own if level < depth else F.col("size") >= support)
+        branches = branches.select("host", "template", "segment", "n", F.when(own, F.col("segment")).otherwise("*").alias("name"))
+        joined = join_hot(growing, stored(branches, "branches"), ["host", "template", "segment"], "n", "id", "left")
+        # from ``depth`` on, only segments of nodes with few urls have no branch
+        name = F.coalesce("name", F.lit("*" if level < depth else "**"))
+        more = (F.size("segments") > level + 1) & (F.lit(level < depth) | F.col("name").isNotNull())
+        rows = joined.select(*urls.columns, "segments", F.concat("template", F.lit("/"), name).alias("template"), more.alias("more"))
+        level += 1
 
 
 def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", bad: str = "bad",

@@ -94,3 +94,27 @@ def test_query(spark):
         rows.append((r.page_id, r.url, labels.get(int(number[1])) if number else None))
     got = [(r.page_id, r.host, r.path, r.rule, r.verdict, r.template) for r in U.op6_url_filter(spark, sf).collect()]
     assert sorted(got) == sorted(brute(rows, U.SUPPORT)) and len({r[4] for r in got}) == 2
+
+
+def test_parts_that_differ_far_down(spark):
+    """Good and bad sections that part at the fifth, sixth and tenth segment, below equal ones."""
+    rng = random.Random(9)
+    rows = []
+    for host, above in (("five.example.io", 4), ("six.example.io", 5), ("ten.example.io", 9)):
+        for i in range(400):
+            kind = rng.choice(["news", "spam"])
+            bad = None if rng.random() < 0.4 else int(rng.random() < (0.95 if kind == "spam" else 0.05))
+            rows.append((len(rows), f"http://{host}/" + "s/" * above + f"{kind}/{i}/p", bad))
+    got = {r.page_id: r for r in U.judge_urls(frame(spark, rows, SCHEMA)).collect()}
+    want = {r[0]: r for r in brute(rows, U.SUPPORT, depth=15)}
+    assert {i: (r.verdict, r.template) for i, r in got.items()} == {i: (r[4], r[5]) for i, r in want.items()}
+    assert all((got[i].verdict == "block") == ("/spam/" in u) for i, u, _ in rows)
+
+
+def test_thin_parts_far_down_and_literal_stars(spark):
+    rows = [(i, f"http://a.io/1/2/3/4/5/6/{i}/x", i % 2) for i in range(19)]
+    rows += [(200 + i, f"http://c.io/1/2/3/4/5/6/{'**' if i % 2 else 'x'}/{'y' if i % 3 else 'z'}/{i}", i % 2) for i in range(90)] + [(100 + i, f"http://b.io/1/2/3/4/5/6/**/{i % 2}/{i}", i % 2) for i in range(90)]
+    got = [(r.page_id, r.template, r.verdict) for r in U.judge_urls(frame(spark, rows, SCHEMA), most_bad=0.6).collect()]
+    assert {t for i, t, _ in got if i < 100} == {"/*/*/*/*/*/*/**"}
+    assert sorted((i, t, v) for i, t, v in got if 100 <= i < 200) == [(100 + i, f"/*/*/*/*/*/*/*/{i % 2}/*", "block" if i % 2 else "allow") for i in range(90)]
+    assert {(i, t) for i, t, _ in got if i >= 200} == {(200 + i, f"/*/*/*/*/*/*/{'**' if i % 2 else 'x'}/*/*") for i in range(90)}
