@@ -40,7 +40,7 @@ ship(__name__)
 LENGTH = 100
 GRAM = 20
 BLOCK_BYTES = 4 << 20
-UNNAMED = 30  # bit of ``d`` that is set for NULL ids, which come last
+KEY = ["u", "k", "d"]  # what tells documents apart, in corpus order
 
 
 def window_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -97,16 +97,19 @@ class Parser:
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(k, d, text): id, 0 for NULL, and a digest that tells rows of one id apart and sorts NULL ids last."""
-    unnamed = F.col(doc_id).isNull().cast("int")
-    digest = F.hash(text).bitwiseAND(F.lit((1 << UNNAMED) - 1)).bitwiseOR(F.shiftleft(unnamed, UNNAMED))
+    """(u, k, d, text): 1 for a NULL id and 0 for others, the id, and 64 bits that tell texts of one id apart.
+
+    NULL ids have another 64 bits of their text as ``k``, so that any number of them stay apart.
+    """
+    unnamed = F.col(doc_id).isNull()
     return docs.select(
-        F.coalesce(F.col(doc_id), F.lit(0)).cast("long").alias("k"), digest.alias("d"), F.coalesce(text, F.lit("")).alias("text")
-    )
+        unnamed.cast("byte").alias("u"), F.when(unnamed, F.xxhash64(F.lit("k"), text)).otherwise(F.col(doc_id).cast("long")).alias("k"),
+        F.xxhash64(text).alias("d"), F.coalesce(text, F.lit("")).alias("text"),
+    )
 
 
 def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """(trigger, phrase, k, d, low, high) of every phrase.
+    """(trigger, phrase, u, k, d, low, high) of every phrase.
 
     Of equal phrases in one batch only the first can be the first of all; the others get NULL as phrase and
     a trigger of their own, so that a phrase of very many documents does not gather in one task.
@@ -125,48 +128,48 @@ def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                     for name, values in one.items():
                         found.setdefault(name, []).append(values)
                 got = {name: np.concatenate(values) for name, values in found.items()}
-                k, d = (part.column(c).to_numpy()[got["row"]] for c in ("k", "d"))
-                order = np.lexsort((got["low"], d, k, d >> UNNAMED, got["phrase"], got["trigger"]))
+                u, k, d = (part.column(c).to_numpy()[got["row"]] for c in KEY)
+                order = np.lexsort((got["low"], d, k, u, got["phrase"], got["trigger"]))
                 # rows that repeat an id and its text are one document
                 again = np.ones(max(len(order) - 1, 0), bool)
-                for column in (got["trigger"], got["phrase"], k, d, got["low"]):
+                for column in (got["trigger"], got["phrase"], u, k, d, got["low"]):
                     again &= column[order[1:]] == column[order[:-1]]
                 kept = np.sort(np.concatenate((order[:1], order[1:][~again])))
                 got = {name: values[kept] for name, values in got.items()}
-                k, d = k[kept], d[kept]
-                order = np.lexsort((got["low"], d, k, d >> UNNAMED, got["phrase"], got["trigger"]))
+                u, k, d = u[kept], k[kept], d[kept]
+                order = np.lexsort((got["low"], d, k, u, got["phrase"], got["trigger"]))
                 t, p = got["trigger"][order], got["phrase"][order]
                 later = np.zeros(len(order), bool)
                 later[order[1:]] = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
                 spread = common.mix((k * 31 + got["low"]).astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(later, spread, got["trigger"])), pa.array(got["phrase"], mask=later), pa.array(k), pa.array(d),
+                    [pa.array(np.where(later, spread, got["trigger"])), pa.array(got["phrase"], mask=later), pa.array(u), pa.array(k), pa.array(d),
                      pa.array(got["low"].astype(np.int32)), pa.array(got["high"].astype(np.int32))],
-                    names=["trigger", "phrase", "k", "d", "low", "high"],
+                    names=["trigger", "phrase", *KEY, "low", "high"],
                 )
 
-    return keyed.mapInArrow(run, "trigger long, phrase long, k long, d int, low int, high int")
+    return keyed.mapInArrow(run, "trigger long, phrase long, u byte, k long, d long, low int, high int")
 
 
 def _repeats(phrases: DataFrame) -> DataFrame:
-    """(k, d, low, high, trigger) of phrases that repeat an earlier one (trigger NULL) or are open (trigger given); stored.
+    """(u, k, d, low, high, trigger) of phrases that repeat an earlier one (trigger NULL) or are open (trigger given); stored.
 
     Open are the first of their kind whose trigger has another phrase. At the borders of a partition that
     cannot be told, and counts as open too.
     """
-    order = ["trigger", "phrase", F.shiftright("d", UNNAMED), "k", "d", "low"]
+    order = ["trigger", "phrase", *KEY, "low"]
     ranged = phrases.repartitionByRange("trigger", "phrase").sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = ()  # class, document and offset of the row before
         held = None  # the last first-of-its-kind, open if the next one has its trigger: (row, open)
         edge = True
-        names = ["k", "d", "low", "high", "trigger"]
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        names = [*KEY, "low", "high", "trigger"]
+        types = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
         def out(columns: list[np.ndarray], repeats: np.ndarray) -> pa.RecordBatch:
-            arrays = [pa.array(c, t) for c, t in zip(columns[:4], types, strict=False)]
-            return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[4], pa.int64(), mask=repeats)], names=names)
+            arrays = [pa.array(c, t) for c, t in zip(columns[:5], types, strict=True)]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array(columns[5], pa.int64(), mask=repeats)], names=names)
 
         for batch in batches:
             if not batch.num_rows:
@@ -179,31 +182,31 @@ def _repeats(phrases: DataFrame) -> DataFrame:
             if not live.any():
                 continue
             columns = [c[live] for c in columns]
-            trigger = columns[4]
+            trigger = columns[5]
             phrase = batch.column("phrase").fill_null(0).to_numpy()[live]
             same = np.zeros(len(trigger), bool)
             again = np.zeros(len(trigger), bool)
             same[1:] = (trigger[1:] == trigger[:-1]) & (phrase[1:] == phrase[:-1])
             again[1:] = same[1:]
-            for c in columns[:3]:
+            for c in columns[:4]:
                 again[1:] &= c[1:] == c[:-1]
-            ends = [tuple(int(c[i]) for c in (trigger, phrase, *columns[:3])) for i in (0, -1)]
+            ends = [tuple(int(c[i]) for c in (trigger, phrase, *columns[:4])) for i in (0, -1)]
             same[0], again[0] = last[:2] == ends[0][:2], last == ends[0]
             last = ends[1]
             # rows that repeat an id and its text are one document
             columns, first = [c[~again] for c in columns], ~same[~again]
-            trigger = columns[4]
+            trigger = columns[5]
             if not len(trigger):
                 continue
             if not first.all():
                 yield out([c[~first] for c in columns], np.ones(int((~first).sum()), bool))
             kinds = [c[first] for c in columns]
-            if not len(kinds[4]):
+            if not len(kinds[5]):
                 continue
             if held is not None:
                 kinds = [np.concatenate(([h], c)) for h, c in zip(held[0], kinds, strict=True)]
-            open_ = np.zeros(len(kinds[4]), bool)
-            same = kinds[4][1:] == kinds[4][:-1]
+            open_ = np.zeros(len(kinds[5]), bool)
+            same = kinds[5][1:] == kinds[5][:-1]
             open_[1:] |= same
             open_[:-1] |= same
             open_[0] |= edge if held is None else held[1]
@@ -216,7 +219,7 @@ def _repeats(phrases: DataFrame) -> DataFrame:
         if held is not None:
             yield out([np.array([h]) for h in held[0]], np.zeros(1, bool))
 
-    return stored(ranged.mapInArrow(run, "k long, d int, low int, high int, trigger long"), "repeats")
+    return stored(ranged.mapInArrow(run, "u byte, k long, d long, low int, high int, trigger long"), "repeats")
 
 
 def suffix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -259,24 +262,24 @@ class Block:
 
 
 def _windows(opened: DataFrame, length: int) -> DataFrame:
-    """Of open phrases (trigger, k, d, low, bytes): repeated windows (k, d, low, high) and, with h1 and h2, first ones
+    """Of open phrases (trigger, u, k, d, low, bytes): repeated windows (u, k, d, low, high) and, with h1 and h2, first ones
     of triggers that may go on in another block; stored."""
     ranged = opened.repartitionByRange("trigger", "k").sortWithinPartitions("trigger", "k")
-    schema = "k long, d int, low int, high int, h1 long, h2 long"
+    schema = "u byte, k long, d long, low int, high int, h1 long, h2 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, values = Powers(), [common.byte_values(seed) for seed in (3, 4)]
 
         def judged(block: pa.Table, border: set[int]) -> pa.RecordBatch:
             data, offsets = flat(block.column("bytes").combine_chunks())
-            trigger, k, d, low = (block.column(c).to_numpy() for c in ("trigger", "k", "d", "low"))
+            trigger, u, k, d, low = (block.column(c).to_numpy() for c in ("trigger", *KEY, "low"))
             windows = np.diff(offsets) - length + 1
             row = np.repeat(np.arange(len(k)), windows)
             at = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
             starts = offsets[row] + at - low[row]
             order, fresh = suffix_classes(data, starts, length)
             # in each class of the suffix array the first in corpus order stays
-            places = [d[row] >> UNNAMED, k[row], d[row], at]
+            places = [u[row], k[row], d[row], at]
             sort = np.lexsort(places[::-1])
             moves = np.zeros(len(row), bool)
             for c in places:
@@ -293,13 +296,12 @@ def _windows(opened: DataFrame, length: int) -> DataFrame:
             which = starts[cut]
             h = [span_hash(prefix_hash(v[data], powers), which, which + length, powers).view(np.int64) for v in values]
             none = np.ones(len(runs), bool)
-            columns = [np.concatenate((k[row[runs]], k[row[cut]])), np.concatenate((d[row[runs]], d[row[cut]])),
-                       np.concatenate((at[runs], at[cut])), np.concatenate((at[ends - 1], at[cut]))]
-            arrays = [pa.array(columns[0], pa.int64()), *[pa.array(c.astype(np.int32)) for c in columns[1:]]]
+            arrays = [pa.array(np.concatenate((c[row[runs]], c[row[cut]]))) for c in (u, k, d)]
+            arrays += [pa.array(np.concatenate((c, at[cut])).astype(np.int32)) for c in (at[runs], at[ends - 1])]
             mask = np.concatenate((none, np.zeros(int(cut.sum()), bool)))
             pad = np.zeros(len(runs), np.int64)
             arrays += [pa.array(np.concatenate((pad, x)), mask=mask) for x in h]
-            return pa.RecordBatch.from_arrays(arrays, names=["k", "d", "low", "high", "h1", "h2"])
+            return pa.RecordBatch.from_arrays(arrays, names=[*KEY, "low", "high", "h1", "h2"])
 
         block, border, seen = Block(), set(), None
         for batch in batches:
@@ -325,20 +327,20 @@ def _windows(opened: DataFrame, length: int) -> DataFrame:
 
 
 def _across_blocks(windows: DataFrame) -> DataFrame:
-    """(k, d, low, high) of windows whose first occurrence lies in another block."""
-    rows = windows.where("h1 is not null").select("h1", "h2", "k", "d", F.col("low").alias("at"))
-    place = F.struct(F.shiftright("d", UNNAMED).alias("u"), "k", "d", "at")
+    """(u, k, d, low, high) of windows whose first occurrence lies in another block."""
+    rows = windows.where("h1 is not null").select("h1", "h2", *KEY, F.col("low").alias("at"))
+    place = F.struct(*KEY, "at")
     firsts = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("found")).where("found > 1")
     met = join_hot(rows, stored(firsts, "firsts"), ["h1", "h2"], "found", "k")
-    return met.where(place != F.col("first")).select("k", "d", F.col("at").alias("low"), F.col("at").alias("high"))
+    return met.where(place != F.col("first")).select(*KEY, F.col("at").alias("low"), F.col("at").alias("high"))
 
 
 def _bucketed(keyed: DataFrame) -> DataFrame:
-    """The texts in buckets of their keys, so that joins on (k, d) do not move them again."""
+    """The texts in buckets of their keys, so that joins on them do not move them again."""
     spark = keyed.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"texts_{uuid.uuid4().hex}"
-    writer = keyed.repartition(buckets, "k", "d").write.bucketBy(buckets, "k", "d").option("compression", "zstd")
+    writer = keyed.repartition(buckets, *KEY).write.bucketBy(buckets, *KEY).option("compression", "zstd")
     writer.option("path", scratch_dir(spark, "texts")).saveAsTable(name)
     return spark.table(name)
 
@@ -347,7 +349,7 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per row of ``docs``.
 
     Texts are UTF-8 bytes, NULL is ''. A byte goes if a string of ``length`` bytes that covers it also starts
-    earlier: in a row with a smaller id (NULL ids last, rows of one id by a digest of their text), or in the same row
+    earlier: in a row with a smaller id (NULL ids last, rows of one id by 64 bits of their text's digest, NULL ids by 128), or in the same row
     at an earlier byte. ``n_spans`` counts the maximal runs removed, ``kept`` holds the bytes left, in order.
     Repeated rows are one document and get equal results. Texts shorter than ``length`` stay whole. Other columns
     are not returned. An empty table gives no rows.
@@ -356,17 +358,17 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         raise ValueError("gram must lie between 8 and length")
     texts = _bucketed(_keyed(docs, doc_id, text))
     found = _repeats(_phrases(texts, length, gram))
-    wanted = found.where("trigger is not null").groupBy("k", "d").agg(F.collect_set(F.struct("trigger", "low", "high")).alias("open"))
-    opened = texts.join(wanted, ["k", "d"]).select("k", "d", F.encode("text", "utf-8").alias("all"), F.explode("open").alias("o"))
+    wanted = found.where("trigger is not null").groupBy(*KEY).agg(F.collect_set(F.struct("trigger", "low", "high")).alias("open"))
+    opened = texts.join(wanted, KEY).select(*KEY, F.encode("text", "utf-8").alias("all"), F.explode("open").alias("o"))
     opened = opened.select(
-        F.col("o.trigger").alias("trigger"), "k", "d", F.col("o.low").alias("low"),
+        F.col("o.trigger").alias("trigger"), *KEY, F.col("o.low").alias("low"),
         F.substring("all", F.col("o.low") + 1, F.col("o.high") - F.col("o.low") + length).alias("bytes"),
     )
     windows = _windows(opened, length)
-    spans = found.where("trigger is null").select("k", "d", "low", "high").unionByName(
-        windows.where("h1 is null").select("k", "d", "low", "high")
+    spans = found.where("trigger is null").select(*KEY, "low", "high").unionByName(
+        windows.where("h1 is null").select(*KEY, "low", "high")
     ).unionByName(_across_blocks(windows))
-    per_text = spans.groupBy("k", "d").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    per_text = spans.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -394,8 +396,8 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"],
                 )
 
-    named = F.when(F.shiftright("d", UNNAMED) == 0, F.col("k")).alias("doc_id")
-    joined = texts.join(per_text.hint("shuffle_hash"), ["k", "d"], "left").select(named, "text", "spans")
+    named = F.when(F.col("u") == 0, F.col("k")).alias("doc_id")
+    joined = texts.join(per_text.hint("shuffle_hash"), KEY, "left").select(named, "text", "spans")
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from reviewlens.llm import passages as P
 
@@ -79,3 +80,20 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     want = {(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(rows, 100)}
     assert {tuple(r) for r in P.op2_passage_dedup(spark, sf).collect()} == want and any(r[2] for r in want)
+
+
+def test_rows_whose_texts_share_thirty_bits(spark):
+    """Texts of NULL ids and of one id that a 32-bit hash cannot tell apart are documents of their own."""
+    passage = prose(90, 40, 800)
+    tail = F.concat(F.lit(passage), F.when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.lit("0123456789" * 40)))
+    made = spark.range(120_000).select(F.concat(F.format_string("%07d ", "id"), tail).alias("text"))
+    alike = made.groupBy(F.hash("text").bitwiseAND(F.lit((1 << 30) - 1))).agg(F.sort_array(F.collect_list("text")).alias("t")).where("size(t) = 2")
+    pairs = [r.t for r in alike.collect()]
+    assert len(pairs) > 1
+    for name in (None, 7):
+        for pair in pairs[:2]:
+            got = P.remove_passages(frame(spark, [(name, t) for t in pair])).collect()
+            # which of the two comes first is up to their digests
+            either = [sorted(r[1:] for r in brute(list(enumerate(order)), 100)) for order in (pair, pair[::-1])]
+            assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) in either
+            assert [r.doc_id for r in got] == [name] * 2
