@@ -11,7 +11,7 @@ def frame(spark, rows, schema="doc_id long, text string"):
 
 def clashing(df):
     """``df`` with extra columns named like the operators' own ones, NULL in all of them."""
-    names = "id digest place key n h1 h2 first size token part n_lines n_dropped kept score target taken g c t __id".split()
+    names = "w1 w2 w3 phrase f a l r level whole salt id digest place key n h1 h2 first size token part n_lines n_dropped kept score target taken g c t __id".split()
     for name in names:
         if name not in df.columns:
             df = df.selectExpr("*", f"cast(null as string) AS {name}")
