@@ -5,11 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlens.llm import (  # noqa: F401
-    decontaminate, jaccard, langid, lines, mainhtml, mixing, passages, quality, tokens, urls,
-)
+from reviewlens.llm import decontaminate, jaccard, langid, lines, mixing
 from reviewlens.llm.common import stored, table
-from reviewlens.llm.registry import ORACLE, QUERIES
+from reviewlens.llm.queries import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "ORACLE_SQL", "QUERIES", "STAGES", "run"]
 
