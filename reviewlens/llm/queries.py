@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (  # noqa: F401
-    collocation, decontaminate, jaccard, langid, lines, mainhtml, mixing, negatives, passages, quality, tokens, urls,
+    collocation, decontaminate, jaccard, langid, lines, mainhtml, mixing, negatives, passages, quality, tokens, toxicity, urls,
 )
 from .registry import ORACLE, QUERIES
 
