@@ -32,7 +32,7 @@ SHORTEST = 2
 LEAST = 10
 TOP = 2000
 INSIDE_PERCENT = 50
-SLICE = 1 << 21
+SLICE = 1 << 22
 HOT_SHARE = 256  # a prefix with more than one in so many windows of a slice is reported as hot; so at most that many in all
 SALTS = 64
 TOP_PARTS = 32
@@ -82,11 +82,12 @@ def distinct_rows(columns: list[np.ndarray], many: int) -> tuple[list[np.ndarray
     return list(rows.T), counts
 
 
-def _window_rows(docs: DataFrame, longest: int, hot: set[tuple[str, ...]] | None) -> DataFrame:
-    """(lang, w1, ..., n, salt): the windows of each slice with their counts; or, ``hot`` None, its frequent prefixes."""
-    width = longest if hot is not None else longest - 1
-    names = [f"w{k + 1}" for k in range(width)]
-    schema = ", ".join(["lang string", *(f"{w} string" for w in names), "n long", "salt int"])
+def _window_rows(docs: DataFrame, longest: int, hot: set[str] | None) -> DataFrame:
+    """(head, salt, tails): the windows of each slice; or, ``hot`` None, (head, n): its frequent prefixes.
+
+    A head is a prefix of ``longest - 1`` words and the language, parted by blanks; its tails are the last words and
+    their counts, each count after a tab, parted by blanks. No word holds a blank or a tab.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lower = lower_ascii()
@@ -104,32 +105,45 @@ def _window_rows(docs: DataFrame, longest: int, hot: set[tuple[str, ...]] | None
                     starts, ends = word_spans(~(ends_piece | blanks[data]), offsets)
                     if not len(starts):
                         continue
-                    seen = np.concatenate(([0], np.cumsum(ends_piece)))
+                    seen = np.concatenate(([0], np.cumsum(ends_piece, dtype=np.int32)))
                     pieces = seen[starts] + np.searchsorted(offsets[1:], starts, side="right")
                     codes, words = word_table(data, starts, ends)
-                    many = len(words)
+                    many, every = len(words), len(codes)
+                    del data, seen, ends_piece, starts, ends
+                    width = longest - 1 if hot is None else longest
                     rows, counts = distinct_rows(windows(codes, pieces, longest)[:width], many)
                     spelt = pa.concat_arrays([pa.array([""], words.type), words])
-                    salt = np.full(len(counts), -1, np.int32)
+                    blank = pa.scalar(" ", words.type)
+                    spell = lambda column: spelt.take(pa.array(column))  # noqa: B023, E731
                     if hot is None:
-                        much = counts * HOT_SHARE > len(codes)
-                        rows, counts, salt = [r[much] for r in rows], counts[much], salt[much]
-                    elif hot:
-                        place = {w: k for k, w in enumerate(spelt.to_pylist())}
-                        letters = np.array([hash_text(w) for w in place], np.uint64)
-                        for key in hot:
-                            at = [place.get(w, -1) for w in key[1:]]
-                            if key[0] == lang and min(at) >= 0:
-                                mine = np.logical_and.reduce([rows[k] == at[k] for k in range(len(at))])
-                                salt[mine] = (letters[rows[-1][mine]] % np.uint64(SALTS)).astype(np.int32)
-                    columns = [pa.array([lang] * len(counts), pa.string())]
-                    columns += [spelt.take(pa.array(r)).cast(pa.string()) for r in rows]
-                    columns += [pa.array(counts, pa.int64()), pa.array(salt, pa.int32())]
-                    made = pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n", "salt"])
-                    for row in range(0, made.num_rows, 100_000):
-                        yield made.slice(row, 100_000)
-
-    return docs.mapInArrow(run, schema)
+                        much = np.flatnonzero(counts * HOT_SHARE > every)
+                        heads = pc.binary_join_element_wise(*(spell(r[much]) for r in rows), pa.scalar(lang, words.type), blank)
+                        yield pa.RecordBatch.from_arrays([heads.cast(pa.string()), pa.array(counts[much], pa.int64())], names=["head", "n"])
+                        continue
+                    new = np.ones(len(counts), bool)
+                    new[1:] = np.logical_or.reduce([r[1:] != r[:-1] for r in rows[:-1]])
+                    first = np.flatnonzero(new)
+                    heads = pc.binary_join_element_wise(*(spell(r[first]) for r in rows[:-1]), pa.scalar(lang, words.type), blank)
+                    salt = np.full(len(counts), -1, np.int32)
+                    for at in np.flatnonzero(pc.is_in(heads, pa.array(sorted(hot), heads.type)).to_numpy(zero_copy_only=False)):
+                        low, high = first[at], first[at + 1] if at + 1 < len(first) else len(counts)
+                        salt[low:high] = [hash_text(w) % SALTS for w in spell(rows[-1][low:high]).to_pylist()]
+                        # a hot head has a row of its own for every salt
+                        order = low + np.argsort(salt[low:high], kind="stable")
+                        rows[-1][low:high], counts[low:high], salt[low:high] = rows[-1][order], counts[order], salt[order]
+                        new[low + 1 : high] |= salt[low + 1 : high] != salt[low : high - 1]
+                    starts_at = np.flatnonzero(new)
+                    heads = heads.take(pa.array(np.cumsum(np.isin(starts_at, first)) - 1))
+                    pairs = pc.binary_join_element_wise(spell(rows[-1]), pa.array(counts).cast(words.type), pa.scalar("\t", words.type))
+                    tails = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts_at, len(counts)).astype(np.int32)), pairs), blank)
+                    made = pa.RecordBatch.from_arrays(
+                        [heads.cast(pa.string()), pa.array(salt[starts_at]), tails.cast(pa.string())], names=["head", "salt", "tails"]
+                    )
+                    del rows, counts, salt, pairs, tails, heads, spelt, codes, pieces, words
+                    for row in range(0, made.num_rows, 50_000):
+                        yield made.slice(row, 50_000)
+
+    return docs.mapInArrow(run, "head string, n long" if hot is None else "head string, salt int, tails string")
 
 
 def hash_text(word: str) -> int:
@@ -144,22 +158,28 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, longest: int = LONGEST,
     """(lang, phrase: array of words, f) of words and phrases with ``f >= least``, and (lang, empty array, n); stored."""
     picked = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
     picked = picked.where(F.length("text") > 0)
-    names = [f"w{k + 1}" for k in range(longest)]
-    prefix = ["lang", *names[:-1], "salt"]
-    heavy = _window_rows(picked, longest, None).groupBy("lang", *names[:-1]).agg(F.sum("n").alias("n"))
-    # at most HOT_SHARE prefixes of a slice are reported, and the largest HOT_SHARE of them are dealt out by their last word
-    found = heavy.orderBy(F.desc("n"), "lang", *names[:-1]).limit(HOT_SHARE).collect()
-    hot = {tuple(r[:-1]) for r in found}
-    rows = _window_rows(picked, longest, hot).repartition(*prefix)
-    counted = rows.groupBy(*prefix, names[-1]).agg(F.sum("n").alias("n"))
-    whole = F.sum("n").over(Window.partitionBy(*prefix))
-    last = F.when(F.col("n") >= least, F.col(names[-1])).otherwise("")
-    before = F.when((F.col("whole") >= least) | (F.col("salt") >= 0), F.col(names[-2])).otherwise("")
-    folded = counted.withColumn("whole", whole).select(
-        "lang", *names[:-2], before.alias(names[-2]), F.when(before != "", last).otherwise("").alias(names[-1]), "n"
+    heavy = _window_rows(picked, longest, None).groupBy("head").agg(F.sum("n").alias("n"))
+    # the HOT_SHARE most frequent prefixes are dealt out by their last word as well
+    hot = {r["head"] for r in heavy.orderBy(F.desc("n"), "head").limit(HOT_SHARE).collect()}
+    rows = _window_rows(picked, longest, hot).repartition("head", "salt")
+    tail = F.split("tail", "\t")
+    single = rows.select("head", "salt", F.explode(F.split("tails", " ")).alias("tail")).select(
+        "head", "salt", tail[0].alias("last"), tail[1].cast("long").alias("n")
     )
+    counted = single.groupBy("head", "salt", "last").agg(F.sum("n").alias("n"))
+    # rare windows fold into their prefix, rare prefixes into what is before their last word
+    whole = F.sum("n").over(Window.partitionBy("head", "salt"))
+    frequent = (F.col("whole") >= least) | (F.col("salt") >= 0)
+    folded = counted.withColumn("whole", whole).select(
+        F.when(frequent, F.col("head")).otherwise(F.regexp_replace("head", rf"^((?:[^ ]* ){{{longest - 2}}})[^ ]* ", "$1 ")).alias("head"),
+        F.when(frequent & (F.col("n") >= least), F.col("last")).otherwise("").alias("last"), "n",
+    )
+    summed = folded.groupBy("head", "last").agg(F.sum("n").alias("n"))
+    names = [f"w{k + 1}" for k in range(longest)]
+    words = F.split("head", " ", longest)
+    spread = summed.select(words[longest - 1].alias("lang"), *(words[k].alias(names[k]) for k in range(longest - 1)), F.col("last").alias(names[-1]), "n")
     level = F.grouping_id().alias("level")
-    rolled = folded.rollup("lang", *names).agg(F.sum("n").alias("f"), level)
+    rolled = spread.rollup("lang", *names).agg(F.sum("n").alias("f"), level)
     phrases = []
     for size in range(longest + 1):
         at = F.col("level") == (1 << (longest - size)) - 1

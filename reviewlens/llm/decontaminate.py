@@ -16,15 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common
-from .common import Powers, flat, prefix_hash, ship, slices, span_hash, table, word_spans
+from .common import Powers, byte_values, flat, lower_ascii, prefix_hash, ship, slices, span_hash, table, word_spans
 from .fmindex import FMIndex
 from .registry import QUERIES
 
 ship(__name__)
 
 WINDOW = 13
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 # Items reach the tasks in blocks of about so many bytes of text; every block is one pass inside the same tasks.
 BLOCK_BYTES = 16 << 20
 OWN = ["n_words", "n_hit", "n_items", "items", "spans", "contaminated"]
@@ -38,19 +37,30 @@ def word_bytes() -> np.ndarray:
     return flags
 
 
+PIECE = 1 << 19
+
+
 class Words:
-    """Starts, ends and two hashes of the lower-cased words of texts laid end to end."""
+    """Starts, ends and two hashes of the lower-cased words of texts laid end to end, worked out in pieces of ``PIECE`` bytes."""
 
     def __init__(self) -> None:
-        self.inside, self.lower, self.powers = word_bytes(), common.lower_ascii(), Powers()
-        self.values = [common.byte_values(seed)[self.lower] for seed in (1, 2)]
+        self.inside, self.lower, self.powers = word_bytes(), lower_ascii(), Powers()
+        self.values = [byte_values(seed)[self.lower] for seed in (1, 2)]
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
         starts, ends = word_spans(self.inside[data], offsets)
-        hashes = [
-            span_hash(prefix_hash(values[data], self.powers), starts, ends, self.powers) for values in self.values
-        ]
-        return starts, ends, hashes
+        hashes: list[list[np.ndarray]] = [[] for _ in self.values]
+        first = 0
+        while first < len(starts):
+            # whole words; a longer one is a piece of its own
+            last = max(int(np.searchsorted(ends, starts[first] + PIECE, side="right")), first + 1)
+            low, high = starts[first], ends[last - 1]
+            for found, values in zip(hashes, self.values, strict=True):
+                sums = prefix_hash(values[data[low:high]], self.powers)
+                found.append(span_hash(sums, starts[first:last] - low, ends[first:last] - low, self.powers))
+            first = last
+        none = np.zeros(0, np.uint64)
+        return starts, ends, [np.concatenate(found) if found else none for found in hashes]
 
 
 def phrases(items: list[tuple[str, str]], window: int = WINDOW) -> dict:

@@ -25,12 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import common
 from .common import (
-    Powers, flat, gram_hash, join_hot, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans,
+    Powers, byte_values, flat, fresh_name, gram_hash, is_space, join_hot, lower_ascii, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans,
 )
 from .components import components
 from .registry import QUERIES
@@ -41,8 +40,14 @@ N = 5
 PERCENT = 80
 ZONE = 0.25
 CUT = -(1 << 63) + int(ZONE * (1 << 64))
-BROADCAST_IDS = 2_000_000  # ids of 8 bytes that may be broadcast; more are joined by a shuffle
-SCHEMA = "doc_id long, n long, d1 long, d2 long, z int, grams array<long>"
+SLICE = 1 << 18
+SCHEMA = "doc_id long, t1 long, t2 long, n long, d1 long, d2 long, z int, grams array<long>"
+
+
+def text_digests(text: str) -> list[Column]:
+    """128 bits that tell texts apart, NULL from ''."""
+    given = F.coalesce(F.concat(F.lit("t"), text), F.lit(""))
+    return [F.xxhash64(given).alias("t1"), F.xxhash64(F.lit(2), given).alias("t2")]
 
 
 def prefix_length(n: Column, percent: int) -> Column:
@@ -51,18 +56,18 @@ def prefix_length(n: Column, percent: int) -> Column:
 
 
 def shingle_sets(docs: DataFrame, doc_id: str, text: str, n: int, percent: int, whole: bool) -> DataFrame:
-    """Per row: id, size, digests, how many n-grams lie in the zone, and the n-grams to look up (or all, ``whole``).
+    """Per row: id, digests of the text (t1, t2), size, digests of the set, how many n-grams lie in the zone, and the n-grams to look up (or all, ``whole``).
 
     Words are runs without ASCII white space, A-Z lower-cased. A text of fewer than ``n`` words, but not
     none, has its whole sequence as the one n-gram.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lower, outside, powers = common.lower_ascii(), common.is_space(), Powers()
-        values = common.byte_values()[lower]
+        lower, outside, powers = lower_ascii(), is_space(), Powers()
+        values = byte_values()[lower]
         salts = np.array([0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 data, offsets = flat(part.column("text"))
                 starts, ends = word_spans(~outside[data], offsets)
                 words = span_hash(prefix_hash(values[data], powers), starts, ends, powers)
@@ -80,12 +85,16 @@ def shingle_sets(docs: DataFrame, doc_id: str, text: str, n: int, percent: int,
                 lists = [o[4] for o in out]
                 flat_lists = np.concatenate(lists) if lists else np.zeros(0, np.int64)
                 list_starts = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-                columns = [part.column("doc_id")] + [pa.array([o[k] for o in out], pa.int64()) for k in range(3)]
+                columns = [part.column(c) for c in ("doc_id", "t1", "t2")] + [pa.array([o[k] for o in out], pa.int64()) for k in range(3)]
                 columns.append(pa.array([o[3] for o in out], pa.int32()))
                 columns.append(pa.ListArray.from_arrays(pa.array(list_starts), pa.array(flat_lists)))
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "d1", "d2", "z", "grams"])
+                made = pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "n", "d1", "d2", "z", "grams"])
+                # nothing but the result waits while the rows are read
+                del data, offsets, starts, ends, words, grams, out, lists, flat_lists, list_starts, columns
+                yield made
+                del made
 
-    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), *text_digests(text), F.col(text).alias("text"))
     return picked.mapInArrow(run, SCHEMA)
 
 
@@ -208,12 +217,15 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
         lists.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "several"
     )
     lists = stored(join_hot(lists, several, ["gram"], "length", "d1").drop("length"), "open")
-    named = sets.groupBy("d1").agg(F.min("doc_id").alias("named"))
+    named = sets.groupBy("d1").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("named"))
     asked = stored(lists.select("d1").distinct().join(named, "d1"), "asked")
-    ids = asked.select(F.col("d1").alias("asked_d1"), "named")
-    ids = F.broadcast(ids) if asked.count() <= BROADCAST_IDS else ids
-    full = shingle_sets(docs, doc_id, text, n, percent, True)
-    whole = full.join(ids, (F.col("d1") == F.col("asked_d1")) & F.col("doc_id").eqNullSafe(F.col("named")))
+    # one text of each set that has candidates is read again for all of its n-grams
+    first = asked.select("d1", F.col("named.doc_id").alias("doc_id"), F.col("named.t1").alias("t1"), F.col("named.t2").alias("t2"))
+    same_row = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_t1") == F.col("t1")) & (F.col("own_t2") == F.col("t2"))
+    t1, t2 = text_digests(text)
+    texts = docs.select(F.col(doc_id).cast("long").alias("own_id"), t1.alias("own_t1"), t2.alias("own_t2"), F.col(text).alias("own_text"))
+    read = texts.join(first.hint("shuffle_hash"), same_row, "left_semi").select(F.col("own_id").alias("id"), F.col("own_text").alias("text"))
+    whole = shingle_sets(read, "id", "text", n, percent, True)
     whole = stored(whole.select("d1", "grams"), "sets")
 
     blocks = F.array(F.col("block"), F.col("block") - 1)
@@ -276,13 +288,13 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, digest), one row per row of ``docs``.
+    """(doc_id, n_shingles, component_id, root, t1, t2), one row per row of ``docs``.
 
     Two rows link when their n-gram sets have ``100 * intersection >= percent * union``; equal sets link
     always. ``component_id`` is the smallest id of the rows that links reach (NULL if none of them has an
     id). NULL, '' and texts without words have empty sets, which link with nothing: their component is
-    their own id. Rows with the same id are rows of their own. ``digest`` names the set (first half of
-    128 bits). Other columns are not returned. An empty table gives no rows.
+    their own id. Rows with the same id are rows of their own. ``root`` names the component even where no id does, NULL for
+    empty sets; ``t1`` and ``t2`` are 128 bits of the text. Other columns are not returned. An empty table gives no rows.
     """
     sets = stored(shingle_sets(docs, doc_id, text, n, percent, False).drop("grams", "z"), "documents")
     labels = link_sets(docs, sets.where("n > 0"), doc_id, text, n, percent)
@@ -290,25 +302,38 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labelled = nodes.join(labels.withColumnRenamed("node", "d1"), "d1", "left").withColumn("root", F.coalesce("root", "d1"))
     labelled = stored(labelled, "nodes")
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = stored(labelled.join(least, "root").select("d1", "d2", "component_id", "rows"), "classes")
+    classes = stored(labelled.join(least, "root").select("d1", "d2", "component_id", "root", "rows"), "classes")
     full = join_hot(sets.where("n > 0"), classes, ["d1", "d2"], "rows", "doc_id")
-    out = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("d1").alias("digest"))
-    empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("d1").alias("digest"))
+    out = full.select("doc_id", F.col("n").alias("n_shingles"), "component_id", "root", "t1", "t2")
+    none = F.lit(None).cast("long").alias("root")
+    empty = sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), none, "t1", "t2")
     return out.unionByName(empty)
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of linked documents the one with the smallest id stays.
+def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, all of its columns.
 
-    Rows that repeat an id and its text are copies too and stay once.
+    The row with the smallest id stays, rows without id last, rows of one id by their texts' digests. Rows that repeat an
+    id and its text are one. Texts with empty sets link with nothing and stay.
     """
-    named, rows, mark = map(common.fresh_name, ("id", "rows", "text"))
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = jaccard_classes(docs).where(first).groupBy(F.col("doc_id").alias(named)).agg(F.count(F.lit(1)).alias(rows))
-    left = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col(named)))
-    single = left.where(F.col(rows) == 1).select(*docs.columns)
-    several = left.where(F.col(rows) > 1).withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark])
-    return single.unionByName(several.select(*docs.columns))
+    own = [fresh_name(x) for x in ("id", "t1", "t2", "rows")]
+    classes = jaccard_classes(docs, doc_id, text, n, percent)
+    alone = F.when(F.col("root").isNull(), F.struct("doc_id", "t1", "t2"))
+    rows = classes.groupBy("root", alone.alias("alone"), "doc_id", "t1", "t2").agg(F.count(F.lit(1)).alias("rows"))
+    order = Window.partitionBy("root", "alone").orderBy(F.asc_nulls_last("doc_id"), "t1", "t2")
+    first = rows.withColumn("place", F.row_number().over(order)).where("place = 1")
+    kept = first.select(*(F.col(a).alias(b) for a, b in zip(("doc_id", "t1", "t2", "rows"), own, strict=True)))
+    t1, t2 = text_digests(text)
+    same_row = F.col(doc_id).cast("long").eqNullSafe(F.col(own[0])) & (t1 == F.col(own[1])) & (t2 == F.col(own[2]))
+    left = docs.join(kept.hint("shuffle_hash"), same_row)
+    single = left.where(F.col(own[3]) == 1)
+    several = left.where(F.col(own[3]) > 1).dropDuplicates(own[:3])
+    return single.unionByName(several).select(*docs.columns)
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: one document of each group of linked ones stays, see ``first_of_each``."""
+    return first_of_each(docs)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,6 +97,12 @@ class Walk:
         first = automaton.state == 0
         self.root[automaton.symbol[first]] = automaton.target[first]
 
+    @classmethod
+    def of(cls, held: dict) -> Walk:
+        made = cls.__new__(cls)
+        vars(made).update(held)
+        return made
+
     def slots(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(_FACTOR)) >> np.uint64(64 - self.bits)).view(np.int64)
 
@@ -213,7 +219,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang",
     chosen = rows.join(F.broadcast(picked), ["lang", "h"]).dropDuplicates(["lang", "h"])
     sample: dict[str, str] = {}
     for row in sorted(chosen.collect(), key=lambda r: (r.lang, r.h)):
-        sample[row.lang] = (sample.get(row.lang, "") + "\n" + row.text)[: 2 * sample_chars]
+        sample[row.lang] = sample.get(row.lang, "") + "\n" + row.text
     letters = sorted({c for t in sample.values() for c in t.lower() if c.isalpha()})
     lookup = letter_symbols(letters)
     languages = sorted(sample)
@@ -252,14 +258,17 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     languages. Ties go to the language that sorts first and score 0. The score is the share of
     phrases that the winner saves against the second. Repeated rows get equal results; other columns stay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # a broadcast names classes by module, which workers may lack: plain arrays go, tasks make walks of them
+    plain = {**model, "walks": [vars(w) for w in model["walks"]]}
+    shared = docs.sparkSession.sparkContext.broadcast(plain)
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {**shared.value, "walks": [Walk.of(w) for w in shared.value["walks"]]}
         for batch in batches:
-            for part in slices(batch, text, 4 << 20):
+            for part in slices(batch, text, 1 << 20):
                 texts = [t or "" for t in part.column(text).to_pylist()]
-                names, scores = judge(texts, shared.value)
+                names, scores = judge(texts, held)
                 columns = [part.column(c) for c in kept] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, "lang_pred", "score"])
 

@@ -51,7 +51,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     empty texts are one empty line and become ''. Repeated rows each get the same result. Other
     columns stay; columns called ``n_lines`` or ``n_dropped`` are replaced. An empty table stays empty.
     """
-    own_id, own_digest, own_places = map(fresh_name, ("id", "digest", "places"))
+    own_id, own_digest, own_places, own_lines = map(fresh_name, ("id", "digest", "places", "lines"))
     keyed = _keyed(docs, doc_id, text, min_chars)
     shared = (
         keyed.groupBy("h1", "h2")
@@ -74,10 +74,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
         F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.xxhash64(text) == F.col(own_digest)),
         "left",
     )
-    lines, places = text_lines(F.col(text)), F.col(own_places)
-    kept = F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places), lambda place: F.get(lines, place)
-    )
+    lines, places = F.col(own_lines), F.col(own_places)
+    # the stretches between dropped lines: sorted places, each slice taken from the lines that are split once
+    befores = F.concat(F.array(F.lit(-1)), places)
+    afters = F.concat(places, F.array(F.size(lines)))
+    kept = F.flatten(F.zip_with(befores, afters, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
+    joined = joined.withColumn(own_lines, text_lines(F.col(text))).withColumn(own_places, F.sort_array(own_places))
     return joined.select(
         *[F.col(c) for c in docs.columns if c not in (text, "n_lines", "n_dropped")],
         F.when(places.isNull(), F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(kept, "\n")).alias(text),

@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import common
-from .common import Powers, flat, join_hot, prefix_hash, ship, slices, span_hash, stored, table, word_spans
+from .common import Powers, byte_values, flat, join_hot, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans
 from .registry import QUERIES
 
 ship(__name__)
@@ -62,7 +61,7 @@ class Parser:
 
     def __init__(self, length: int, gram: int) -> None:
         self.length, self.gram, self.powers = length, gram, Powers()
-        self.values = [common.byte_values(seed) for seed in (1, 2)]
+        self.values = [byte_values(seed) for seed in (1, 2)]
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         """Per phrase: row, first and last window start inside the text, and two hashes (trigger bytes, whole phrase)."""
@@ -89,7 +88,7 @@ class Parser:
         base = offsets[row]
         # how the windows lie around the trigger is part of the phrase
         whole = span_hash(others, base + low_, base + high_ + self.length, self.powers)
-        shape = common.mix((spot_ - low_).astype(np.uint64) * np.uint64(1 << 32) + (high_ - low_).astype(np.uint64))
+        shape = mix((spot_ - low_).astype(np.uint64) * np.uint64(1 << 32) + (high_ - low_).astype(np.uint64))
         return {
             "row": row, "low": low_, "high": high_, "spot": spot_,
             "trigger": grams[base + spot_].view(np.int64), "phrase": (whole ^ shape).view(np.int64),
@@ -141,7 +140,7 @@ def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                 t, p = got["trigger"][order], got["phrase"][order]
                 later = np.zeros(len(order), bool)
                 later[order[1:]] = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
-                spread = common.mix((k * 31 + got["low"]).astype(np.uint64)).view(np.int64)
+                spread = mix((k * 31 + got["low"]).astype(np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.where(later, spread, got["trigger"])), pa.array(got["phrase"], mask=later), pa.array(u), pa.array(k), pa.array(d),
                      pa.array(got["low"].astype(np.int32)), pa.array(got["high"].astype(np.int32))],
@@ -268,7 +267,7 @@ def _windows(opened: DataFrame, length: int) -> DataFrame:
     schema = "u byte, k long, d long, low int, high int, h1 long, h2 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values = Powers(), [common.byte_values(seed) for seed in (3, 4)]
+        powers, values = Powers(), [byte_values(seed) for seed in (3, 4)]
 
         def judged(block: pa.Table, border: set[int]) -> pa.RecordBatch:
             data, offsets = flat(block.column("bytes").combine_chunks())

@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common
-from .common import Powers, flat, gram_hash, prefix_hash, ship, slices, span_hash, stored, table, word_spans
+from .common import Powers, byte_values, flat, gram_hash, is_space, prefix_hash, ship, slices, span_hash, stored, table, word_spans
 from .registry import QUERIES
 
 ship(__name__)
@@ -42,8 +41,8 @@ class Measure:
     """Rule statistics and features of texts laid end to end."""
 
     def __init__(self) -> None:
-        self.powers, self.values = Powers(), common.byte_values()
-        self.space, self.symbol, self.mark = common.is_space(), _flags("#*$%&|<>"), _flags("!?.,;:")
+        self.powers, self.values = Powers(), byte_values()
+        self.space, self.symbol, self.mark = is_space(), _flags("#*$%&|<>"), _flags("!?.,;:")
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offsets) - 1
