@@ -83,10 +83,10 @@ def distinct_rows(columns: list[np.ndarray], many: int) -> tuple[list[np.ndarray
 
 
 def _window_rows(docs: DataFrame, longest: int, hot: set[str] | None) -> DataFrame:
-    """(head, salt, tails): the windows of each slice; or, ``hot`` None, (head, n): its frequent prefixes.
+    """(packed): the windows of each slice; or, ``hot`` None, (head, n): its frequent prefixes.
 
-    A head is a prefix of ``longest - 1`` words and the language, parted by blanks; its tails are the last words and
-    their counts, each count after a tab, parted by blanks. No word holds a blank or a tab.
+    A packed row is one text, which shuffles in the fewest bytes: salt (of hot heads only), words of the prefix and language, parted by
+    blanks; a line feed; the last words, each with a tab and its count, parted by blanks. No word holds a blank, tab or line feed.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,14 +136,15 @@ def _window_rows(docs: DataFrame, longest: int, hot: set[str] | None) -> DataFra
                     heads = heads.take(pa.array(np.cumsum(np.isin(starts_at, first)) - 1))
                     pairs = pc.binary_join_element_wise(spell(rows[-1]), pa.array(counts).cast(words.type), pa.scalar("\t", words.type))
                     tails = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts_at, len(counts)).astype(np.int32)), pairs), blank)
-                    made = pa.RecordBatch.from_arrays(
-                        [heads.cast(pa.string()), pa.array(salt[starts_at]), tails.cast(pa.string())], names=["head", "salt", "tails"]
-                    )
-                    del rows, counts, salt, pairs, tails, heads, spelt, codes, pieces, words
+                    salts = pa.array(["" if x < 0 else str(x) for x in range(-1, SALTS)], words.type).take(pa.array(salt[starts_at] + 1))
+                    salted = pc.binary_join_element_wise(salts, heads, blank)
+                    packed = pc.binary_join_element_wise(salted, tails, pa.scalar("\n", words.type)).cast(pa.string())
+                    made = pa.RecordBatch.from_arrays([packed], names=["packed"])
+                    del rows, counts, salt, salts, salted, packed, pairs, tails, heads, spelt, codes, pieces, words
                     for row in range(0, made.num_rows, 50_000):
                         yield made.slice(row, 50_000)
 
-    return docs.mapInArrow(run, "head string, n long" if hot is None else "head string, salt int, tails string")
+    return docs.mapInArrow(run, "head string, n long" if hot is None else "packed string")
 
 
 def hash_text(word: str) -> int:
@@ -161,17 +162,19 @@ def phrase_counts(docs: DataFrame, text: str, lang: str, longest: int = LONGEST,
     heavy = _window_rows(picked, longest, None).groupBy("head").agg(F.sum("n").alias("n"))
     # the HOT_SHARE most frequent prefixes are dealt out by their last word as well
     hot = {r["head"] for r in heavy.orderBy(F.desc("n"), "head").limit(HOT_SHARE).collect()}
-    rows = _window_rows(picked, longest, hot).repartition("head", "salt")
+    size = F.length("packed") - F.length(F.substring_index("packed", "\n", -1)) - 1
+    rows = _window_rows(picked, longest, hot).repartition(F.substr("packed", F.lit(1), size))
     tail = F.split("tail", "\t")
-    single = rows.select("head", "salt", F.explode(F.split("tails", " ")).alias("tail")).select(
-        "head", "salt", tail[0].alias("last"), tail[1].cast("long").alias("n")
-    )
-    counted = single.groupBy("head", "salt", "last").agg(F.sum("n").alias("n"))
+    single = rows.select(
+        F.substr("packed", F.lit(1), size).alias("head"), F.explode(F.split(F.substring_index("packed", "\n", -1), " ")).alias("tail")
+    ).select("head", tail[0].alias("last"), tail[1].cast("long").alias("n"))
+    counted = single.groupBy("head", "last").agg(F.sum("n").alias("n"))
     # rare windows fold into their prefix, rare prefixes into what is before their last word
-    whole = F.sum("n").over(Window.partitionBy("head", "salt"))
-    frequent = (F.col("whole") >= least) | (F.col("salt") >= 0)
+    whole = F.sum("n").over(Window.partitionBy("head"))
+    frequent = (F.col("whole") >= least) | ~F.startswith("head", F.lit(" "))
     folded = counted.withColumn("whole", whole).select(
-        F.when(frequent, F.col("head")).otherwise(F.regexp_replace("head", rf"^((?:[^ ]* ){{{longest - 2}}})[^ ]* ", "$1 ")).alias("head"),
+        F.when(frequent, F.regexp_replace("head", "^[0-9]* ", ""))
+        .otherwise(F.regexp_replace("head", rf"^ ((?:[^ ]* ){{{longest - 2}}})[^ ]* ", "$1 ")).alias("head"),
         F.when(frequent & (F.col("n") >= least), F.col("last")).otherwise("").alias("last"), "n",
     )
     summed = folded.groupBy("head", "last").agg(F.sum("n").alias("n"))

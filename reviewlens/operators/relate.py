@@ -46,7 +46,9 @@ def has_null(keys: Keys) -> Column:
 
 def keep_last_named(df: DataFrame, keys: Keys, order_by: Keys) -> DataFrame:
     """As ``keep_last``, but rows with a NULL in their key all stay, as a UNIQUE column keeps them."""
-    return keep_last(df.where(~has_null(keys)), keys, order_by).unionByName(df.where(has_null(keys)))
+    # such a row is a key of its own, so that one pass serves all rows and no task gathers those
+    alone = F.when(has_null(keys), F.monotonically_increasing_id())
+    return keep_last(df.withColumn("__alone", alone), [*keys, "__alone"], order_by).drop("__alone")
 
 
 def text_key(col: str) -> list[Column]:

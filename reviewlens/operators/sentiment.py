@@ -20,13 +20,14 @@ SALTS = 16
 def fit_nb(
     labelled: DataFrame, text: str, label: str, keep: str = P.KEEP_MIXED, splitter: Splitter = split_runs
 ) -> DataFrame:
-    """(token, n_pos, n_neg): how often a token occurs in texts labelled 1 and in texts labelled 0."""
+    """(token, n_pos, n_neg): how often a token occurs in texts labelled 1 and in texts labelled 0. Frozen: scoring reads it often."""
     words = labelled.where(F.col(label).isin(0, 1)).select(
         F.col(label).alias("label"), F.explode(splitter(delete_other(F.col(text), keep))).alias("token")
     )
-    return words.groupBy("token").agg(
+    counts = words.groupBy("token").agg(
         F.count_if(F.col("label") == 1).alias("n_pos"), F.count_if(F.col("label") == 0).alias("n_neg")
     )
+    return freeze(counts)
 
 
 def _mass(model: DataFrame) -> Column:
@@ -54,14 +55,13 @@ def score(
     bound, and summed where the texts are read. A text's other tokens are shuffled to their weights, each
     token spread over ``SALTS`` keys in case a text table is full of one of them. The plan is the same for any model.
     """
-    model = freeze(model)
     weights = model.where(F.col("n_pos") != F.col("n_neg")).select(
         "token", (F.log(F.col("n_pos") + 1) - F.log(F.col("n_neg") + 1)).alias("weight"),
         (F.col("n_pos") + F.col("n_neg")).alias("n"),
     )
     short = F.octet_length("token") <= HOT_TOKEN_BYTES
     frequent = weights.where(short).orderBy(F.desc("n"), "token").limit(hot_tokens)
-    hot = freeze(frequent.select("token", F.col("weight").alias("hot_weight")))
+    hot = frequent.select("token", F.col("weight").alias("hot_weight"))
     words = df.where(F.length(text) > 0).select(
         id_col, F.monotonically_increasing_id().alias("__row"), F.col(text).alias("__text")
     ).select(id_col, "__row", F.explode_outer(splitter(delete_other(F.col("__text"), keep))).alias("token"))
@@ -71,13 +71,15 @@ def score(
         "__row", F.when(F.col("hot_weight").isNull(), F.col("token")).alias("token")
     ).agg(F.first(id_col).alias(id_col), F.count("token").alias("n_tokens"), F.sum("hot_weight").alias("hot_weight"))
     cold = weights.join(F.broadcast(hot), "token", "left_anti").select(
-        "token", F.col("weight").alias("cold_weight"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+        F.col("token").alias("looked_up"), F.col("weight").alias("cold_weight"),
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
+    )
+    # one branch for all: a row without a token to look up meets nothing, under a key of its own (no token holds a blank)
+    keyed = parts.withColumn("salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int")).withColumn(
+        "looked_up", F.coalesce("token", F.concat(F.lit(" "), F.col("__row")))
     )
-    # rows without a token to look up are spread like all others
-    keyed = parts.withColumn("salt", F.pmod(F.xxhash64("__row"), F.lit(SALTS)).cast("int"))
-    found = keyed.where(F.col("token").isNotNull()).join(cold, ["token", "salt"], "left")
-    weighed = found.select("__row", id_col, "n_tokens", (F.col("cold_weight") * F.col("n_tokens")).alias("weight")).unionAll(
-        keyed.where(F.col("token").isNull()).select("__row", id_col, "n_tokens", F.col("hot_weight").alias("weight"))
+    weighed = keyed.join(cold, ["looked_up", "salt"], "left").select(
+        "__row", id_col, "n_tokens", F.coalesce("hot_weight", F.col("cold_weight") * F.col("n_tokens")).alias("weight")
     )
     totals = weighed.groupBy("__row").agg(
         F.first(id_col).alias(id_col), F.sum("n_tokens").alias("n_tokens"), F.sum("weight").alias("weight")

@@ -20,6 +20,8 @@ send_by_value(__name__)
 # A dictionary is a word list of its own, not a table that grows with the texts.
 MAX_DICTIONARY_BYTES = 64 * 1024 * 1024
 SALTS = 16
+# A word with more than one in HOT_PART of all occurrences is dealt out; there are at most HOT_PART such words.
+HOT_PART = 4096
 
 Splitter = Callable[[Column], Column]
 
@@ -156,13 +158,17 @@ def collocations(counts: DataFrame, threshold: float = 30) -> DataFrame:
     """
     words = counts.where(F.col("second").isNull()).select(F.col("first").alias("token"), F.col("n").alias("c"))
     total = words.agg(F.sum("c").cast("double")).scalar()
-    # A frequent word has very many neighbours: its pairs are dealt out over the salts on both sides.
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
-    salted = freeze(words.select("token", "c", salts))
+    # A frequent word has very many neighbours: its pairs are dealt out over the salts on both sides. Such words are few
+    # whatever the corpus, so the pairs learn by a broadcast which they are; all other words join as they are.
+    frequent = F.col("c") * HOT_PART > total
+    marks = F.broadcast(words.where(frequent).select(F.col("token").alias("hot")))
+    salts = F.when(frequent, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    sides = words.select("token", "c", F.explode(salts).alias("salt"))
 
     def with_count(pairs: DataFrame, word: str, other: str, name: str) -> DataFrame:
-        side = salted.select(F.col("token").alias(word), F.col("c").alias(name), "salt")
-        dealt = pairs.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+        side = sides.select(F.col("token").alias(word), F.col("c").alias(name), "salt")
+        part = F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64(other), F.lit(SALTS))).otherwise(F.lit(0))
+        dealt = pairs.join(marks, F.col(word) == F.col("hot"), "left").withColumn("salt", part.cast("int")).drop("hot")
         return dealt.join(side, [word, "salt"]).drop("salt")
 
     pairs = counts.where(F.col("second").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,12 +78,13 @@ def parse_movies(pages: DataFrame, keep: Sequence[str] = ("page_id", "url")) ->
     return clean.movie_gate(parsed)
 
 
-def parse_details(pages: DataFrame) -> DataFrame:
-    """(detail_url, year, runtime, imdb) of detail pages, '' for what is not found."""
-    info = explode_blocks(pages, DETAIL_INFO, {"info": pick()}, keep=("url",)).where(F.col("position") == 1)
+def parse_details(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, detail_url, year, runtime, imdb) of detail pages, '' for what is not found."""
+    info = explode_blocks(pages, DETAIL_INFO, {"info": pick()}, keep=("url", *keep)).where(F.col("position") == 1)
     text = F.col("info")
     minutes = F.regexp_extract(text, P.RUNTIME, 1)
     return info.select(
+        *keep,
         F.col("url").alias("detail_url"),
         texts.first_match(text, P.YEAR).alias("year"),
         F.when(minutes != "", F.concat(minutes, F.lit("分钟"))).otherwise(F.lit("")).alias("runtime"),
@@ -174,9 +175,18 @@ def with_poster_paths(movies: DataFrame, listing: DataFrame, folder: str, min_by
     )
 
 
-def _latest(details: DataFrame, order_by: Sequence) -> DataFrame:
-    """One page per url, the last in ``order_by`` and then by a digest; pages without url belong to no movie."""
-    return relate.keep_last(details.where(F.col("url") != ""), ["url"], [*order_by, F.xxhash64("html")])
+def _of_latest(details: DataFrame, order_by: Sequence, parse: Callable[[DataFrame], DataFrame], url: str, rows: Sequence[str]) -> DataFrame:
+    """What ``parse`` finds on one page per url, the last in ``order_by`` and then by a digest; pages without url belong to no movie.
+
+    All pages are parsed where they lie, with their digest; only urls and digests, and the narrow parsed rows, are shuffled. ``rows``
+    tell the rows of one page apart, so that a page stored twice counts once.
+    """
+    named = details.where(F.col("url") != "").withColumn("__page", F.xxhash64("html"))
+    order = [(F.col(c) if isinstance(c, str) else c).alias(f"__order{i}") for i, c in enumerate(order_by)]
+    marks = named.select("url", "__page", *order)
+    last = relate.keep_last(marks, ["url"], [*(f"__order{i}" for i in range(len(order))), "__page"])
+    found = parse(named).join(last.select(F.col("url").alias(url), "__page"), [url, "__page"], "left_semi")
+    return found.dropDuplicates([url, *rows]).drop("__page")
 
 
 def assemble_movies(
@@ -192,7 +202,8 @@ def assemble_movies(
     passed = clean.accepted(parse_movies(lists))
     linked = F.col("detail_url") != ""
     extra = ["year", "runtime", "imdb"]
-    found = relate.override(passed.where(linked), parse_details(_latest(details, order_by)), "detail_url", extra)
+    pages = _of_latest(details, order_by, lambda df: parse_details(df, ("__page",)), "detail_url", [])
+    found = relate.override(passed.where(linked), pages, "detail_url", extra)
     without = passed.where(~linked).withColumns({c: F.lit(None).cast("string") for c in extra})
     movies = found.unionByName(without)
     if posters is not None:
@@ -209,9 +220,10 @@ def assemble_reviews(lists: DataFrame, details: DataFrame, order_by: Sequence =
     are skipped.
     """
     listed = parse_movies(lists).where(F.col("detail_url") != "").select("page_id", "position", "rank_num", "detail_url")
-    found = parse_reviews(
-        _latest(details, order_by), keep=("url",), limit=S.REVIEWS_PER_MOVIE, require=("username", "comment_time")
-    ).withColumnsRenamed({"url": "detail_url", "position": "review"})
+    def parse(df: DataFrame) -> DataFrame:
+        return parse_reviews(df, ("url", "__page"), limit=S.REVIEWS_PER_MOVIE, require=("username", "comment_time"))
+
+    found = _of_latest(details, order_by, parse, "url", ["position"]).withColumnsRenamed({"url": "detail_url", "position": "review"})
     numbered = relate.with_row_id(
         found.join(listed, "detail_url").select(
             "page_id", "position", "review", F.col("rank_num").cast("int").alias("movie_rank"),
