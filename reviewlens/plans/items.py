@@ -14,7 +14,7 @@ from ..streaming import flows
 KEY, ORDER, COMMENTS = "detail_link", "crawled_at", "hot_comments"
 
 
-def item_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+def item_stream(spark: SparkSession, folder: str, max_files: int = flows.MAX_FILES) -> DataFrame:
     """Items from JSON Lines files as they arrive."""
     return flows.file_stream(spark, folder, S.ITEMS, "json", max_files)
 
@@ -22,32 +22,42 @@ def item_stream(spark: SparkSession, folder: str, max_files: int | None = None)
 def store_items(stream: DataFrame, out: str) -> StreamingQuery:
     """Validate, upsert by link, export to JSON, then to one CSV of movies and one of their reviews.
 
-    Validation only flags. An item that comes again replaces the row it had, its reviews with it.
+    Validation only flags. An item that comes again replaces the row it had, its reviews with it. A link is numbered when it first
+    arrives and keeps its number; the exported reviews carry it as ``movie_id``.
     """
     flagged = flows.validate_stream(stream, S.REQUIRED_ITEM, "rating")
 
+    def numbered(df: DataFrame, batch_id: int) -> DataFrame:
+        return flows.number_keys(df, batch_id, f"{out}/ids", KEY, "id")
+
     def to_json(batch_id: int) -> sinks.Writer:
-        return lambda df: sinks.write_json(df.drop("flags"), f"{out}/json/{flows.BATCH}={batch_id}")
+        return lambda df: sinks.write_json(df.drop("flags", "id"), f"{out}/json/{flows.BATCH}={batch_id}")
 
     def to_csv(batch_id: int) -> sinks.Writer:
         def write(df: DataFrame) -> None:
-            movies, comments = relate.split_nested(df.drop("flags"), COMMENTS, KEY)
+            movies, comments = relate.split_nested(df.drop("flags"), COMMENTS, "id")
             sinks.write_csv(movies.select(*sorted(movies.columns)), f"{out}/movies_csv/{flows.BATCH}={batch_id}")
-            sinks.write_csv(comments, f"{out}/comments_csv/{flows.BATCH}={batch_id}")
+            sinks.write_csv(comments.withColumnRenamed("id", "movie_id"), f"{out}/comments_csv/{flows.BATCH}={batch_id}")
 
         return write
 
-    return flows.upsert_stream(flagged, f"{out}/items", [KEY], [ORDER], f"{out}/checkpoint", [to_json, to_csv])
+    return flows.upsert_stream(flagged, f"{out}/items", [KEY], [ORDER], f"{out}/checkpoint", [to_json, to_csv], numbered)
 
 
 def read_items(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
     """(movies with their flags, reviews with the link and the id of their movie)."""
     items = flows.read_upserted(spark, f"{out}/items", [KEY], [ORDER])
-    numbered = relate.with_row_id(items, [KEY], "id")
-    movies, comments = relate.split_nested(numbered, COMMENTS, "id")
+    movies, comments = relate.split_nested(items, COMMENTS, "id")
     return movies, comments.withColumnRenamed("id", "movie_id")
 
 
+def read_exports(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
+    """(items of the JSON export, reviews of the CSV export) of the committed batches, with their batch_id."""
+    items = flows.read_committed(spark, f"{out}/items", f"{out}/json", "json", S.ITEMS)
+    comments = flows.read_committed(spark, f"{out}/items", f"{out}/comments_csv", "csv", header=True, escape='"', multiLine=True)
+    return items, comments.withColumn("movie_id", F.col("movie_id").cast("long"))
+
+
 def items_from_pages(lists: DataFrame, details: DataFrame, reviews: DataFrame, spider: str = "reviewlens") -> DataFrame:
     """Items from parsed list pages, detail pages and review pages.
 

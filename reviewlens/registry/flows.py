@@ -1,4 +1,4 @@
-"""Streaming twins: the tables as file streams, run until their end."""
+"""Streaming twins: the tables as file streams of several batches, run until their end, all sinks read back."""
 
 from __future__ import annotations
 
@@ -8,27 +8,40 @@ from ..operators import relate
 from ..plans import items
 from ..session import scratch_dir
 from ..sources import sinks
-from ..streaming import flows
+from ..streaming import flows, state
 from .base import ORACLE, query, table
-from .relations import PAGED
+from .relations import PAGED, PAGES_SQL
 
 
 def _stream(spark, sf, name):
     return flows.file_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
 
 
+def _in_batches(df, folder, part, parts, order):
+    """``df`` as a stream of ``parts`` micro-batches, the rows with ``part`` = 0, 1, ...; the files are written one after the other."""
+    for number in range(parts):
+        df.where(part == number).sort(*order).coalesce(1).write.parquet(f"{folder}/{number:03d}")
+    return flows.file_stream(df.sparkSession, f"{folder}/*", df.schema, max_files=1)
+
+
+def _days(events, days):
+    return F.floor(F.datediff("ts", F.lit("2024-01-01")) / days)
+
+
 @query(
     """
 WITH e AS (SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, event_id, event_type, value, ts FROM events)
-SELECT user_id, event_id, event_type, value FROM (
+SELECT user_id, event_id, event_type, value, 1 AS n_json, 1 AS n_csv FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e)
 WHERE rn = 1 OR user_id IS NULL
 """
 )
 def stream_upsert(spark, sf):
+    """Five batches into a keyed table, JSON and CSV; every row must stand once in both exports."""
     root = scratch_dir(spark, "upsert")
     user = F.when(F.col("event_id") % 11 != 0, F.col("user_id").cast("string")).alias("user_id")
-    events = _stream(spark, sf, "events").select(user, "event_id", "event_type", "value", "ts")
+    rows = table(spark, sf, "events").select(user, "event_id", "event_type", "value", "ts")
+    events = _in_batches(rows, f"{root}/in", _days(rows, 6), 5, ["ts"])
 
     def to_json(batch_id):
         return lambda df: sinks.write_json(df, f"{root}/json/batch_id={batch_id}")
@@ -40,7 +53,12 @@ def stream_upsert(spark, sf):
     flows.upsert_stream(
         events, f"{root}/table", keys, order, f"{root}/checkpoint", [to_json, to_csv]
     ).awaitTermination()
-    return flows.read_upserted(spark, f"{root}/table", keys, order).drop("ts")
+    held = flows.read_upserted(spark, f"{root}/table", keys, order).drop("ts")
+    for name, options in (("json", {}), ("csv", {"header": True})):
+        export = flows.read_committed(spark, f"{root}/table", f"{root}/{name}", name, **options)
+        counts = export.groupBy(F.col("event_id").cast("long").alias("event_id")).agg(F.count(F.lit(1)).cast("int").alias(f"n_{name}"))
+        held = held.join(counts, "event_id", "left")
+    return held
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")
@@ -90,14 +108,21 @@ def stream_validation(spark, sf):
     """
 WITH i AS (SELECT page_id, url, regexp_extract(html, '<title>([^<]*)', 1) AS title,
   len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*')) AS n FROM pages),
-k AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC) AS rn FROM i)
-SELECT row_number() OVER (ORDER BY url) AS id, url AS detail_link, CAST(page_id AS VARCHAR) AS rank,
-  CASE WHEN n % 2 = 0 THEN 'missing:title_cn' ELSE '' END AS flags, n AS comments
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id % 4 DESC, page_id DESC) AS rn,
+    min(page_id % 4) OVER (PARTITION BY url) AS arrived, sum(n) OVER (PARTITION BY url) AS exported, count(*) OVER (PARTITION BY url) AS items
+  FROM i)
+SELECT row_number() OVER (ORDER BY arrived, url) AS id, url AS detail_link, CAST(page_id AS VARCHAR) AS rank,
+  CASE WHEN n % 2 = 0 THEN 'missing:title_cn' ELSE '' END AS flags, n AS comments,
+  CAST(exported AS BIGINT) AS csv_comments, items AS json_items
 FROM k WHERE rn = 1
 """
 )
 def item_flow(spark, sf):
-    """Nested items as a stream: flagged, upserted by link, exported, split into movies and reviews."""
+    """Nested items in four batches: flagged, numbered at first arrival, upserted by link, exported, split into movies and reviews.
+
+    ``csv_comments`` and ``json_items`` come from the exports of all batches, by the number and the link they carry.
+    """
     root = scratch_dir(spark, "items")
     links = F.transform(
         F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'), 1),
@@ -113,10 +138,64 @@ def item_flow(spark, sf):
         F.lpad(F.col("page_id").cast("string"), 20, "0").alias("crawled_at"),
         links.alias("hot_comments"),
     )
-    sinks.write_json(page, f"{root}/in")
-    items.store_items(items.item_stream(spark, f"{root}/in"), f"{root}/out").awaitTermination()
+    for number in range(4):
+        sinks.write_json(page.where(F.col("rank").cast("long") % 4 == number).coalesce(1), f"{root}/in/{number}")
+    items.store_items(items.item_stream(spark, f"{root}/in/*", 1), f"{root}/out").awaitTermination()
     movies, comments = items.read_items(spark, f"{root}/out")
     counts = comments.groupBy(F.col("movie_id").alias("id")).agg(F.count(F.lit(1)).alias("comments"))
-    return movies.join(counts, "id", "left").select(
-        "id", "detail_link", "rank", F.array_join("flags", ",").alias("flags"), F.coalesce("comments", F.lit(0)).alias("comments")
+    exported, written = items.read_exports(spark, f"{root}/out")
+    in_csv = written.groupBy(F.col("movie_id").alias("id")).agg(F.count(F.lit(1)).alias("csv_comments"))
+    in_json = exported.groupBy("detail_link").agg(F.count(F.lit(1)).alias("json_items"))
+    return movies.join(counts, "id", "left").join(in_csv, "id", "left").join(in_json, "detail_link", "left").select(
+        "id", "detail_link", "rank", F.array_join("flags", ",").alias("flags"), F.coalesce("comments", F.lit(0)).alias("comments"),
+        F.coalesce("csv_comments", F.lit(0)).alias("csv_comments"), "json_items",
     )
+
+
+@query(
+    """
+WITH e AS (SELECT CASE WHEN event_id % 11 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id, event_id, event_type, value, ts FROM events)
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM e)
+WHERE rn = 1 OR user_id IS NULL
+"""
+)
+def upsert_partitions(spark, sf):
+    """The events of three stretches of days put one after the other into a table that replaces only the parts they touch."""
+    root = scratch_dir(spark, "upsert_partitions")
+    user = F.when(F.col("event_id") % 11 != 0, F.col("user_id").cast("string")).alias("user_id")
+    rows = table(spark, sf, "events").select(user, "event_id", "event_type", "value", "ts")
+    for number in range(3):
+        sinks.upsert_table(rows.where(_days(rows, 10) == number), f"{root}/table", ["user_id"], ["ts", "event_id"], parts=8)
+    return sinks.read_upserted_table(spark, f"{root}/table").drop("ts")
+
+
+GATHER_CAP = 200
+
+
+@query(
+    PAGES_SQL.replace("l_partkey", "l_suppkey").replace("before < 15", f"before < {GATHER_CAP}")
+    + f"""
+SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_extendedprice FROM (
+  SELECT l.*, row_number() OVER (PARTITION BY l_suppkey
+    ORDER BY l_linenumber, l_orderkey, l_partkey, l_shipdate, l_extendedprice) AS rn
+  FROM lineitem l JOIN opened USING (l_suppkey, l_linenumber)) WHERE rn <= {GATHER_CAP}
+"""
+)
+def stream_gather(spark, sf):
+    """Pages of each supplier's lines, one batch a page number, held in state until a supplier is complete; stopped and started again."""
+    root = scratch_dir(spark, "gather")
+    order = ["l_orderkey", "l_partkey", "l_shipdate", "l_extendedprice"]
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", *order)
+    lines = lines.withColumn("read_at", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("l_linenumber") * 86_400))
+
+    def run(stream):
+        gathered = state.gather_pages(stream, ["l_suppkey"], "l_linenumber", order, "read_at", idle_hours=36, cap=GATHER_CAP)
+        flows.to_files(gathered, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+
+    # later pages only tell how far the reading is; a first run ends within the pages, a second one goes on from its state
+    run(_in_batches(lines.where("l_linenumber <= 2"), f"{root}/in", F.col("l_linenumber") - 1, 2, order))
+    for number in (3, 4, 5, 6, 7):
+        lines.where(F.col("l_linenumber") == number).coalesce(1).write.parquet(f"{root}/in/{number:03d}")
+    run(flows.file_stream(spark, f"{root}/in/*", lines.schema, max_files=1))
+    return spark.read.parquet(f"{root}/out").drop("l_shipdate", "read_at")

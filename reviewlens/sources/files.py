@@ -92,10 +92,10 @@ def table_counts(spark: SparkSession, tables: Mapping[str, DataFrame | None]) ->
     return out
 
 
-def open_parquet(spark: SparkSession, path: str) -> DataFrame | None:
+def open_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     """The table at ``path``, None if there is none."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException:
         return None
 

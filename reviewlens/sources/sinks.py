@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.relate import fk_valid, keep_last_named, unique_violations
+from ..operators.relate import fk_valid, has_null, keep_last_named, unique_violations
 from ..operators.validate import constraint_report
 from .files import open_parquet
 
@@ -137,9 +137,39 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: S
 
     Rows with a NULL in their key replace nothing and are replaced by nothing.
     """
-    newest = keep_last_named(batch, keys, order_by)
-    kept = target.join(newest.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(newest)
+    return _replaced(target, keep_last_named(batch, keys, order_by), keys)
+
+
+def _replaced(target: DataFrame, newest: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return target.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest)
+
+
+PART = "key_part"
+
+
+def upsert_table(batch: DataFrame, path: str, keys: Sequence[str], order_by: Sequence, parts: int = 64) -> None:
+    """As ``upsert``, into the table at ``path``, of which only the parts that hold keys of the batch are read and replaced.
+
+    The table has one folder per part of the keys' hashes; rows with a NULL in their key are dealt out by all of their columns.
+    The new files of a part take the place of its old ones when all are written. ``parts`` is fixed when the table is made.
+    """
+    spark = batch.sparkSession
+    columns = sorted(batch.columns)
+    by = F.when(has_null(keys), F.xxhash64(*columns)).otherwise(F.xxhash64(*keys))
+    newest = keep_last_named(batch, keys, order_by).withColumn(PART, F.pmod(by, F.lit(parts)).cast("int"))
+    held = open_parquet(spark, path)
+    if held is not None:
+        touched = [r[0] for r in newest.select(PART).distinct().collect()]  # at most ``parts`` numbers
+        if not touched:
+            return
+        newest = _replaced(held.where(F.col(PART).isin(touched)), newest, keys)
+    writer = newest.repartition(parts, PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(PART).parquet(path)
+
+
+def read_upserted_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table behind ``upsert_table``."""
+    return spark.read.parquet(path).drop(PART)
 
 
 def fan_out(df: DataFrame, writers: Sequence[Writer]) -> None:
