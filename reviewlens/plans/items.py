@@ -36,6 +36,7 @@ def store_items(stream: DataFrame, out: str) -> StreamingQuery:
     def to_csv(batch_id: int) -> sinks.Writer:
         def write(df: DataFrame) -> None:
             movies, comments = relate.split_nested(df.drop("flags"), COMMENTS, "id")
+            movies = movies.drop("id")
             sinks.write_csv(movies.select(*sorted(movies.columns)), f"{out}/movies_csv/{flows.BATCH}={batch_id}")
             sinks.write_csv(comments.withColumnRenamed("id", "movie_id"), f"{out}/comments_csv/{flows.BATCH}={batch_id}")
 

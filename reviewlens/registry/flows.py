@@ -199,3 +199,33 @@ def stream_gather(spark, sf):
         lines.where(F.col("l_linenumber") == number).coalesce(1).write.parquet(f"{root}/in/{number:03d}")
     run(flows.file_stream(spark, f"{root}/in/*", lines.schema, max_files=1))
     return spark.read.parquet(f"{root}/out").drop("l_shipdate", "read_at")
+
+
+@query(
+    """
+WITH RECURSIVE e AS (
+  SELECT user_id, event_type, event_id, ts, CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 3) AS INTEGER) AS batch FROM events),
+marks AS (SELECT batch + 2 AS batch, max(ts) - INTERVAL 2 DAY AS mark FROM e GROUP BY batch),
+r AS (SELECT e.*, m.mark FROM e LEFT JOIN marks m ON m.batch = e.batch),
+kept AS (
+  SELECT user_id, event_type, min(event_id) AS event_id, arg_min(ts, event_id) AS ts FROM r GROUP BY user_id, event_type
+  UNION ALL
+  SELECT r.user_id, r.event_type, min(r.event_id), arg_min(r.ts, r.event_id)
+  FROM kept k JOIN r ON r.user_id = k.user_id AND r.event_type = k.event_type AND r.mark >= k.ts + INTERVAL 2 DAY
+  GROUP BY r.user_id, r.event_type)
+SELECT user_id, event_type, event_id FROM kept
+"""
+)
+def stream_dedup_bounded(spark, sf):
+    """Events three days a batch, a key's first row until it is forgotten; the first days come once more at the end, and are late.
+
+    A key returns once a watermark two days past its row was reached before the batch before: what the SQL spells out.
+    """
+    root = scratch_dir(spark, "dedup_bounded")
+    events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late = events.where(_days(events, 3) == 0).withColumn("event_id", -1 - F.col("event_id"))
+    rows = events.withColumn("batch", _days(events, 3)).unionByName(late.withColumn("batch", F.lit(10).cast("long")))
+    stream = _in_batches(rows, f"{root}/in", F.col("batch"), 11, ["ts", "event_id"])
+    unique = state.dedup_bounded(stream, ["user_id", "event_type"], "ts", "2 days")
+    flows.to_files(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("user_id", "event_type", "event_id")
