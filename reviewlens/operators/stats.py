@@ -148,6 +148,41 @@ def kde(df: DataFrame, col: str, points: int = 200, bins: int = 20) -> DataFrame
     )
 
 
+def kde_binned(df: DataFrame, col: str, points: int = 200, bins: int = 20, cells: int = 4096) -> DataFrame:
+    """As ``kde``, for continuous values: (i, x, y) by linear binning, whose work per task does not depend on the distinct values.
+
+    Each value is shared out between the two of ``cells`` equally spaced places around it, in proportion to its distance from them; what the
+    shuffle carries is ``cells`` sums per task. The grid is then folded with the kernel, ``cells`` times ``points`` terms whatever
+    the table holds. The error against ``kde`` is of the order of the square of a cell's width over the bandwidth.
+    """
+    facts = df.agg(
+        F.struct(
+            F.count(col).cast("double").alias("n"), F.min(col).cast("double").alias("low"), F.max(col).cast("double").alias("high"),
+            F.stddev_samp(col).alias("sd"),
+        ).alias("facts")
+    ).scalar()
+    n, low, high = facts.getField("n"), facts.getField("low"), facts.getField("high")
+    last = F.lit(float(cells - 1))
+    place = F.coalesce(F.try_divide(F.col(col).cast("double") - low, high - low) * last, F.lit(0.0))
+    left = F.least(F.floor("place").cast("int"), F.lit(cells - 2))
+    shares = F.array(
+        F.struct(F.col("left").alias("cell"), (1 - (F.col("place") - F.col("left"))).alias("share")),
+        F.struct((F.col("left") + 1).alias("cell"), (F.col("place") - F.col("left")).alias("share")),
+    )
+    placed = df.where(F.col(col).isNotNull()).select(place.alias("place")).select("place", left.alias("left"))
+    grid = placed.select(F.inline(shares)).groupBy("cell").agg(F.sum("share").alias("share"))
+    width = facts.getField("sd") * F.pow(n, F.lit(-0.2))
+    x = low + F.col("i") * (high - low) / F.lit(float(points - 1))
+    u = F.try_divide(x - (low + F.col("cell") * (high - low) / last), width)
+    scale = F.try_divide((high - low) / F.lit(float(bins)), width * F.lit((2 * math.pi) ** 0.5))
+    return (
+        grid.select("cell", "share", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
+        .groupBy("i")
+        .agg(F.sum(F.col("share") * F.exp(u * u * F.lit(-0.5))).alias("mass"))
+        .select("i", x.alias("x"), (F.col("mass") * scale).alias("y"))
+    )
+
+
 def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
 

@@ -119,6 +119,28 @@ def kde_grid(spark, sf):
     return curve.withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
 
 
+@query(
+    """
+WITH f AS (
+  SELECT count(*)::DOUBLE AS n, min(l_extendedprice) AS low, max(l_extendedprice) AS high,
+    stddev_samp(l_extendedprice) * pow(count(*)::DOUBLE, -0.2) AS width FROM lineitem),
+p AS (SELECT (l_extendedprice - low) / (high - low) * 4095 AS place FROM lineitem, f WHERE l_extendedprice IS NOT NULL),
+s AS (SELECT place, least(floor(place), 4094) AS cell FROM p),
+c AS (
+  SELECT cell, sum(share) AS share FROM (
+    SELECT cell, 1 - (place - cell) AS share FROM s UNION ALL SELECT cell + 1, place - cell FROM s) GROUP BY cell),
+g AS (SELECT i, low + i * (high - low) / 199.0 AS x, low, high, width FROM f, range(200) t(i))
+SELECT CAST(g.i AS INTEGER) AS i, round(any_value(g.x), 6) AS x,
+  round(sum(share * exp(-0.5 * pow((g.x - (low + cell * (high - low) / 4095.0)) / width, 2)))
+    * any_value((high - low) / 20.0 / (width * sqrt(2 * pi()))), 6) AS y
+FROM g, c GROUP BY g.i
+"""
+)
+def kde_continuous(spark, sf):
+    curve = stats.kde_binned(table(spark, sf, "lineitem"), "l_extendedprice")
+    return curve.withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
+
+
 @query(
     """
 SELECT count(*) AS n, round(corr(l_extendedprice, l_quantity), 6) AS correlation FROM lineitem

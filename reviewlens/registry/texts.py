@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions import numbers
 from ..functions import patterns as P
 from ..operators import sentiment, words
 from ..session import spread
-from .base import query, sql_clean, sql_list, sql_runs, table
+from .base import ORACLE, query, sql_clean, sql_list, sql_runs, table
 
 STOP = [
     "the", "and", "of", "to", "in", "on", "is", "by", "for", "that", "with",
@@ -208,6 +209,13 @@ def sentiment_summary(spark, sf):
     return sentiment.summary(_scored(spark, sf))
 
 
+@query(f"SELECT sentiment, n, printf('%.1f%%', percent) AS share FROM ({ORACLE['sentiment_summary']})")
+def sentiment_report(spark, sf):
+    """The classes as a report prints them: shares as texts with one place."""
+    summary = sentiment.summary(_scored(spark, sf))
+    return summary.select("sentiment", "n", numbers.fixed_text(F.col("percent"), 1, "%").alias("share"))
+
+
 @query(f"WITH {SCORED} SELECT count(score) AS n, coalesce(round_even(avg(score), 3), 0.5) AS average FROM scored")
 def sentiment_avg(spark, sf):
     return sentiment.average(_scored(spark, sf))

@@ -40,6 +40,18 @@ def test_kde_against_formula(ratings):
     assert np.allclose([r.y for r in got], density * len(v) * (v.max() - v.min()) / 20)
 
 
+def test_binned_kde_stays_close_to_the_direct_sum(spark):
+    df = spark.range(20_000).select((F.randn(7) * 3 + F.when(F.col("id") % 3 == 0, 10).otherwise(0)).alias("x")).unionByName(
+        spark.createDataFrame([(None,), (25.5,)], "x double")
+    )
+    df = spark.createDataFrame(df.toPandas(), "x double").where("x = x")
+    direct = {r.i: r.y for r in stats.kde(df, "x").collect()}
+    binned = {r.i: r.y for r in stats.kde_binned(df, "x").collect()}
+    top = max(direct.values())
+    assert len(binned) == 200 and max(abs(binned[i] - direct[i]) for i in direct) < 1e-5 * top
+    assert all(r.y is None for r in stats.kde_binned(spark.createDataFrame([(5.0,), (5.0,)], "x double"), "x", 10).collect())
+
+
 def test_kde_without_spread_is_null(spark):
     got = stats.kde(spark.createDataFrame([(5.0,), (5.0,)], "x double"), "x", 10).collect()
     assert len(got) == 10 and all(r.y is None for r in got)
