@@ -11,7 +11,8 @@ from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import send_by_value
@@ -203,6 +204,22 @@ def explode_blocks(
     return pages.select(*keep, html).mapInPandas(run, schema)
 
 
+def block_function(spark: SparkSession, name: str, block: Step, fields: Mapping[str, Pick]) -> None:
+    """Register ``explode_blocks`` as a table function for SQL: ``SELECT ... FROM pages, LATERAL name(html)`` gives (position, fields)."""
+    types = ["position int", *(f"`{n}` {'array<string>' if p.every else 'string'}" for n, p in fields.items())]
+    picks = list(fields.values())
+
+    class Blocks:
+        def eval(self, html: str) -> Iterator[tuple]:
+            tree, _ = parsed_or_reason(html)
+            for position, node in enumerate([n for n in tree.inside() if block.fits(n)] if tree else [], start=1):
+                inside = list(node.inside())
+                values = [[v.strip() for v in p.values(node, inside)] for p in picks]
+                yield (position, *(v if p.every else (v[0] if v else None) for p, v in zip(picks, values, strict=True)))
+
+    spark.udtf.register(name, F.udtf(Blocks, returnType=", ".join(types), useArrow=True))
+
+
 def refused_pages(pages: DataFrame, keep: Sequence[str] = ("page_id", "url"), html: str = "html") -> DataFrame:
     """(keep, reason) of the pages that the parser refuses, so that none is lost silently."""
     keep = list(keep)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -73,6 +75,66 @@ def dictionary_splitter(df: DataFrame, dictionary: Iterable[str]) -> Splitter:
     return lambda text: F.split(cut(F.array_join(split_runs(text), " ")), " ")
 
 
+def best_route(run: str, found: Sequence[tuple[int, int, float]], total: float) -> list[str]:
+    """``run`` cut along the words (start, size, frequency) whose frequencies' product is largest; ties to the longer word.
+
+    A character that is no word of its own counts as one occurrence among ``total``.
+    """
+    starting: dict[int, list[tuple[int, float]]] = {}
+    for start, size, frequency in found:
+        starting.setdefault(start, []).append((size, frequency))
+    best: list[tuple[float, int]] = [(0.0, 0)] * (len(run) + 1)
+    for at in range(len(run) - 1, -1, -1):
+        steps = starting.get(at, [])
+        single = next((f for size, f in steps if size == 1), 1.0)
+        options = [(1, single), *(s for s in steps if s[0] > 1)]
+        best[at] = max((math.log(max(f, 1.0) / total) + best[at + size][0], size) for size, f in options)
+    out, at = [], 0
+    while at < len(run):
+        out.append(run[at : at + best[at][1]])
+        at += best[at][1]
+    return out
+
+
+def run_words(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: str = "word", frequency: str = "n") -> DataFrame:
+    """(run, words) of the distinct values of ``run``, cut along the best route through a dictionary table of any size.
+
+    The substrings of a run that are words are found by a join, so the dictionary is neither broadcast nor held by a task;
+    a task holds one run's words at a time.
+    """
+    distinct = runs.select(F.col(run).alias("run")).where(F.length("run") > 0).distinct()
+    known = dictionary.groupBy(F.col(word).alias("word")).agg(F.sum(frequency).cast("double").alias("frequency"))
+    facts = known.agg(F.struct(F.max(F.length("word")).alias("longest"), F.sum("frequency").alias("total")).alias("facts")).scalar()
+    starts = distinct.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("start"))
+    most = F.least(F.coalesce(facts.getField("longest"), F.lit(1)), F.length("run") - F.col("start") + 1)
+    pieces = starts.select("run", "start", F.explode(F.sequence(F.lit(1), most)).alias("size")).select(
+        "run", "start", "size", F.substr("run", F.col("start"), F.col("size")).alias("word")
+    )
+    met = pieces.join(known, "word").groupBy("run").agg(F.collect_list(F.struct("start", "size", "frequency")).alias("found"))
+    total = F.coalesce(facts.getField("total"), F.lit(1.0))
+    rows = distinct.join(met, "run", "left").select("run", "found", total.alias("total"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            listed = [
+                best_route(run_, [(w["start"] - 1, w["size"], w["frequency"]) for w in found or ()], whole)
+                for run_, found, whole in zip(*(batch.column(c).to_pylist() for c in ("run", "found", "total")), strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(listed, pa.list_(pa.string()))], names=["run", "words"])
+
+    return rows.mapInArrow(cut, "run string, words array<string>")
+
+
+def dictionary_tokens(
+    df: DataFrame, col: str, dictionary: DataFrame, *ids: str, keep: str = P.KEEP_MIXED, min_len: int = 2, word: str = "word",
+    frequency: str = "n",
+) -> DataFrame:
+    """(ids, token): as ``tokens`` with the best route through a dictionary table. Every distinct run is cut once."""
+    runs = df.select(*ids, F.explode(split_runs(delete_other(F.col(col), keep))).alias("run"))
+    met = runs.join(run_words(runs, dictionary, "run", word, frequency), "run")
+    return met.select(*ids, F.explode("words").alias("token")).where(F.length("token") >= min_len)
+
+
 def tokens(
     df: DataFrame,
     col: str,

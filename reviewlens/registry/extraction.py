@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup, names
 from ..operators import extract
-from ..operators.extract import explode_blocks, pick, step
+from ..operators.extract import block_function, explode_blocks, pick, step
 from ..plans import catalogue
 from ..session import spread
 from .base import query, sql_strip, table
@@ -84,6 +84,14 @@ def html_items_parsed(spark, sf):
     return explode_blocks(spread(table(spark, sf, "pages")), step("li"), fields)
 
 
+@query(LINKS)
+def html_items_sql(spark, sf):
+    """The same blocks in SQL: a table function joined to each page."""
+    block_function(spark, "page_links", step("li"), {"href": pick("a", attr="href"), "label": pick("a")})
+    sql = "SELECT p.page_id, p.url, b.position, b.href, b.label FROM {pages} AS p, LATERAL page_links(p.html) AS b"
+    return spark.sql(sql, pages=spread(table(spark, sf, "pages")))
+
+
 ITEMS_ALL = "regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)', 1)"
 
 

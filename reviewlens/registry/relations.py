@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import relate
+from ..session import scratch_dir
+from ..sources import files, sinks
 from .base import query, table
 
 
@@ -268,3 +270,14 @@ def text_source_nested(spark, sf):
     )
     empty = table(spark, sf, "conversations").withColumn("text", F.lit(""))
     return relate.texts_or_nested(empty, "text", pages, "hot_comments", "content")
+
+
+@query("PIVOT (SELECT event_id, event_type, CAST(user_id AS VARCHAR) AS user_id FROM events) ON event_type USING first(user_id) GROUP BY event_id")
+def open_header(spark, sf):
+    """A CSV whose header is the keys found in the data, written and read back."""
+    record = F.to_json(F.map_from_arrays(F.array("event_type"), F.array("user_id"))).alias("record")
+    opened = relate.open_columns(table(spark, sf, "events").where("event_type IS NOT NULL").select("event_id", record), "record")
+    path = scratch_dir(spark, "open_header")
+    sinks.write_csv(opened, path)
+    back = files.read_csv(spark, path, multi_line=False)
+    return back.withColumn("event_id", F.col("event_id").cast("long"))

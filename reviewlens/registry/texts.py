@@ -128,6 +128,15 @@ def dict_tokens(spark, sf):
     return words.value_counts(words.tokens(docs, "text", keep=P.KEEP_LATIN, splitter=splitter), "token")
 
 
+@query()
+def dict_best_path(spark, sf):
+    """Words cut along the best route through the frequent short words of the same texts, a dictionary that grows with them."""
+    docs = _docs(spark, sf)
+    counts = words.value_counts(words.tokens(docs, "text", keep=P.KEEP_LATIN), "token")
+    dictionary = counts.where(F.length("token").between(2, 6) & (F.col("n") >= 20)).select(F.col("token").alias("word"), "n")
+    return words.value_counts(words.dictionary_tokens(docs, "text", dictionary, keep=P.KEEP_LATIN), "token")
+
+
 CJK_DIGITS = "零一二三四五六七八九"
 
 
