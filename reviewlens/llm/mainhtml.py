@@ -45,6 +45,11 @@ HINTS = frozenset(
     gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social
     related recommended recommendations widget toolbar pagination pager search copyright legal skip teaser""".split()
 )
+# Hints that hold however much text stands there: what readers write, and the page's own furniture.
+FIRM_HINTS = frozenset(
+    "comment comments disqus respond reply replies nav navbar navigation menu footer cookie cookies consent gdpr breadcrumb breadcrumbs".split()
+)
+NEGATIONS = ("no-", "has-", "with-", "without-", "hide-", "is-")  # a class "no-sidebar" does not name what its element is
 OUTER_HINTS = frozenset("header masthead topbar".split())  # bad outside the article only
 ROLES = frozenset("navigation banner contentinfo complementary search form menu alert dialog".split())
 TOKEN = re.compile(
@@ -55,36 +60,48 @@ TOKEN = re.compile(
     r"|<[!?][^>]*>",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|style|hidden|aria-hidden)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s\"'>]+)))?")  # in order, so that no name is found inside a value
 HEADING = re.compile("h[1-6]")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def _is_bad(tag: str, rest: str, in_article: bool) -> bool:
-    """Whether an element holds no main text, by its name and attributes."""
+NOT_BAD, HINTED, BAD = 0, 1, 2
+
+
+def _badness(tag: str, rest: str, in_article: bool) -> int:
+    """BAD: an element holds no main text, by its name and attributes. HINTED: a class or id says so, which its text may outweigh."""
     if tag in BAD_TAGS or (tag == "header" and not in_article):
-        return True
+        return BAD
+    found = NOT_BAD
     for name, a, b, c in ATTRIBUTE.findall(rest):
         name, value = name.lower(), (a or b or c).lower()
         if name in ("class", "id"):
-            words = set(re.split(r"[^a-z0-9]+", value))
+            words = {w for part in value.split() if not part.startswith(NEGATIONS) for w in re.split(r"[^a-z0-9]+", part)}
+            if words & FIRM_HINTS and tag not in ("html", "body", "main"):
+                return BAD
+            if tag in ("html", "body", "main", "article"):
+                continue  # what else such an element is called tells nothing of its text
             if words & HINTS or (words & OUTER_HINTS and not in_article and not words & {"article", "post", "entry"}):
-                return True
-        elif name == "role" and value in ROLES:
-            return True
+                found = HINTED
+        elif name == "role" and value in ROLES and tag not in ("html", "body", "main", "article"):
+            return BAD
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return BAD
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return BAD
+    return found
 
 
 def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
     """(text, characters inside links, inside a bad element, number of the article or 0, heading) of each block in page order."""
     out: list[tuple[str, int, bool, int, bool]] = []
     pieces: list[str] = []
-    linked = articles = links = bad = 0
-    stack: list[tuple[str, bool, int]] = []  # element, bad, number of the article it opens
+    linked = articles = links = bad = dropped = 0
+    stack: list[tuple[str, int, int]] = []  # element, badness, number of the article it opens
+    hinted: list[int] = []  # numbers of the open block elements that are bad by hint only
+    under: list[tuple[int, ...]] = []  # per block the hinted elements around it
+    plain: Counter[int] = Counter()  # characters outside links per hinted element; 0 for the page
+    hints = 0
     inside: list[int] = []
     opened: Counter[str] = Counter()
 
@@ -94,20 +111,30 @@ def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
         if text:
             heading = any(HEADING.fullmatch(tag) for tag, _, _ in stack[-3:])
             out.append((text, linked, bad > 0, inside[-1] if inside else 0, heading))
+            under.append(tuple(hinted))
+            if not bad:
+                plain.update({number: len(text) - linked for number in (0, *hinted)})
         pieces.clear()
         linked = 0
 
     def pop() -> None:
-        nonlocal bad, links
+        nonlocal bad, links, dropped
         tag, was_bad, number = stack.pop()
         opened[tag] -= 1
-        bad -= was_bad
+        if was_bad and tag not in BLOCK:
+            dropped -= 1
+        elif was_bad == BAD:
+            bad -= 1
+        elif was_bad:
+            hinted.pop()
         links -= tag == "a"
         if number:
             inside.pop()
 
     def add(text: str) -> None:
         nonlocal linked
+        if dropped:
+            return  # inside a bad element within a line
         pieces.append(text)
         if links:
             linked += len("".join(html_lib.unescape(text).split()))
@@ -144,7 +171,7 @@ def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
         if tag == "a" and stack and stack[-1][0] == "a":
             pop()
         rest = (token["rest"] if token["tag"] else token["rest2"]) or ""
-        found = _is_bad(tag, rest, bool(inside))
+        found = _badness(tag, rest, bool(inside))
         number = 0
         if tag in ("article", "main") and not found and not bad:
             articles += 1
@@ -152,28 +179,57 @@ def blocks(page: str) -> list[tuple[str, int, bool, int, bool]]:
             inside.append(number)
         stack.append((tag, found, number))
         opened[tag] += 1
-        bad += found
+        if found and tag not in BLOCK:
+            dropped += 1
+        elif found == BAD:
+            bad += 1
+        elif found:
+            hints += 1
+            hinted.append(hints)
         links += tag == "a"
     if at < len(page):
         add(page[at:])
     flush()
-    return out
+    # an element that holds most of the page's text outside links is its main part, whatever it is called
+    weak = {number for number, held in plain.items() if number and 2 * held > plain[0]}
+    return [(t, k, bad_ or not weak.issuperset(around), a, h) for (t, k, bad_, a, h), around in zip(out, under, strict=True)]
 
 
-def _decide(text: str, linked: int, bad: bool, article: int) -> bool | None:
-    """First pass: True good, False bad, None ambiguous."""
+def _weight(text: str) -> int:
+    """Length of a text; a character of a script that writes words in one or two of them counts as three."""
+    return len(text) + 2 * sum("\u3040" <= c <= "\u9fff" or "\uac00" <= c <= "\ud7a3" for c in text)
+
+
+def _stop_share(text: str, stops: frozenset[str]) -> float:
+    words = LETTERS.findall(text.lower())
+    return sum(w in stops for w in words) / max(len(words), 1)
+
+
+def _page_stops(found: list[tuple[str, int, bool, int, bool]]) -> frozenset[str] | None:
+    """The stop words for a page: the fixed ones and, where its long blocks hold none of those, its own frequent short words; None if it has none either."""
+    long = [text for text, linked, bad, _, _ in found if not bad and not linked and len(text) >= SHORT]
+    if not long or any(_stop_share(text, STOP_WORDS) >= FEW_STOPS for text in long):
+        return STOP_WORDS
+    counts = Counter(w for text in long for w in LETTERS.findall(text.lower()) if len(w) <= 4)
+    own = frozenset(w for w, n in counts.most_common(20) if n >= 3)
+    return STOP_WORDS | own if any(_stop_share(text, own) >= FEW_STOPS for text in long) else None
+
+
+def _decide(text: str, linked: int, bad: bool, article: int, stop_words: frozenset[str] | None = STOP_WORDS) -> bool | None:
+    """First pass: True good, False bad, None ambiguous. Without stop words a long block free of links is good."""
     if bad:
         return False
     dense = len(text.replace(" ", ""))
     if linked > MANY_LINKS * dense:
         return False
-    words = LETTERS.findall(text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    stops = _stop_share(text, STOP_WORDS if stop_words is None else stop_words)
     if article:
         # an article's own text may lack known stop words; only its short blocks are open
         return True if len(text) >= SHORT or stops >= MANY_STOPS else None
-    if len(text) < SHORT:
+    if _weight(text) < SHORT:
         return False if linked else None
+    if stop_words is None and not linked and _weight(text) >= LONG:
+        return True
     if stops >= MANY_STOPS and len(text) >= LONG:
         return True
     if stops >= FEW_STOPS:
@@ -185,7 +241,8 @@ def main_text(page: str | None) -> str:
     """The blocks of the main text, joined by an empty line; '' where there is none."""
     found = blocks(page or "")
     articles = any(b[3] for b in found)
-    first = [_decide(*b[:4]) for b in found]
+    stop_words = STOP_WORDS if articles else _page_stops(found)
+    first = [_decide(*b[:4], stop_words) for b in found]
     if articles:
         # with an article on the page, text outside of it is decided against
         first = [label if b[3] else False for label, b in zip(first, found, strict=True)]

@@ -27,6 +27,30 @@ def test_pages_without_article():
     assert main_text(page).split("\n\n") == ["Heading", LONG.strip(), "Between.", LONG.strip()]
 
 
+def test_names_that_only_seem_to_condemn():
+    for page in (
+        f'<body class="single no-sidebar"><article><p>{LONG}</p></article>', f'<div class="content has-banner"><p>{LONG}</p></div>',
+        f'<article id="copyright-law"><p>{LONG}</p></article>', f'<article><p data-id="search">{LONG}</p></article>',
+        f'<article><p title="the hidden garden">{LONG}</p></article>', f'<div id="legal"><p>{LONG}</p><p>{LONG}</p></div><div class="sidebar"><p>The list</p></div>',
+    ):
+        assert set(main_text(page).split("\n\n")) == {LONG.strip()}, page
+    # readers' words stay out, however many there are
+    assert main_text(f'<article><p>{LONG}</p></article><div class="comments"><p>{LONG * 5}</p></div>') == LONG.strip()
+
+
+def test_bad_elements_within_a_line():
+    page = f'<article><p>{LONG}<span class="advert">Buy now!</span><span hidden>secret <b>code</b></span> End.</p></article>'
+    assert main_text(page) == LONG.strip() + " End."
+
+
+def test_languages_without_listed_stop_words():
+    italian = "Gli alberi del bosco che si vede dalla finestra della casa sono molto alti e ogni anno gli uccelli vi fanno i loro nidi, che si vede dal prato. " * 2
+    chinese = "这座城市的图书馆建于一百年前，现在仍然是人们读书和学习的地方，每天有许多学生来到这里查阅资料，准备考试。周末的时候，家长也会带着孩子来听故事，参加各种有趣的活动。" * 2
+    menu = "<ul><li><a href='/'>Uno</a><li><a href='/b'>Due</a></ul>"
+    for text in (italian, chinese):
+        assert main_text(f"<body>{menu}<div><p>{text}</p><p>{text}</p></div></body>") == "\n\n".join([text.strip()] * 2)
+
+
 def test_broken_markup():
     assert main_text(None) == main_text("") == main_text("<p>") == main_text("<![foo bar]>") == ""
     assert main_text("<article><p>a<b>b</p></i>c") == "ab\n\nc"
