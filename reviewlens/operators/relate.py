@@ -182,12 +182,12 @@ def open_columns(df: DataFrame, record: str) -> DataFrame:
     The header is the sorted union of the keys in the data, gathered by an aggregation; no schema names them beforehand. Values that are
     objects or arrays stay JSON text. A key called like a column of ``df`` is left to that column.
     """
-    held = df.withColumn("__record", F.try_parse_json(record))
+    held = df.withColumn("__record", F.try_variant_get(F.try_parse_json(record), "$", "map<string,variant>"))
     keys = df.select(F.explode(F.json_object_keys(record)).alias("key")).distinct()
     header = sorted(r["key"] for r in keys.collect() if r["key"] not in df.columns)  # a table's header
     rest = [c for c in df.columns if c != record]
-    path = lambda key: "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
-    return held.select(*rest, *(F.try_variant_get("__record", path(k), "string").alias(k) for k in header))
+    value = lambda key: F.try_variant_get(F.try_element_at("__record", F.lit(key)), "$", "string")
+    return held.select(*rest, *(value(k).alias(k) for k in header))
 
 
 def split_nested(df: DataFrame, array_col: str, parent_key: str) -> tuple[DataFrame, DataFrame]:

@@ -137,3 +137,13 @@ def test_text_fallback(spark):
     own = spark.createDataFrame([("o1",), ("",)], "t string")
     assert values(relate.texts_or_nested(own, "t", items, "c", "content"), "content") == [("o1",)]
     assert values(relate.texts_or_nested(own.where("t = ''"), "t", items, "c", "content"), "content") == [("n1",)]
+
+
+def test_columns_from_the_keys_of_the_data(spark):
+    rows = [(1, '{"b": 1, "a": "x"}'), (2, '{"c d": null, "a": [1, 2]}'), (3, None), (4, "no json"), (5, "{}"), (6, '{"id": 9, "q\'s": true}')]
+    got = relate.open_columns(spark.createDataFrame(rows, "id int, props string"), "props")
+    assert got.columns == ["id", "a", "b", "c d", "q's"]
+    by = {r.id: tuple(r)[1:] for r in got.collect()}
+    assert by == {
+        1: ("x", "1", None, None), 2: ("[1,2]", None, None, None), 3: (None,) * 4, 4: (None,) * 4, 5: (None,) * 4, 6: (None, None, None, "true")
+    }

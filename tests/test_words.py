@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -124,3 +125,41 @@ def test_summary_and_average(spark):
 def test_weights(spark):
     got = words.term_weights(docs(spark, "aa aa bb"), "t", keep=P.KEEP_LATIN).collect()
     assert [(r.token, r.rank, r.weight) for r in got] == [("aa", 1, 1.0), ("bb", 2, 0.5)]
+
+
+def routes(run, words, total):
+    """Every cut of ``run``: (product of frequencies as a logarithm, sizes from the left)."""
+    if not run:
+        return [(0.0, ())]
+    out = []
+    for size in range(1, len(run) + 1):
+        if size == 1 or run[:size] in words:
+            weight = math.log(max(words.get(run[:size], 1.0), 1.0) / total)
+            out += [(weight + rest, (size, *sizes)) for rest, sizes in routes(run[size:], words, total)]
+    return out
+
+
+def test_best_routes_match_brute_force(spark):
+    rng = random.Random(5)
+    runs = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(60)] + ["zz", "a" * 9]
+    rows = [("".join(rng.choice("abc") for _ in range(rng.randint(1, 4))), rng.randint(1, 50)) for _ in range(40)] + [("ab", 7), ("ab", 5)]
+    dictionary = spark.createDataFrame(rows, "word string, n long")
+    known = {}
+    for word, n in rows:
+        known[word] = known.get(word, 0.0) + n
+    total = sum(known.values())
+    got = {r.run: r.words for r in words.run_words(spark.createDataFrame([(r,) for r in [*runs, "", None]], "run string"), dictionary).collect()}
+    assert set(got) == set(runs)
+    for run, cut in got.items():
+        best = max(w for w, _ in routes(run, known, total))
+        mine = sum(math.log(max(known.get(x, 1.0), 1.0) / total) for x in cut)
+        assert "".join(cut) == run and mine == pytest.approx(best)
+        assert all(len(x) == 1 or x in known for x in cut)
+
+
+def test_dictionary_tokens_without_words_and_plan(spark):
+    df = spark.createDataFrame([(1, "abab ccc"), (2, None), (3, "")], "i int, x string")
+    empty = spark.createDataFrame([], "word string, n long")
+    assert words.dictionary_tokens(df, "x", empty, "i", min_len=1).count() == 7
+    made = words.dictionary_tokens(df, "x", spark.createDataFrame([("ab", 3), ("cc", 2)], "word string, n long"), "i")
+    assert sorted((r.i, r.token) for r in made.collect()) == [(1, "ab"), (1, "ab"), (1, "cc")]
