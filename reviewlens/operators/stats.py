@@ -206,7 +206,10 @@ def trend(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 # Running sums of the Poisson(1) probabilities; a uniform number below the k-th bound has weight k.
-POISSON_BOUNDS = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(10)]
+# There are as many as a double can tell from 1.
+POISSON_BOUNDS = [
+    bound for k in range(30) if (bound := math.exp(-1) * math.fsum(1 / math.factorial(j) for j in range(k + 1))) < 1
+]
 
 
 def poisson_weight(uniform: Column) -> Column:
@@ -217,8 +220,8 @@ def poisson_weight(uniform: Column) -> Column:
 
 
 def hash_uniform(text: Column) -> Column:
-    """A number in [0, 1) that depends on ``text`` only: its MD5's first 8 hex digits over 2^32."""
-    return F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("double") / F.lit(float(1 << 32))
+    """A number in [0, 1) that depends on ``text`` only: its MD5's first 13 hex digits over 2^52, all that a double holds."""
+    return F.conv(F.left(F.md5(text), F.lit(13)), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
 def trend_bootstrap(

@@ -95,7 +95,7 @@ def sql_number(x: str) -> str:
 
 
 def sql_uniform(x: str) -> str:
-    return f"(CAST(concat('0x', left(md5({x}), 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+    return f"(CAST(concat('0x', left(md5({x}), 13)) AS BIGINT) / 4503599627370496.0::DOUBLE)"
 
 
 def sql_list(values) -> str:
