@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -291,6 +291,31 @@ def trend_bootstrap(
     )
 
 
+class StageMetrics:
+    """Counts of a run's stages from the pass that makes its result: no stage is scanned for them again.
+
+    ``watch`` marks a stage; the metrics are there once the result was written (``Observation`` waits for that).
+    """
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+        self.columns: dict[str, list[str]] = {}
+
+    def watch(self, df: DataFrame, stage: str, nulls_of: Sequence[str] = ()) -> DataFrame:
+        """``df`` as it is; its rows, and the NULLs of the columns ``nulls_of``, are counted on the way."""
+        self.seen[stage], self.columns[stage] = Observation(), list(nulls_of)
+        nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(nulls_of)]
+        return df.observe(self.seen[stage], F.count(F.lit(1)).alias("n"), *nulls)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """(stage, column_name, n): rows of each stage (column_name '') and NULLs of its columns; a few numbers per stage."""
+        rows = []
+        for stage, seen in self.seen.items():
+            found = seen.get
+            rows += [(stage, "", found["n"]), *((stage, c, found[f"null_{i}"]) for i, c in enumerate(self.columns[stage]))]
+        return spark.createDataFrame(rows, "stage string, column_name string, n long")
+
+
 def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     """(stage, n), one aggregate per named frame."""
     rows = [df.agg(F.lit(name).alias("stage"), row_count()) for name, df in stages.items()]

@@ -281,3 +281,19 @@ def open_header(spark, sf):
     sinks.write_csv(opened, path)
     back = files.read_csv(spark, path, multi_line=False)
     return back.withColumn("event_id", F.col("event_id").cast("long"))
+
+
+@query("SELECT c_custkey, c_name, 'keys, limits, nulls' AS refused FROM customer")
+def load_refused(spark, sf):
+    """A stored table after three loads that were refused for repeated keys, long texts and NULLs: all rows are as before."""
+    path = scratch_dir(spark, "refused")
+    held = table(spark, sf, "customer").select("c_custkey", "c_name")
+    sinks.replace_table(held, path, ["c_custkey"], "20240101_120000", {"c_name": 100}, ["c_custkey"])
+    missing = held.unionByName(held.select(F.lit(None).cast("bigint").alias("c_custkey"), "c_name").limit(1))
+    refused = []
+    for name, load, limits in (("keys", held.unionByName(held), {}), ("limits", held, {"c_name": 5}), ("nulls", missing, {"c_name": 100})):
+        try:
+            sinks.replace_table(load, path, ["c_custkey"], "20240102_120000", limits, ["c_custkey"])
+        except sinks.ConstraintError:
+            refused.append(name)
+    return sinks.read_latest_run(spark, path).select("c_custkey", "c_name", F.lit(", ".join(refused)).alias("refused"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names
+from ..operators import relate
+from ..operators.stats import StageMetrics
 from ..operators.stats import stage_counts as count_stages
 from ..session import scratch_dir
 from ..sources import files, sinks
@@ -59,6 +61,29 @@ def table_counts(spark, sf):
     return files.table_counts(spark, tables)
 
 
+@query(
+    """
+WITH d AS (SELECT d.text, d.lang, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
+t AS (SELECT * FROM d WHERE length(text) > 0)
+SELECT 'read' AS stage, '' AS column_name, count(*) AS n FROM d
+UNION ALL SELECT 'read', 'text', count(*) FILTER (text IS NULL) FROM d
+UNION ALL SELECT 'read', 'quality', count(*) FILTER (quality IS NULL) FROM d
+UNION ALL SELECT 'with_text', '', count(*) FROM t
+UNION ALL SELECT 'with_text', 'lang', count(*) FILTER (lang IS NULL) FROM t
+UNION ALL SELECT 'unique', '', count(DISTINCT text) FROM t
+"""
+)
+def stage_metrics(spark, sf):
+    """Rows and NULLs of the stages of one cleaning run, counted while its result is written."""
+    run = StageMetrics()
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    docs = run.watch(table(spark, sf, "documents").join(labels, "doc_id", "left"), "read", ["text", "quality"])
+    held = run.watch(docs.where(F.length("text") > 0), "with_text", ["lang"])
+    unique = run.watch(relate.keep_first(held, relate.text_key("text"), ["doc_id"]), "unique")
+    unique.write.parquet(scratch_dir(spark, "metrics"))
+    return run.report(spark)
+
+
 @query(
     """
 SELECT 'read' AS stage, count(*) AS n FROM documents
