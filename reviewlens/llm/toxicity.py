@@ -1,13 +1,17 @@
 """Toxicity by class-conditional Kneser-Ney models of characters.
 
 Two models of the same order, one learned from toxic and one from ordinary texts, tell how likely each
-character of a word is after those before it (a word is a run of letters and digits, lower-cased, and ends in a blank). The top
-order has counts of its own in each class, discounted absolutely; all mass that a class frees goes to one backoff
-distribution that both share: Kneser-Ney continuation counts (in how many contexts an n-gram was met)
-over both classes together, order by order down to the single character. So a rare expression says nothing for either class
-beyond what its frequent parts say. A text's raw score is the difference of its two log-likelihoods, divided by its words.
+character of a word is after those before it (a word is a run of letters and digits, lower-cased, and ends in a blank). Each
+class has counts of its own at the top order, from which ``CLASS_DISCOUNT`` is taken off: counts up to it vanish. All
+mass that this frees goes to one backoff distribution that both classes share: a Kneser-Ney model of the counts of both together, with continuation
+counts (in how many contexts an n-gram was met) from the order below down to the single character. So a rare expression
+says nothing for either class; only what is frequent in one class and not in the other does.
 
-Counts are made of all learned rows, aggregated in each slice of text before the shuffle; everything up to the table
+A word's log-likelihood ratio is the sum over its characters. The classes' shares of languages and topics, and the sparser counts of the
+smaller class, move the ratios of all words a little, so only what exceeds ``MARGIN`` counts. A text's raw score is the sum of
+these excesses divided by its words. A threshold fitted on labelled rows that the counts have not seen turns it into a score.
+
+Counts are made of all learned rows, aggregated in each piece of text before the shuffle; everything up to the table
 of log-ratios is SQL over distinct n-grams. The table is then folded to a fixed number of slots by
 hash, which is what the tasks get: ``SLOTS`` and ``CONTEXTS`` floats, whatever the corpus holds. n-grams of one slot share their mean.
 """
@@ -27,14 +31,16 @@ from .registry import QUERIES
 
 ship(__name__)
 
-ORDER = 4
+ORDER = 5
 DISCOUNT = 0.75
-SLOTS = 1 << 21
-CONTEXTS = 1 << 19
+CLASS_DISCOUNT = 4
+MARGIN = 2.0
+SLOTS = 1 << 22
+CONTEXTS = 1 << 20
 SLICE = 1 << 19
 PIECE = 1 << 18  # characters worked on at once
-BINS = 4096  # of the raw scores that set the threshold, BIN_WIDTH wide, the outer ones open
-BIN_WIDTH = 1 / 256
+BINS = 4096  # of the raw scores that set the threshold, BIN_WIDTH wide from 0 on, the last one open
+BIN_WIDTH = 1 / 1024
 
 
 def word_characters() -> np.ndarray:
@@ -73,6 +79,22 @@ def grams(points: np.ndarray, order: int) -> tuple[list[np.ndarray], np.ndarray]
     return [c[at] for c in columns], at
 
 
+def pieces(points: np.ndarray) -> Iterator[np.ndarray]:
+    """(start, characters) of pieces of whole words, about ``PIECE`` characters each, so that a very long text takes no more memory than others."""
+    low = 0
+    while low < len(points):
+        high = min(low + PIECE, len(points))
+        if high < len(points):
+            ends = np.flatnonzero(points[low:high] == 0)
+            if len(ends):
+                high = low + int(ends[-1]) + 1
+            else:  # a word longer than a piece
+                further = np.flatnonzero(points[high:] == 0)
+                high += int(further[0]) + 1 if len(further) else len(points) - high
+        yield low, points[low:high]
+        low = high
+
+
 def hashes(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each n-gram and of its context."""
     context = np.zeros(len(columns[0]), np.uint64)
@@ -89,15 +111,12 @@ def count_grams(rows: DataFrame, order: int) -> DataFrame:
             for part in slices(batch, "text", SLICE):
                 points, borders = characters(part.column("text"))
                 labels = part.column("toxic").to_numpy()
-                for low in range(0, len(points), PIECE):
-                    begin = max(0, low - order + 1)
-                    columns, at = grams(points[begin : low + PIECE], order)
-                    own = at >= low - begin
-                    if not own.any():
+                for low, piece in pieces(points):
+                    columns, at = grams(piece, order)
+                    if not len(at):
                         continue
-                    columns = [c[own] for c in columns]
                     whole, context = hashes(columns)
-                    toxic = labels[np.searchsorted(borders, at[own] + begin, side="right") - 1]
+                    toxic = labels[np.searchsorted(borders, at + low, side="right") - 1]
                     key, first, which = np.unique(whole, return_index=True, return_inverse=True)
                     found = [np.bincount(which[toxic == c], minlength=len(key)) for c in (0, 1)]
                     spelt = np.stack([c[first] for c in columns[::-1]], axis=1)
@@ -138,23 +157,27 @@ def shared_backoff(counted: DataFrame, order: int, discount: float) -> DataFrame
     return lower.withColumnRenamed("gram", "suffix")
 
 
-def log_ratios(counted: DataFrame, order: int, discount: float) -> tuple[DataFrame, DataFrame]:
+def log_ratios(counted: DataFrame, order: int, discount: float, class_discount: float) -> tuple[DataFrame, DataFrame]:
     """(gram, slot, weight, ratio) of the n-grams met and (context, slot, weight, ratio) of contexts, for n-grams not met."""
     named = counted.withColumn("context", F.substring("gram", 1, order - 1)).withColumn("suffix", F.substring("gram", 2, order - 1))
+    both = F.col("c0") + F.col("c1")
     contexts = named.groupBy("context", "context_slot").agg(
-        *(F.sum(f"c{c}").alias(f"all{c}") for c in (0, 1)), *(F.sum(F.when(F.col(f"c{c}") > 0, 1).otherwise(0)).alias(f"kinds{c}") for c in (0, 1))
-    )
+        *(F.sum(f"c{c}").alias(f"all{c}") for c in (0, 1)),
+        *(F.sum(F.least(F.col(f"c{c}"), F.lit(class_discount))).alias(f"freed{c}") for c in (0, 1)), F.count(F.lit(1)).alias("kinds"),
+    )
     contexts = stored(contexts, "contexts")
     # what a class hands to the shared distribution; all of it where the class has not met the context
-    freed = {c: F.when(F.col(f"all{c}") > 0, discount * F.col(f"kinds{c}") / F.col(f"all{c}")).otherwise(1.0) for c in (0, 1)}
+    freed = {c: F.when(F.col(f"all{c}") > 0, F.col(f"freed{c}") / F.col(f"all{c}")).otherwise(1.0) for c in (0, 1)}
+    every = F.col("all0") + F.col("all1")
+    shared = (F.greatest(both - discount, F.lit(0.0)) + discount * F.col("kinds") * F.col("shared")) / every
 
     def chance(c: int) -> Column:
-        own = F.when(F.col(f"all{c}") > 0, F.greatest(F.col(f"c{c}") - discount, F.lit(0.0)) / F.col(f"all{c}")).otherwise(0.0)
-        return own + freed[c] * F.col("shared")
+        own = F.when(F.col(f"all{c}") > 0, F.greatest(F.col(f"c{c}") - class_discount, F.lit(0.0)) / F.col(f"all{c}")).otherwise(0.0)
+        return own + freed[c] * shared
 
-    shared = shared_backoff(counted, order, discount)
-    met = named.join(contexts.drop("context_slot"), "context").join(shared, "suffix")
-    met = met.select("gram", "slot", (F.col("c0") + F.col("c1")).alias("weight"), F.log(chance(1) / chance(0)).alias("ratio"))
+    backoff = shared_backoff(counted, order, discount)
+    met = named.join(contexts.drop("context_slot"), "context").join(backoff, "suffix")
+    met = met.select("gram", "slot", both.alias("weight"), F.log(chance(1) / chance(0)).alias("ratio"))
     unmet = contexts.select(
         "context", F.col("context_slot").alias("slot"), (F.col("all0") + F.col("all1")).alias("weight"), F.log(freed[1] / freed[0]).alias("ratio")
     )
@@ -170,9 +193,9 @@ def _folded(ratios: DataFrame, size: int) -> np.ndarray:
 
 
 def raw_scores(docs: DataFrame, model: dict, text: str, kept: list[str], out: str) -> DataFrame:
-    """The columns ``kept`` and ``out``, a text's log-likelihood ratio per word; 0 for texts without words."""
+    """The columns ``kept`` and ``out``, the excess of a text's log-likelihood ratios per word; 0 for texts without words."""
     shared = docs.sparkSession.sparkContext.broadcast((model["met"], model["unmet"]))
-    order = model["order"]
+    order, margin = model["order"], model["margin"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met, unmet = shared.value
@@ -180,20 +203,21 @@ def raw_scores(docs: DataFrame, model: dict, text: str, kept: list[str], out: st
             for part in slices(batch, text, SLICE):
                 points, borders = characters(part.column(text))
                 total, words = np.zeros(part.num_rows), np.zeros(part.num_rows)
-                # in pieces, with the characters before them, so that a very long text takes no more memory than others
-                for low in range(0, len(points), PIECE):
-                    begin = max(0, low - order + 1)
-                    columns, at = grams(points[begin : low + PIECE], order)
-                    own = at >= low - begin
-                    columns, at = [c[own] for c in columns], at[own]
+                for low, piece in pieces(points):
+                    columns, at = grams(piece, order)
+                    ends = np.flatnonzero(columns[0] == 0)
+                    if not len(ends):
+                        continue
                     whole, context = hashes(columns)
                     ratio = met[(whole % np.uint64(len(met))).astype(np.int64)]
                     new = np.flatnonzero(np.isnan(ratio))
                     ratio[new] = unmet[(context[new] % np.uint64(len(unmet))).astype(np.int64)]
-                    row = np.searchsorted(borders, at + begin, side="right") - 1
-                    total += np.bincount(row, np.nan_to_num(ratio, nan=0.0), part.num_rows)
-                    words += np.bincount(row, columns[0] == 0, part.num_rows)
-                    del columns, whole, context, ratio, row
+                    ratio = np.nan_to_num(ratio, nan=0.0).astype(float)
+                    word = np.add.reduceat(ratio, np.concatenate(([0], ends[:-1] + 1)))
+                    row = np.searchsorted(borders, at[ends] + low, side="right") - 1
+                    total += np.bincount(row, np.maximum(word - margin, 0), part.num_rows)
+                    words += np.bincount(row, minlength=part.num_rows)
+                    del columns, whole, context, ratio, word, row
                 del points
                 score = total / np.maximum(words, 1)
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + [pa.array(score)], names=[*kept, out])
@@ -208,24 +232,27 @@ def threshold(bins: list[tuple[int, int, int]]) -> tuple[float, float]:
     for number, toxic, rows in bins:
         counts[toxic][number] += rows
     if not counts[0].any() or not counts[1].any():
-        return 0.0, 1.0
+        return BINS * BIN_WIDTH, 1.0
     above = {c: np.concatenate((np.cumsum(n[::-1])[::-1], [0])) for c, n in counts.items()}
     f1 = 2 * above[1] / (above[0] + above[1] + counts[1].sum())
     best = np.flatnonzero(f1 == f1.max())
     run = best[: int(np.argmax(np.append(np.diff(best) > 1, True))) + 1]
-    middle = (np.arange(BINS) + 0.5 - BINS // 2) * BIN_WIDTH
+    middle = (np.arange(BINS) + 0.5) * BIN_WIDTH
     spread = 0.0
     for n in counts.values():
         mean = (n * middle).sum() / n.sum()
         spread += (n * (middle - mean) ** 2).sum()
     width = math.sqrt(spread / (counts[0].sum() + counts[1].sum()))
-    return (float(run[0] + run[-1]) / 2 - BINS // 2) * BIN_WIDTH, max(width, BIN_WIDTH)
+    # a bin's rows lie above its lower end; the classes part between the last bin below and the first one above
+    return float(run[0] + run[-1]) / 2 * BIN_WIDTH, max(width, BIN_WIDTH)
 
 
-def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", held: str = "held", order: int = ORDER, discount: float = DISCOUNT) -> dict | None:
+def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", held: str = "held", order: int = ORDER, discount: float = DISCOUNT,
+        class_discount: float = CLASS_DISCOUNT, margin: float = MARGIN) -> dict | None:
     """The model of ``labelled``: counts of the rows where ``held`` is false, threshold by those where it is true.
 
-    Rows with NULL text or with another label than 0 and 1 teach nothing. None if either class has no n-gram.
+    Rows with NULL text or with another label than 0 and 1 teach nothing. None if either class has no n-gram. Where the held rows
+    lack a class, no text is predicted toxic.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(toxic).isin(0, 1)).select(
         F.col(text).alias("text"), F.col(toxic).cast("int").alias("toxic"), F.coalesce(F.col(held), F.lit(False)).alias("held")
@@ -235,10 +262,10 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", held: str
     seen = counted.agg(F.sum("c0"), F.sum("c1")).first()
     if not seen[0] or not seen[1]:
         return None
-    met, unmet = log_ratios(counted, order, discount)
-    model = {"order": order, "met": _folded(met, SLOTS), "unmet": _folded(unmet, CONTEXTS)}
+    met, unmet = log_ratios(counted, order, discount, class_discount)
+    model = {"order": order, "margin": margin, "met": _folded(met, SLOTS), "unmet": _folded(unmet, CONTEXTS)}
     raw = raw_scores(rows.where("held"), model, "text", ["toxic"], "raw")
-    number = F.greatest(F.least(F.floor(F.col("raw") / BIN_WIDTH) + BINS // 2, F.lit(BINS - 1)), F.lit(0)).cast("int")
+    number = F.least(F.floor(F.col("raw") / BIN_WIDTH), F.lit(BINS - 1)).cast("int")
     bins = raw.groupBy(number.alias("bin"), "toxic").agg(F.count(F.lit(1)).alias("rows")).collect()  # 2 BINS rows at most
     model["threshold"], model["width"] = threshold([(r["bin"], r["toxic"], r["rows"]) for r in bins])
     return model
@@ -264,7 +291,8 @@ def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string")) % 5
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where((part != 0) & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-    model = fit(docs.join(labels, "doc_id").withColumn("held", part == 4))
+    model = fit(docs.join(labels.hint("shuffle_hash"), "doc_id").withColumn("held", part == 4))
+    # the texts that have labels are shuffled to them; the plan is the same whatever the size of either
     judged = score(docs.withColumn("held_out", F.coalesce(part == 0, F.lit(False))), model)
     return judged.select("doc_id", "held_out", "score", "predicted")
 

@@ -27,42 +27,44 @@ def pieces(word, order):
 class Brute:
     """The same models over dictionaries."""
 
-    def __init__(self, rows, order, d=0.75):
-        self.order, self.d = order, d
+    def __init__(self, rows, order, d=0.75, big=toxicity.CLASS_DISCOUNT):
+        self.order, self.d, self.big = order, d, big
         self.c = [Counter(), Counter()]
         for text, toxic in rows:
             for w in words_of(text):
                 self.c[toxic].update(pieces(w, order))
-        self.all, self.kinds = [Counter(), Counter()], [Counter(), Counter()]
+        self.all, self.freed = [Counter(), Counter()], [Counter(), Counter()]
         for y in (0, 1):
             for g, n in self.c[y].items():
                 self.all[y][g[:-1]] += n
-                self.kinds[y][g[:-1]] += 1
+                self.freed[y][g[:-1]] += min(n, big)
+        self.both = self.c[0] + self.c[1]
         self.met = {}
-        lower = set(self.c[0]) | set(self.c[1])
-        self.seen = lower
+        lower = set(self.both)
         for size in range(order - 1, 0, -1):
             self.met[size] = Counter(g[1:] for g in lower)
             lower = set(self.met[size])
 
-    def shared(self, g):
+    def below(self, g):
         table = self.met[len(g)]
         same = [k for k in table if k[:-1] == g[:-1]]
-        below = self.shared(g[1:]) if len(g) > 1 else 1 / (len(same) + 1)
-        return (max(table[g] - self.d, 0) + self.d * len(same) * below) / sum(table[k] for k in same)
+        lower = self.below(g[1:]) if len(g) > 1 else 1 / (len(same) + 1)
+        return (max(table[g] - self.d, 0) + self.d * len(same) * lower) / sum(table[k] for k in same)
 
     def ratio(self, g):
-        p = []
-        shared = self.shared(g[1:]) if g in self.seen else 1.0
+        h, p, shared = g[:-1], [], 1.0
+        if g in self.both:
+            kinds = sum(k[:-1] == h for k in self.both)
+            shared = (max(self.both[g] - self.d, 0) + self.d * kinds * self.below(g[1:])) / (self.all[0][h] + self.all[1][h])
         for y in (0, 1):
-            total = self.all[y][g[:-1]]
-            own = max(self.c[y][g] - self.d, 0) / total if total else 0.0
-            p.append(own + (self.d * self.kinds[y][g[:-1]] / total if total else 1.0) * shared)
+            total = self.all[y][h]
+            own = max(self.c[y][g] - self.big, 0) / total if total else 0.0
+            p.append(own + (self.freed[y][h] / total if total else 1.0) * shared)
         return math.log(p[1] / p[0])
 
     def raw(self, text):
         words = words_of(text)
-        return sum(self.ratio(g) for w in words for g in pieces(w, self.order)) / max(1, len(words))
+        return sum(max(sum(self.ratio(g) for g in pieces(w, self.order)) - toxicity.MARGIN, 0) for w in words) / max(1, len(words))
 
 
 def corpus(seed, n, share=0.3):
@@ -88,6 +90,17 @@ def test_matches_brute_force(spark):
         assert got[i] == pytest.approx(brute.raw(text), abs=1e-4), text
 
 
+def test_small_pieces_change_nothing(spark, monkeypatch):
+    rows = frame(spark, corpus(5, 60), SCHEMA)
+    texts = frame(spark, [(1, "zorgle " * 40 + "a" * 70 + " blastik"), (2, "b" * 200)])
+    scores = lambda model: [r.raw for r in toxicity.raw_scores(texts, model, "text", ["doc_id"], "raw").collect()]
+    model = fit(rows)
+    whole = scores(model)
+    monkeypatch.setattr(toxicity, "PIECE", 32)
+    again = fit(rows)
+    assert (model["met"] == again["met"]).sum() == (again["met"] == again["met"]).sum() and scores(model) == pytest.approx(whole)
+
+
 def test_held_out_accuracy(spark):
     model = fit(frame(spark, corpus(2, 400), SCHEMA))
     fresh = corpus(2, 900)[400:]
@@ -120,5 +133,5 @@ def test_without_labels(spark):
 def test_threshold_takes_the_middle():
     bins = [(2000, 0, 50), (2010, 0, 10), (2100, 1, 5), (2150, 1, 3)]
     at, width = threshold(bins)
-    assert 2010 < at / toxicity.BIN_WIDTH + toxicity.BINS // 2 <= 2100 and width > 0
-    assert threshold([(5, 0, 3)]) == (0.0, 1.0)
+    assert 2010 < at / toxicity.BIN_WIDTH <= 2100 and width > 0
+    assert threshold([(5, 0, 3)]) == (toxicity.BINS * toxicity.BIN_WIDTH, 1.0)
