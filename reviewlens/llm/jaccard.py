@@ -275,13 +275,18 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     reachable = F.least("rest", "rest_b") >= _needed(F.col("n"), F.col("m_b"), percent)
     once = (F.col("block_b") > F.col("block")) | (F.col("pivot") > F.col("pivot_b"))
     meet = sides.join(other, ["gram", "block"]).where((F.col("pivot") != F.col("pivot_b")) & once & several & reachable)
-    meet = meet.select("gram", "pivot", "block", "pivot_b", "block_b")
+    best = ["rest_b", "m_b", "l1_b", "l2_b"]
+    meet = meet.select("gram", "pivot", "block", "pivot_b", "block_b", *best)
     left = named.select("gram", "pivot", "block", F.col("d1").alias("a"), F.col("n").alias("n_a"), F.col("p").alias("p_a"), F.col("label").alias("label_a"))
     right = named.select(
         "gram", F.col("pivot").alias("pivot_b"), F.col("block").alias("block_b"), F.col("d1").alias("b"), F.col("n").alias("n_b"),
         F.col("p").alias("p_b"), F.col("label").alias("label_b"),
     )
-    open_ = meet.join(left, ["gram", "pivot", "block"]).join(right, ["gram", "pivot_b", "block_b"])
+    # a set joins in only if it could link with the best of the other side and is not of one component with all of it
+    could = F.least(F.col("n_a") - F.col("p_a"), F.col("rest_b")) >= _needed(F.col("n_a"), F.col("m_b"), percent)
+    differs = (F.col("label_a") != F.col("l1_b")) | (F.col("label_a") != F.col("l2_b"))
+    asking = meet.join(left, ["gram", "pivot", "block"]).where(could & differs).drop(*best)
+    open_ = asking.join(right, ["gram", "pivot_b", "block_b"])
     open_ = open_.where((F.col("label_a") != F.col("label_b")) & _can_link(percent)).select("a", "b").distinct()
     last = _verified(_untested(open_, checked), whole, percent).where("linked").select("a", "b")
     return components(links.unionByName(last))
