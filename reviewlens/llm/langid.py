@@ -266,7 +266,7 @@ def identify(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = {**shared.value, "walks": [Walk.of(w) for w in shared.value["walks"]]}
         for batch in batches:
-            for part in slices(batch, text, 1 << 20):
+            for part in slices(batch, text, 2 << 20):
                 texts = [t or "" for t in part.column(text).to_pylist()]
                 names, scores = judge(texts, held)
                 columns = [part.column(c) for c in kept] + [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
