@@ -31,11 +31,9 @@ def line_key(line: Column) -> Column:
 def _keyed(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> DataFrame:
     """One row per line with a key of at least ``min_chars`` code points: document, digest of the text, place, key."""
     return (
-        docs.select(
-            F.col(doc_id).alias("id"),
-            F.xxhash64(text).alias("digest"),
-            F.posexplode(text_lines(F.col(text))).alias("place", "line"),
-        )
+        # the digest is made once a text, before its lines come apart
+        docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("digest"), text_lines(F.col(text)).alias("lines"))
+        .select("id", "digest", F.posexplode("lines").alias("place", "line"))
         .select("id", "digest", "place", line_key(F.col("line")).alias("key"))
         .where(F.length("key") >= min_chars)
         .select("id", "digest", "place", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(2), "key").alias("h2"))

@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 from reviewlens.llm.lines import dedup_lines
 
@@ -62,3 +63,13 @@ def test_query_digests(spark):
     want = {(i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, t, n, d in brute([(r.doc_id, r.text) for r in docs])}
     got = {(r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in op4_line_dedup(spark, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_a_document_of_very_many_lines(spark):
+    """The text is split once and not once per line: 100,000 lines take seconds."""
+    shared = "a line that both documents hold"
+    own = [f"own line {i} of the long one" if i % 1000 else shared for i in range(100_000)]
+    began = time.perf_counter()
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in dedup_lines(frame(spark, [(1, shared), (2, "\n".join(own))])).collect()}
+    assert time.perf_counter() - began < 60
+    assert got[2] == ("\n".join(x for x in own if x != shared), 100_000, 100) and got[1] == (shared, 1, 0)
