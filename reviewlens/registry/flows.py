@@ -191,7 +191,7 @@ def stream_gather(spark, sf):
 
     def run(stream):
         gathered = state.gather_pages(stream, ["l_suppkey"], "l_linenumber", order, "read_at", idle_hours=36, cap=GATHER_CAP)
-        flows.to_files(gathered, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        flows.to_files(gathered, f"{root}/out", f"{root}/checkpoint", state.GATHER_SETTINGS).awaitTermination()
 
     # later pages only tell how far the reading is; a first run ends within the pages, a second one goes on from its state
     run(_in_batches(lines.where("l_linenumber <= 2"), f"{root}/in", F.col("l_linenumber") - 1, 2, order))

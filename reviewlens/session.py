@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +37,22 @@ def build_session(app: str = "reviewlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings_of(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """``settings`` of the session for as long as the block runs."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def _shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode only."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -10,7 +10,8 @@ as in batch. ``compact`` folds the folders into one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.relate import accumulate_pages, keep_first, keep_last_named, with_row_id
 from ..operators.validate import validate
+from ..session import settings_of
 from ..sources.files import open_parquet
 from ..sources.sinks import Writer, fan_out
 
 BATCH = "batch_id"
 MAX_FILES = 256  # new files a micro-batch takes, so that a backlog is worked off in bounded batches
+ALL_FILES = (1 << 31) - 1  # a micro-batch of all new files
 
 
 def file_stream(
@@ -231,13 +234,15 @@ def validate_stream(stream: DataFrame, required: Sequence[str], number: str, low
     return validate(stream, required, number, low, high)
 
 
-def to_files(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Append a stream to Parquet files, each row once."""
-    return (
+def to_files(stream: DataFrame, target: str, checkpoint: str, settings: Mapping[str, str] = MappingProxyType({})) -> StreamingQuery:
+    """Append a stream to Parquet files, each row once; ``settings`` hold for this stream, whatever the session has."""
+    writer = (
         stream.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    # a stream takes a copy of the session's settings when it is started
+    with settings_of(stream.sparkSession, settings):
+        return writer.start()

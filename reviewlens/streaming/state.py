@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..session import send_by_value
+from ..session import DEFAULTS, send_by_value
 
 send_by_value(__name__)
 
+# Lists and timers of a key are column families, which of Spark's state stores RocksDB alone has.
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+GATHER_SETTINGS = {_PROVIDER: DEFAULTS[_PROVIDER]}
+
 
 def dedup_bounded(stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str) -> DataFrame:
     """The first row per key; a key is forgotten once the watermark is ``horizon`` past its row, and may then return.
@@ -88,7 +92,7 @@ def gather_pages(
 
     A key's rows are held until it is complete and then handed out together: at ``cap`` rows, after page ``max_pages``, or
     once the watermark is ``idle_hours`` past its last row. What comes for a complete key is left out until it is
-    forgotten, at that same time. Rows of one page come in one batch.
+    forgotten, at that same time. Rows of one page come in one batch. Start it with ``GATHER_SETTINGS``.
     """
     # rows of later pages keep the watermark going and nothing else: the condition names the event time, so that it is
     # applied above the watermark, and they never reach the state

@@ -147,3 +147,20 @@ def test_upsert_replaces_only_the_parts_it_touches(spark, tmp_path):
     sinks.upsert_table(spark.createDataFrame([], schema), str(path), ["key"], ["o"], parts=16)
     sinks.upsert_table(spark.createDataFrame([(None, "n", 1)], schema), str(path), ["key"], ["o"], parts=16)
     assert sinks.read_upserted_table(spark, str(path)).where(F.col("key").isNull()).count() == 3
+
+
+def test_pages_are_gathered_in_a_session_with_another_state_store(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(provider)
+    for n in range(2):
+        put(spark, tmp_path / "in", n, [("a", n + 1, i, day(n + 1)) for i in range(10)])
+    try:
+        spark.conf.set(provider, other)
+        gathered = state.gather_pages(opened(spark, tmp_path / "in"), ["key"], "page", ["place"], "at", idle_hours=36)
+        flows.to_files(gathered, str(tmp_path / "out"), str(tmp_path / "c"), state.GATHER_SETTINGS).awaitTermination()
+        assert spark.conf.get(provider) == other
+    finally:
+        spark.conf.set(provider, before)
+    got = sorted((r.page, r.place) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(1, i) for i in range(10)] + [(2, i) for i in range(5)]
