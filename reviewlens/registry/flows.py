@@ -17,11 +17,17 @@ def _stream(spark, sf, name):
     return flows.file_stream(spark, f"{sf}/{name}.parquet", table(spark, sf, name).schema)
 
 
-def _in_batches(df, folder, part, parts, order):
-    """``df`` as a stream of ``parts`` micro-batches, the rows with ``part`` = 0, 1, ...; the files are written one after the other."""
-    for number in range(parts):
-        df.where(part == number).sort(*order).coalesce(1).write.parquet(f"{folder}/{number:03d}")
-    return flows.file_stream(df.sparkSession, f"{folder}/*", df.schema, max_files=1)
+def _deliver(df, folder, part, numbers, run, write=None):
+    """The rows with ``part`` = each of ``numbers`` arrive one after the other, in as many files as there are tasks, and ``run`` takes each as one micro-batch."""
+    for number in numbers:
+        rows = df.where(part == number)
+        write(rows, f"{folder}/{number:03d}") if write else rows.write.parquet(f"{folder}/{number:03d}")
+        run()
+
+
+def _arrived(df, folder):
+    """All that has arrived in ``folder`` as a stream that takes it at once."""
+    return flows.file_stream(df.sparkSession, f"{folder}/*", df.schema, max_files=flows.ALL_FILES)
 
 
 def _days(events, days):
@@ -41,7 +47,6 @@ def stream_upsert(spark, sf):
     root = scratch_dir(spark, "upsert")
     user = F.when(F.col("event_id") % 11 != 0, F.col("user_id").cast("string")).alias("user_id")
     rows = table(spark, sf, "events").select(user, "event_id", "event_type", "value", "ts")
-    events = _in_batches(rows, f"{root}/in", _days(rows, 6), 5, ["ts"])
 
     def to_json(batch_id):
         return lambda df: sinks.write_json(df, f"{root}/json/batch_id={batch_id}")
@@ -50,9 +55,12 @@ def stream_upsert(spark, sf):
         return lambda df: sinks.write_csv(df, f"{root}/csv/batch_id={batch_id}")
 
     keys, order = ["user_id"], ["ts", "event_id"]
-    flows.upsert_stream(
-        events, f"{root}/table", keys, order, f"{root}/checkpoint", [to_json, to_csv]
-    ).awaitTermination()
+
+    def run():
+        events = _arrived(rows, f"{root}/in")
+        flows.upsert_stream(events, f"{root}/table", keys, order, f"{root}/checkpoint", [to_json, to_csv]).awaitTermination()
+
+    _deliver(rows, f"{root}/in", _days(rows, 6), range(5), run)
     held = flows.read_upserted(spark, f"{root}/table", keys, order).drop("ts")
     for name, options in (("json", {}), ("csv", {"header": True})):
         export = flows.read_committed(spark, f"{root}/table", f"{root}/{name}", name, **options)
@@ -138,9 +146,11 @@ def item_flow(spark, sf):
         F.lpad(F.col("page_id").cast("string"), 20, "0").alias("crawled_at"),
         links.alias("hot_comments"),
     )
-    for number in range(4):
-        sinks.write_json(page.where(F.col("rank").cast("long") % 4 == number).coalesce(1), f"{root}/in/{number}")
-    items.store_items(items.item_stream(spark, f"{root}/in/*", 1), f"{root}/out").awaitTermination()
+
+    def run():
+        items.store_items(items.item_stream(spark, f"{root}/in/*", flows.ALL_FILES), f"{root}/out").awaitTermination()
+
+    _deliver(page, f"{root}/in", F.col("rank").cast("long") % 4, range(4), run, sinks.write_json)
     movies, comments = items.read_items(spark, f"{root}/out")
     counts = comments.groupBy(F.col("movie_id").alias("id")).agg(F.count(F.lit(1)).alias("comments"))
     exported, written = items.read_exports(spark, f"{root}/out")
@@ -183,21 +193,20 @@ SELECT l_suppkey, l_linenumber, l_orderkey, l_partkey, l_extendedprice FROM (
 """
 )
 def stream_gather(spark, sf):
-    """Pages of each supplier's lines, one batch a page number, held in state until a supplier is complete; stopped and started again."""
+    """Pages of each supplier's lines, one batch a page number, held in state until a supplier is complete; stopped and started again for each."""
     root = scratch_dir(spark, "gather")
     order = ["l_orderkey", "l_partkey", "l_shipdate", "l_extendedprice"]
     lines = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", *order)
     lines = lines.withColumn("read_at", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("l_linenumber") * 86_400))
 
-    def run(stream):
-        gathered = state.gather_pages(stream, ["l_suppkey"], "l_linenumber", order, "read_at", idle_hours=36, cap=GATHER_CAP)
+    def run():
+        gathered = state.gather_pages(
+            _arrived(lines, f"{root}/in"), ["l_suppkey"], "l_linenumber", order, "read_at", idle_hours=36, cap=GATHER_CAP
+        )
         flows.to_files(gathered, f"{root}/out", f"{root}/checkpoint", state.GATHER_SETTINGS).awaitTermination()
 
-    # later pages only tell how far the reading is; a first run ends within the pages, a second one goes on from its state
-    run(_in_batches(lines.where("l_linenumber <= 2"), f"{root}/in", F.col("l_linenumber") - 1, 2, order))
-    for number in (3, 4, 5, 6, 7):
-        lines.where(F.col("l_linenumber") == number).coalesce(1).write.parquet(f"{root}/in/{number:03d}")
-    run(flows.file_stream(spark, f"{root}/in/*", lines.schema, max_files=1))
+    # later pages only tell how far the reading is; every run goes on from the state of the one before
+    _deliver(lines, f"{root}/in", F.col("l_linenumber"), range(1, 8), run)
     return spark.read.parquet(f"{root}/out").drop("l_shipdate", "read_at")
 
 
@@ -225,7 +234,15 @@ def stream_dedup_bounded(spark, sf):
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     late = events.where(_days(events, 3) == 0).withColumn("event_id", -1 - F.col("event_id"))
     rows = events.withColumn("batch", _days(events, 3)).unionByName(late.withColumn("batch", F.lit(10).cast("long")))
-    stream = _in_batches(rows, f"{root}/in", F.col("batch"), 11, ["ts", "event_id"])
-    unique = state.dedup_bounded(stream, ["user_id", "event_type"], "ts", "2 days")
-    flows.to_files(unique, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    keys = ["user_id", "event_type"]
+
+    def write(batch, path):
+        # a key's rows stand together in one file, its first one first
+        batch.repartition(*keys).sortWithinPartitions(*keys, "ts", "event_id").write.parquet(path)
+
+    def run():
+        unique = state.dedup_bounded(_arrived(rows, f"{root}/in"), keys, "ts", "2 days")
+        flows.to_files(unique, f"{root}/out", f"{root}/checkpoint", state.ROWS_ONLY).awaitTermination()
+
+    _deliver(rows, f"{root}/in", F.col("batch"), range(11), run, write)
     return spark.read.parquet(f"{root}/out").select("user_id", "event_type", "event_id")

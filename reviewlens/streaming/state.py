@@ -17,6 +17,8 @@ send_by_value(__name__)
 # Lists and timers of a key are column families, which of Spark's state stores RocksDB alone has.
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 GATHER_SETTINGS = {_PROVIDER: DEFAULTS[_PROVIDER]}
+# No batch without rows after the last one, so that a stream started again for every batch keeps and forgets what one run would.
+ROWS_ONLY = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
 
 
 def dedup_bounded(stream: DataFrame, keys: Sequence[str], event_time: str, horizon: str) -> DataFrame:

@@ -164,3 +164,21 @@ def test_pages_are_gathered_in_a_session_with_another_state_store(spark, tmp_pat
         spark.conf.set(provider, before)
     got = sorted((r.page, r.place) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(1, i) for i in range(10)] + [(2, i) for i in range(5)]
+
+
+def test_a_delivery_is_written_by_all_tasks_and_taken_as_one_batch(spark, tmp_path):
+    from reviewlens.registry.flows import _arrived, _deliver
+
+    rows = spark.range(400, numPartitions=4).withColumn("part", F.col("id") % 3)
+    folder, batches = str(tmp_path / "in"), []
+
+    def run():
+        def step(batch, number):
+            files = batch.select(F.input_file_name()).distinct().count()
+            batches.append((number, files, sorted(r.part for r in batch.select("part").distinct().collect()), batch.count()))
+
+        query = _arrived(rows, folder).writeStream.foreachBatch(step).option("checkpointLocation", str(tmp_path / "c"))
+        query.trigger(availableNow=True).start().awaitTermination()
+
+    _deliver(rows, folder, F.col("part"), range(3), run)
+    assert batches == [(0, 4, [0], 134), (1, 4, [1], 133), (2, 4, [2], 133)]
