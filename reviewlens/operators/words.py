@@ -6,8 +6,9 @@ import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +22,10 @@ send_by_value(__name__)
 
 # A dictionary is a word list of its own, not a table that grows with the texts.
 MAX_DICTIONARY_BYTES = 64 * 1024 * 1024
+# What a task cuts at a time and the runs it remembers, see ``dictionary_splitter``.
+SLICE_BYTES = 1 << 20
+REMEMBERED = 50_000
+REMEMBERED_LENGTH = 64
 SALTS = 16
 # A word with more than one in HOT_PART of all occurrences is dealt out; there are at most HOT_PART such words.
 HOT_PART = 4096
@@ -55,22 +60,45 @@ def longest_matches(run: str, words: frozenset[str], longest: int) -> list[str]:
     return out
 
 
+def text_slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """``texts`` in slices of about ``most`` bytes; a longer text is a slice of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(int(np.searchsorted(ends, before + most, side="right")), at + 1)
+        yield texts.slice(at, stop - at)
+        at = stop
+
+
 def dictionary_splitter(df: DataFrame, dictionary: Iterable[str]) -> Splitter:
     """Splitter by forward longest match; the words are sent to each executor once.
 
     A text goes to Python and back as one string with a space between tokens, which costs Arrow far
-    less than arrays do.
+    less than arrays do. Texts are Python objects a slice at a time, and only short runs are remembered, so a task's
+    memory follows its Arrow batch and the longest text.
     """
     words = frozenset(w for w in dictionary if w)
     if sum(len(w.encode()) for w in words) > MAX_DICTIONARY_BYTES:
         raise ValueError(f"dictionary is over {MAX_DICTIONARY_BYTES} bytes")
     shared = df.sparkSession.sparkContext.broadcast((words, max(map(len, words), default=1)))
 
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array) -> pa.Array:
         known, longest = shared.value
-        split = lru_cache(maxsize=100_000)(lambda run: " ".join(longest_matches(run, known, longest)))
-        return texts.map(lambda text: " ".join(map(split, text.split(" "))), na_action="ignore")
+
+        def split(run: str) -> str:
+            return " ".join(longest_matches(run, known, longest))
+
+        remembered = lru_cache(maxsize=REMEMBERED)(split)
+
+        def tokens_of(text: str) -> str:
+            return " ".join(remembered(run) if len(run) <= REMEMBERED_LENGTH else split(run) for run in text.split(" "))
+
+        done = [
+            pa.array([None if text is None else tokens_of(text) for text in part.to_pylist()], pa.string()) for part in text_slices(texts)
+        ]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
 
     return lambda text: F.split(cut(F.array_join(split_runs(text), " ")), " ")
 

@@ -2,7 +2,9 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from reviewlens import schemas as S
 from reviewlens.functions import patterns as P
@@ -163,3 +165,14 @@ def test_dictionary_tokens_without_words_and_plan(spark):
     assert words.dictionary_tokens(df, "x", empty, "i", min_len=1).count() == 7
     made = words.dictionary_tokens(df, "x", spark.createDataFrame([("ab", 3), ("cc", 2)], "word string, n long"), "i")
     assert sorted((r.i, r.token) for r in made.collect()) == [(1, "ab"), (1, "ab"), (1, "cc")]
+
+
+def test_texts_are_cut_a_slice_at_a_time_and_long_runs_are_not_remembered(spark, monkeypatch):
+    sizes = [len(s) for s in words.text_slices(pa.array(["a" * 10, None, "b" * 10, "c" * 50, "", "d"]), 20)]
+    assert sizes == [3, 1, 2] and list(words.text_slices(pa.array([], pa.string()))) == []
+    monkeypatch.setattr(words, "SLICE_BYTES", 30)
+    texts = ["电影" * 40 + " go 霸王别姬", "", None, "电影x", "霸王" * 100] * 3
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, x string").coalesce(1)
+    split = words.dictionary_splitter(df, ["霸王", "霸王别姬", "电影", "go"])
+    got = [r.t for r in df.select("i", split(F.col("x")).alias("t")).orderBy("i").collect()]
+    assert got == [["电影"] * 40 + ["go", "霸王别姬"], [""], None, ["电影", "x"], ["霸王"] * 100] * 3
