@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..functions.texts import delete_other
-from ..session import freeze, send_by_value
+from ..session import freeze, scratch_dir, send_by_value
 from .stats import ranked, row_count, value_counts
 
 send_by_value(__name__)
@@ -26,6 +26,8 @@ MAX_DICTIONARY_BYTES = 64 * 1024 * 1024
 SLICE_BYTES = 1 << 20
 REMEMBERED = 50_000
 REMEMBERED_LENGTH = 64
+# How often a counted run is repeated at a time.
+REPEATS = 4096
 SALTS = 16
 # A word with more than one in HOT_PART of all occurrences is dealt out; there are at most HOT_PART such words.
 HOT_PART = 4096
@@ -103,25 +105,38 @@ def dictionary_splitter(df: DataFrame, dictionary: Iterable[str]) -> Splitter:
     return lambda text: F.split(cut(F.array_join(split_runs(text), " ")), " ")
 
 
-def best_route(run: str, found: Sequence[tuple[int, int, float]], total: float) -> list[str]:
-    """``run`` cut along the words (start, size, frequency) whose frequencies' product is largest; ties to the longer word.
+def best_routes(lengths: np.ndarray, owner: np.ndarray, start: np.ndarray, size: np.ndarray, share: np.ndarray, alone: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the words along which many runs are cut, so that the sum of their ``share`` is largest; ties to the longer word.
 
-    A character that is no word of its own counts as one occurrence among ``total``.
+    ``lengths`` are those of the runs; run ``owner`` has a word of ``size`` at ``start`` (from 0) with the logarithm ``share``. A character
+    that is no word of its own has ``alone``. Returns where each run's places begin, and by the place ``r`` characters from
+    the end of a run the size of the word that starts there. All runs are worked on together, a place after the other from their ends.
     """
-    starting: dict[int, list[tuple[int, float]]] = {}
-    for start, size, frequency in found:
-        starting.setdefault(start, []).append((size, frequency))
-    best: list[tuple[float, int]] = [(0.0, 0)] * (len(run) + 1)
-    for at in range(len(run) - 1, -1, -1):
-        steps = starting.get(at, [])
-        single = next((f for size, f in steps if size == 1), 1.0)
-        options = [(1, single), *(s for s in steps if s[0] > 1)]
-        best[at] = max((math.log(max(f, 1.0) / total) + best[at + size][0], size) for size, f in options)
-    out, at = [], 0
-    while at < len(run):
-        out.append(run[at : at + best[at][1]])
-        at += best[at][1]
-    return out
+    first = np.concatenate(([0], np.cumsum(lengths + 1)))
+    best, step = np.zeros(first[-1]), np.ones(first[-1], np.int64)
+    single = np.full(first[-1], alone)
+    rest = lengths[owner] - start
+    one = size == 1
+    single[first[owner[one]] + rest[one]] = share[one]
+    order = np.flatnonzero(~one)
+    order = order[np.argsort(rest[order], kind="stable")]
+    at, back, value, rest = first[owner[order]] + rest[order], size[order], share[order], rest[order]
+    long_first = np.argsort(-lengths, kind="stable")
+    starts = first[long_first]
+    longest = int(lengths.max(initial=0))
+    running = np.searchsorted(-lengths[long_first], -np.arange(1, longest + 1), side="right")
+    bounds = np.searchsorted(rest, np.arange(1, longest + 2))
+    for r in range(1, longest + 1):
+        places = starts[: running[r - 1]] + r
+        best[places] = single[places] + best[places - 1]
+        a, b = bounds[r - 1], bounds[r]
+        if a < b:
+            spots, sizes = at[a:b], back[a:b]
+            sums = value[a:b] + best[spots - sizes]
+            np.maximum.at(best, spots, sums)
+            top = sums == best[spots]
+            np.maximum.at(step, spots[top], sizes[top])
+    return first, step
 
 
 def run_words(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: str = "word", frequency: str = "n") -> DataFrame:
@@ -132,6 +147,10 @@ def run_words(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: st
     """
     distinct = runs.select(F.col(run).alias("run")).where(F.length("run") > 0).distinct()
     known = dictionary.groupBy(F.col(word).alias("word")).agg(F.sum(frequency).cast("double").alias("frequency"))
+    # written, so that its size is known when the join is planned: a small one spares the substrings a shuffle
+    path = scratch_dir(known.sparkSession, "dictionary")
+    known.write.parquet(path)
+    known = known.sparkSession.read.schema(known.schema).parquet(path)
     facts = known.agg(F.struct(F.max(F.length("word")).alias("longest"), F.sum("frequency").alias("total")).alias("facts")).scalar()
     starts = distinct.select("run", F.explode(F.sequence(F.lit(1), F.length("run"))).alias("start"))
     most = F.least(F.coalesce(facts.getField("longest"), F.lit(1)), F.length("run") - F.col("start") + 1)
@@ -144,11 +163,25 @@ def run_words(runs: DataFrame, dictionary: DataFrame, run: str = "run", word: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            listed = [
-                best_route(run_, [(w["start"] - 1, w["size"], w["frequency"]) for w in found or ()], whole)
-                for run_, found, whole in zip(*(batch.column(c).to_pylist() for c in ("run", "found", "total")), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(listed, pa.list_(pa.string()))], names=["run", "words"])
+            if not batch.num_rows:
+                continue
+            whole = batch.column("total")[0].as_py()
+            lengths = pc.utf8_length(batch.column("run")).to_numpy(zero_copy_only=False).astype(np.int64)
+            found = batch.column("found")
+            owner = np.repeat(np.arange(batch.num_rows), pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))
+            start, size, count = (pc.struct_field(found.flatten(), i).to_numpy(zero_copy_only=False) for i in range(3))
+            counts, which = np.unique(count, return_inverse=True)
+            share = np.array([math.log(max(f, 1.0) / whole) for f in counts.tolist()])[which]
+            first, step = best_routes(lengths, owner, start.astype(np.int64) - 1, size.astype(np.int64), share, math.log(1.0 / whole))
+            words, ends = [], [0]
+            for run_, base, left in zip(batch.column("run").to_pylist(), first.tolist(), lengths.tolist(), strict=False):
+                steps, at = step[base : base + left + 1].tolist(), 0
+                while at < left:
+                    words.append(run_[at : at + steps[left - at]])
+                    at += steps[left - at]
+                ends.append(len(words))
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(words, pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column("run"), listed], names=["run", "words"])
 
     return rows.mapInArrow(cut, "run string, words array<string>")
 
@@ -157,10 +190,19 @@ def dictionary_tokens(
     df: DataFrame, col: str, dictionary: DataFrame, *ids: str, keep: str = P.KEEP_MIXED, min_len: int = 2, word: str = "word",
     frequency: str = "n",
 ) -> DataFrame:
-    """(ids, token): as ``tokens`` with the best route through a dictionary table. Every distinct run is cut once."""
+    """(ids, token): as ``tokens`` with the best route through a dictionary table. Every distinct run is cut once.
+
+    The texts are read once; a run that repeats under the same ids is counted, joined as one row and repeated afterwards, in
+    arrays of at most ``REPEATS``.
+    """
     runs = df.select(*ids, F.explode(split_runs(delete_other(F.col(col), keep))).alias("run"))
-    met = runs.join(run_words(runs, dictionary, "run", word, frequency), "run")
-    return met.select(*ids, F.explode("words").alias("token")).where(F.length("token") >= min_len)
+    times, part = "__times", "__part"
+    counted = freeze(runs.groupBy(*ids, "run").agg(F.count(F.lit(1)).alias(times)))
+    met = counted.join(run_words(counted, dictionary, "run", word, frequency), "run")
+    cut = met.select(*ids, times, F.explode("words").alias("token")).where(F.length("token") >= min_len)
+    parts = cut.select(*ids, "token", times, F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / REPEATS))).alias(part))
+    here = F.least(F.lit(REPEATS), F.col(times) - F.col(part) * REPEATS).cast("int")
+    return parts.select(*ids, "token", F.explode(F.sequence(F.lit(1), here)).alias(part)).select(*ids, "token")
 
 
 def tokens(

@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +177,30 @@ def test_texts_are_cut_a_slice_at_a_time_and_long_runs_are_not_remembered(spark,
     split = words.dictionary_splitter(df, ["霸王", "霸王别姬", "电影", "go"])
     got = [r.t for r in df.select("i", split(F.col("x")).alias("t")).orderBy("i").collect()]
     assert got == [["电影"] * 40 + ["go", "霸王别姬"], [""], None, ["电影", "x"], ["霸王"] * 100] * 3
+
+
+def test_dictionary_tokens_read_the_texts_once_and_repeat_counted_runs(spark, monkeypatch):
+    monkeypatch.setattr(words, "REPEATS", 3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(1, "abab cc"), (1, "abab"), (None, "abab x"), (2, None)] * 7, "i int, x string").mapInArrow(passed, "i int, x string")
+    made = words.dictionary_tokens(df, "x", spark.createDataFrame([("ab", 3), ("cc", 2)], "word string, n long"), "i", min_len=1)
+    got = Counter((r.i, r.token) for r in made.collect())
+    assert got == {(1, "ab"): 28, (1, "cc"): 7, (None, "ab"): 14, (None, "x"): 7}
+    assert seen.value == 28
+
+
+def test_routes_of_many_runs_at_once():
+    log = [math.log(x) for x in (0.5, 0.2, 0.1)]
+    # "abc" with b (0.5), ab (0.2), bc (0.1); "d" without words; "ab" where the longer word ties with its parts
+    first, step = words.best_routes(
+        np.array([3, 1, 2]), np.array([0, 0, 0, 2]), np.array([1, 0, 1, 0]), np.array([1, 2, 2, 2]),
+        np.array([*log, 2 * math.log(0.01)]), math.log(0.01),
+    )
+    assert first.tolist() == [0, 4, 6, 9]
+    assert step[[3, 1]].tolist() == [2, 1] and step[5] == 1 and step[8] == 2
