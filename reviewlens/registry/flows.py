@@ -196,7 +196,7 @@ def stream_gather(spark, sf):
     """Pages of each supplier's lines, one batch a page number, held in state until a supplier is complete; stopped and started again for each."""
     root = scratch_dir(spark, "gather")
     order = ["l_orderkey", "l_partkey", "l_shipdate", "l_extendedprice"]
-    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", *order)
+    lines = table(spark, sf, "lineitem").select("l_suppkey", "l_linenumber", *order).where("l_suppkey is not null")
     lines = lines.withColumn("read_at", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("l_linenumber") * 86_400))
 
     def run():

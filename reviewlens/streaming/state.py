@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -47,18 +46,17 @@ class PageGatherer(StatefulProcessor):
         self.rows = handle.getListState("rows", self.schema)
         self.progress = handle.getValueState("progress", "page int, held int, closed boolean, due long")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        came = pd.concat(list(rows), ignore_index=True)
-        came = came[came[self.page] <= self.max_pages]
-        if not len(came):
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        came = [row for row in rows if row[self.page] <= self.max_pages]
+        if not came:
             return
         page, held, closed, due = self.progress.get() or (0, 0, False, -1)
         if not closed:
-            fresh = came.sort_values([self.page, *self.order], kind="stable").head(self.cap - held)
-            if len(fresh):
-                self.rows.appendList([tuple(r) for r in fresh[self.schema.names].astype(object).itertuples(index=False)])
-            held, page = held + len(fresh), max(page, int(came[self.page].max()))
-        later = int(came[self.event_time].max().timestamp() * 1000) + self.idle_ms
+            fresh = sorted(came, key=self._place)[: self.cap - held]
+            if fresh:
+                self.rows.appendList([tuple(row[name] for name in self.schema.names) for row in fresh])
+            held, page = held + len(fresh), max(page, *(row[self.page] for row in came))
+        later = int(max(row[self.event_time] for row in came).timestamp() * 1000) + self.idle_ms
         if later > due:
             if due >= 0:
                 self.handle.deleteTimer(due)
@@ -66,21 +64,26 @@ class PageGatherer(StatefulProcessor):
             due = later
         if not closed and (held >= self.cap or page >= self.max_pages):
             closed = True
-            yield self._handed_out()
+            yield from self._handed_out()
             self.rows.clear()
         self.progress.update((page, held, closed, due))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+    def _place(self, row: Row) -> list[tuple]:
+        """Page order, then ``order``; NaN after numbers, NULL last."""
+        return [(row[c] is None, row[c] != row[c], row[c]) for c in (self.page, *self.order)]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
         state = self.progress.get()
         if state is None or state[3] > expiredTimerInfo.getExpiryTimeInMs():
             return
         if not state[2]:
-            yield self._handed_out()
+            yield from self._handed_out()
         self.rows.clear()
         self.progress.clear()
 
-    def _handed_out(self) -> pd.DataFrame:
-        return pd.DataFrame(list(self.rows.get()), columns=self.schema.names)
+    def _handed_out(self) -> list[Row]:
+        named = Row(*self.schema.names)
+        return [named(*values) for values in self.rows.get()]
 
     def close(self) -> None:
         pass
@@ -101,6 +104,6 @@ def gather_pages(
     timed, schema = stream.withWatermark(event_time, delay), stream.schema
     timed = timed.where(F.when(F.col(page) <= max_pages, F.col(event_time).isNotNull()).otherwise(F.lit(False)))
     gatherer = PageGatherer(schema, list(keys), page, list(order_by), event_time, cap, max_pages, int(idle_hours * 3_600_000))
-    return timed.groupBy(*keys).transformWithStateInPandas(
+    return timed.groupBy(*keys).transformWithState(
         statefulProcessor=gatherer, outputStructType=schema, outputMode="Append", timeMode="EventTime"
     )

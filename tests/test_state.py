@@ -182,3 +182,14 @@ def test_a_delivery_is_written_by_all_tasks_and_taken_as_one_batch(spark, tmp_pa
 
     _deliver(rows, folder, F.col("part"), range(3), run)
     assert batches == [(0, 4, [0], 134), (1, 4, [1], 133), (2, 4, [2], 133)]
+
+
+def test_gathered_pages_keep_nulls_and_large_numbers(spark, tmp_path):
+    schema = "key string, page int, place long, at timestamp, seen timestamp"
+    large = (1 << 60) + 1
+    put(spark, tmp_path / "in", 0, [("a", 1, None, day(1), None), ("a", 1, large, day(1), day(0)), ("a", 1, 2, day(1), None)], schema)
+    put(spark, tmp_path / "in", 1, [("a", 2, large + 2, day(2), None), ("a", 3, None, day(2), None)], schema)
+    gathered = state.gather_pages(opened(spark, tmp_path / "in", schema), ["key"], "page", ["place"], "at", idle_hours=36, cap=3)
+    flows.to_files(gathered, str(tmp_path / "out"), str(tmp_path / "c"), state.GATHER_SETTINGS).awaitTermination()
+    got = [(r.page, r.place, r.seen) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert got == [(1, 2, None), (1, large, day(0)), (1, None, None)]
