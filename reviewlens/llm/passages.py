@@ -6,24 +6,27 @@ stretches without one, and every window needs one.) So each window of ``length``
 smallest value, and equal windows have it at the same place. The phrase of a trigger is the text of
 all windows that belong to it; a document is the sequence of its phrases.
 
-Dictionary. Phrases are sorted by trigger and digest over all tasks, equal ones by document and offset. Every
-phrase but the first of its kind repeats all its windows. The first one needs a closer look only where its
-trigger starts another phrase of the dictionary as well.
-
-Order. Those distinct phrases get their bytes and are sorted by trigger again. Each block of them gets a
-suffix array of its dictionary, to a depth of ``length`` bytes: suffixes with a common prefix of that length are one
-class, and all but the first in corpus order are repeats. Triggers whose phrases lie in several blocks meet by
-digests of the first of each class. A phrase carries its text to the end of its last window, so the parse
-needs no order beyond that of documents and offsets.
+Dictionary. Phrases meet by trigger, are sorted by trigger and digest in each task, equal ones by document and offset.
+Every phrase but the first of its kind repeats all its windows. The first one needs a closer look only where its
+trigger starts another phrase of the dictionary as well. Triggers that a part of the texts shows to be frequent are dealt
+out by digest too; their first phrases all get the closer look.
+
+Order. Those distinct phrases get their bytes and meet by trigger again. Blocks of whole triggers get a
+suffix array of their dictionary, to a depth of ``length`` bytes: suffixes with a common prefix of that length are one
+class, and all but the first in corpus order are repeats. A trigger whose phrases do not fit into a block is parsed
+once more: each phrase is cut into pieces of fewer windows, and the text common to all windows of a piece, longer than
+the trigger was, is the piece's trigger. A piece of one window is its own trigger, so that this ends.
+A phrase carries its text to the end of its last window, so the parse needs no order beyond that of documents and offsets.
 
 Repeated windows of a document are merged and cut out of its bytes. Texts are shuffled once, into a bucketed
-table that both later readings of the bytes join without another shuffle.
+table that all later readings of the bytes join without another shuffle.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,29 +34,56 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .common import Powers, byte_values, flat, join_hot, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans
+from .common import Powers, byte_values, flat, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans
 from .registry import QUERIES
 
 ship(__name__)
 
 LENGTH = 100
 GRAM = 20
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 4 << 20  # at most; a trigger gets half of it
+SUFFIX_BYTES = 1 << 17  # blocks of small triggers: their sorts stay in the processor's cache
+FINER = 8  # pieces have so many times fewer windows than the phrases they are cut from
+# Triggers found FREQUENT_LEAST times in one document of FREQUENT_PART, and at most FREQUENT_MOST of them, are dealt out.
+FREQUENT_PART, FREQUENT_LEAST, FREQUENT_MOST = 64, 64, 4096
+PHRASES = "trigger long, phrase long, u byte, k long, d long, low int, high int"
 KEY = ["u", "k", "d"]  # what tells documents apart, in corpus order
 
 
-def window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the leftmost smallest value of every ``width`` consecutive ones."""
+def minima_runs(values: np.ndarray, width: int, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of windows of ``width`` values that have one place as their leftmost smallest value: first window, that place.
+
+    A run never goes on over a window in ``begins``.
+    """
     count = len(values) - width + 1
     # doubling: the smallest of 1, 2, 4, ... values, then two overlapping stretches make up the width
-    place = np.arange(len(values))
-    span = 1
+    least, span = values, 1
     while 2 * span <= width:
-        left, right = place[: len(place) - span], place[span:]
-        place = np.where(values[right] < values[left], right, left)
+        least = np.minimum(least[:-span], least[span:])
         span *= 2
-    left, right = place[:count], place[width - span : width - span + count]
-    return np.where(values[right] < values[left], right, left)
+    least = np.minimum(least[:count], least[width - span : width - span + count])
+    leaves = values[:count] == least  # the smallest value is the window's first one
+    cut = np.empty(count, bool)
+    cut[0] = True
+    cut[1:] = (least[1:] != least[:-1]) | leaves[:-1]
+    cut[begins] = True
+    first = np.flatnonzero(cut)
+    last = np.append(first[1:] - 1, count - 1)
+    # known are places that end a run by leaving it and those that begin one by being smaller than all before
+    place = np.where(leaves[last], last, first + width - 1)
+    comes = np.zeros(len(first), bool)
+    comes[1:] = least[first[1:]] < least[first[1:] - 1]
+    seek = np.flatnonzero(~(comes | leaves[last]))
+    if len(seek):
+        windows = np.lib.stride_tricks.sliding_window_view(values, width)
+        place[seek] = first[seek] + np.argmin(windows[first[seek]], axis=1)
+    return first, place
+
+
+def window_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the leftmost smallest value of every ``width`` consecutive ones."""
+    first, place = minima_runs(values, width, np.zeros(0, np.int64))
+    return np.repeat(place, np.diff(np.append(first, len(values) - width + 1)))
 
 
 class Parser:
@@ -65,35 +95,38 @@ class Parser:
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         """Per phrase: row, first and last window start inside the text, and two hashes (trigger bytes, whole phrase)."""
-        rows, low, high, spots = [], [], [], []
-        sums = prefix_hash(self.values[0][data], self.powers)
-        others = prefix_hash(self.values[1][data], self.powers)
-        size = len(data) - self.gram + 1
-        if size > 0:
-            at = np.arange(size)
-            grams = span_hash(sums, at, at + self.gram, self.powers)
-        for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-            if b - a < self.length:
-                continue
-            spot = window_minima(grams[a : b - self.gram + 1], self.length - self.gram + 1)
-            first = np.flatnonzero(np.concatenate(([True], spot[1:] != spot[:-1])))
-            rows.append(np.full(len(first), row))
-            low.append(first)
-            high.append(np.concatenate((first[1:] - 1, [len(spot) - 1])))
-            spots.append(spot[first])
-        if not rows:
+        long = np.flatnonzero(np.diff(offsets) >= self.length)
+        if not len(long):
             none = np.zeros(0, np.int64)
             return {k: none for k in ("row", "low", "high", "spot", "trigger", "phrase")}
-        row, low_, high_, spot_ = map(np.concatenate, (rows, low, high, spots))
+        sums, others = self.sums(data)
+        size = len(data) - self.gram + 1
+        _, down = self.powers.get(len(sums))
+        grams = mix((sums[self.gram :] - sums[:size]) * down[:size] + np.uint64(self.gram))
+        count = len(data) - self.length + 1
+        # runs of all windows of the slice, cut where a text begins and where its last window has been
+        ends = offsets[long + 1] - self.length + 1
+        begins = np.concatenate((offsets[long], ends[ends < count]))
+        first, spot = minima_runs(grams, self.length - self.gram + 1, begins)
+        last = np.append(first[1:] - 1, count - 1)
+        row = np.searchsorted(offsets, first, side="right") - 1
+        within = first <= offsets[row + 1] - self.length
+        first, last, spot, row = first[within], last[within], spot[within], row[within]
         base = offsets[row]
-        # how the windows lie around the trigger is part of the phrase
-        whole = span_hash(others, base + low_, base + high_ + self.length, self.powers)
-        shape = mix((spot_ - low_).astype(np.uint64) * np.uint64(1 << 32) + (high_ - low_).astype(np.uint64))
         return {
-            "row": row, "low": low_, "high": high_, "spot": spot_,
-            "trigger": grams[base + spot_].view(np.int64), "phrase": (whole ^ shape).view(np.int64),
+            "row": row, "low": first - base, "high": last - base, "spot": spot - base,
+            "trigger": grams[spot].view(np.int64), "phrase": self.digest(others, first, last, spot),
         }
 
+    def sums(self, data: np.ndarray) -> list[np.ndarray]:
+        return [prefix_hash(np.take(v, data), self.powers) for v in self.values]
+
+    def digest(self, sums: np.ndarray, first: np.ndarray, last: np.ndarray, spot: np.ndarray) -> np.ndarray:
+        """Hash of the text of some windows; how they lie around the trigger is part of it."""
+        whole = span_hash(sums, first, last + self.length, self.powers)
+        shape = mix((spot - first).astype(np.uint64) * np.uint64(1 << 32) + (last - first).astype(np.uint64))
+        return (whole ^ shape).view(np.int64)
+
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(u, k, d, text): 1 for a NULL id and 0 for others, the id, and 64 bits that tell texts of one id apart.
@@ -107,12 +140,36 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
-    """(trigger, phrase, u, k, d, low, high) of every phrase.
+def _told(columns: list[np.ndarray]) -> pa.RecordBatch:
+    """Phrases of one batch, as columns of PHRASES; of equal phrases only the first can be the first of all.
 
-    Of equal phrases in one batch only the first can be the first of all; the others get NULL as phrase and
-    a trigger of their own, so that a phrase of very many documents does not gather in one task.
+    The others get NULL as phrase and a trigger of their own, so that a phrase of very many documents does not gather in one task.
     """
+    trigger = columns[0]
+    order = np.argsort(trigger)
+    t = trigger[order]
+    tie = np.zeros(len(order), bool)
+    tie[1:] = t[1:] == t[:-1]
+    tie[:-1] |= tie[1:]
+    some = order[tie]
+    order[tie] = some[np.lexsort([c[some] for c in columns[5::-1]])]
+    columns = [c[order] for c in columns]
+    # rows that repeat an id and its text are one document
+    again = np.zeros(len(order), bool)
+    again[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns[:6]])
+    trigger, phrase, u, k, d, low, high = (c[~again] for c in columns)
+    later = np.zeros(len(trigger), bool)
+    later[1:] = (trigger[1:] == trigger[:-1]) & (phrase[1:] == phrase[:-1])
+    spread = mix((k * 31 + low).astype(np.uint64)).view(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.where(later, spread, trigger)), pa.array(phrase, mask=later), pa.array(u), pa.array(k), pa.array(d),
+         pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))],
+        names=["trigger", "phrase", *KEY, "low", "high"],
+    )
+
+
+def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+    """(trigger, phrase, u, k, d, low, high) of every phrase, see ``_told``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parser = Parser(length, gram)
@@ -127,42 +184,66 @@ def _phrases(keyed: DataFrame, length: int, gram: int) -> DataFrame:
                     for name, values in one.items():
                         found.setdefault(name, []).append(values)
                 got = {name: np.concatenate(values) for name, values in found.items()}
-                u, k, d = (part.column(c).to_numpy()[got["row"]] for c in KEY)
-                order = np.lexsort((got["low"], d, k, u, got["phrase"], got["trigger"]))
-                # rows that repeat an id and its text are one document
-                again = np.ones(max(len(order) - 1, 0), bool)
-                for column in (got["trigger"], got["phrase"], u, k, d, got["low"]):
-                    again &= column[order[1:]] == column[order[:-1]]
-                kept = np.sort(np.concatenate((order[:1], order[1:][~again])))
-                got = {name: values[kept] for name, values in got.items()}
-                u, k, d = u[kept], k[kept], d[kept]
-                order = np.lexsort((got["low"], d, k, u, got["phrase"], got["trigger"]))
-                t, p = got["trigger"][order], got["phrase"][order]
-                later = np.zeros(len(order), bool)
-                later[order[1:]] = (t[1:] == t[:-1]) & (p[1:] == p[:-1])
-                spread = mix((k * 31 + got["low"]).astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.where(later, spread, got["trigger"])), pa.array(got["phrase"], mask=later), pa.array(u), pa.array(k), pa.array(d),
-                     pa.array(got["low"].astype(np.int32)), pa.array(got["high"].astype(np.int32))],
-                    names=["trigger", "phrase", *KEY, "low", "high"],
-                )
+                key = [part.column(c).to_numpy()[got["row"]] for c in KEY]
+                yield _told([got["trigger"], got["phrase"], *key, got["low"], got["high"]])
+
+    return keyed.mapInArrow(run, PHRASES)
+
 
-    return keyed.mapInArrow(run, "trigger long, phrase long, u byte, k long, d long, low int, high int")
+def _pieces(opened: DataFrame, length: int, gram: int, width: int) -> DataFrame:
+    """Phrases (trigger, u, k, d, low, bytes) cut into pieces of ``width`` windows at most, as PHRASES; see ``_told``.
 
+    Windows go to a piece by their distance from the phrase's trigger, so equal windows lie in pieces with the same common text.
+    """
 
-def _repeats(phrases: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parser = Parser(length, gram)
+        for batch in batches:
+            for part in slices(batch, "bytes"):
+                data, offsets = flat(part.column("bytes"))
+                phrase = parser.phrases(data, offsets)  # one of each row
+                sums, others = parser.sums(data)
+                near, far = (phrase["spot"] - phrase["high"]) // width, phrase["spot"] // width
+                row = np.repeat(np.arange(part.num_rows), far - near + 1)
+                ends = np.cumsum(far - near + 1)
+                step = (near[row] + np.arange(len(row)) - np.repeat(np.append(0, ends[:-1]), far - near + 1)) * width
+                spot = phrase["spot"][row]
+                first = np.maximum(spot - step - width + 1, 0)
+                last = np.minimum(spot - step, phrase["high"][row])
+                base = offsets[row]
+                at = base + spot - step  # where the piece's last window begins, were it whole
+                core = span_hash(sums, at, at - width + 1 + length, parser.powers).view(np.int64)
+                digest = parser.digest(others, base + first, base + last, base + spot - step)
+                u, k, d, low = (part.column(c).to_numpy()[row] for c in (*KEY, "low"))
+                yield _told([core, digest, u, k, d, low + first, low + last])
+
+    return opened.mapInArrow(run, PHRASES)
+
+
+def _part(rows: DataFrame) -> DataFrame:
+    """The rows of one document of FREQUENT_PART."""
+    return rows.where(F.pmod(F.xxhash64(F.lit("part"), "k", "d"), F.lit(FREQUENT_PART)) == 0)
+
+
+def _frequent(phrases: DataFrame) -> list[int]:
+    """The most frequent triggers among phrases of a part of the documents. They only say how rows are dealt out."""
+    found = phrases.where("phrase is not null").groupBy("trigger").count().where(F.col("count") >= FREQUENT_LEAST)
+    return [r.trigger for r in found.orderBy(F.desc("count"), "trigger").limit(FREQUENT_MOST).collect()]
+
+
+def _repeats(phrases: DataFrame, frequent: list[int]) -> DataFrame:
     """(u, k, d, low, high, trigger) of phrases that repeat an earlier one (trigger NULL) or are open (trigger given); stored.
 
-    Open are the first of their kind whose trigger has another phrase. At the borders of a partition that
-    cannot be told, and counts as open too.
+    Open are the first of their kind whose trigger has another phrase. For a ``frequent`` trigger, whose kinds lie in
+    several tasks, that is not asked, and all of them count as open.
     """
-    order = ["trigger", "phrase", *KEY, "low"]
-    ranged = phrases.repartitionByRange("trigger", "phrase").sortWithinPartitions(*order)
+    dealt = [F.when(F.col("trigger").isin(frequent), F.col("phrase"))] if frequent else []
+    met = phrases.repartition("trigger", *dealt).sortWithinPartitions("trigger", "phrase", *KEY, "low")
+    marked = np.array(frequent, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = ()  # class, document and offset of the row before
         held = None  # the last first-of-its-kind, open if the next one has its trigger: (row, open)
-        edge = True
         names = [*KEY, "low", "high", "trigger"]
         types = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
 
@@ -204,21 +285,20 @@ def _repeats(phrases: DataFrame) -> DataFrame:
                 continue
             if held is not None:
                 kinds = [np.concatenate(([h], c)) for h, c in zip(held[0], kinds, strict=True)]
-            open_ = np.zeros(len(kinds[5]), bool)
+            open_ = np.isin(kinds[5], marked)
             same = kinds[5][1:] == kinds[5][:-1]
             open_[1:] |= same
             open_[:-1] |= same
-            open_[0] |= edge if held is None else held[1]
-            edge = False
+            open_[0] |= held is not None and held[1]
             held = ([c[-1] for c in kinds], bool(open_[-1]))
             tell = open_.copy()
             tell[-1] = False
             if tell.any():
                 yield out([c[tell] for c in kinds], np.zeros(int(tell.sum()), bool))
-        if held is not None:
+        if held is not None and held[1]:
             yield out([np.array([h]) for h in held[0]], np.zeros(1, bool))
 
-    return stored(ranged.mapInArrow(run, "u byte, k long, d long, low int, high int, trigger long"), "repeats")
+    return stored(met.mapInArrow(run, "u byte, k long, d long, low int, high int, trigger long"), "repeats")
 
 
 def suffix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,95 +323,66 @@ def suffix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[n
     return order, fresh
 
 
-class Block:
-    """Distinct phrases in the order of their triggers, gathered until a block is full."""
-
-    def __init__(self) -> None:
-        self.parts: list[pa.RecordBatch] = []
-        self.bytes = 0
-
-    def add(self, part: pa.RecordBatch) -> None:
-        self.parts.append(part)
-        self.bytes += part.column("bytes").nbytes
-
-    def take(self) -> pa.Table:
-        whole = pa.Table.from_batches(self.parts).combine_chunks()
-        self.parts, self.bytes = [], 0
-        return whole
-
-
 def _windows(opened: DataFrame, length: int) -> DataFrame:
-    """Of open phrases (trigger, u, k, d, low, bytes): repeated windows (u, k, d, low, high) and, with h1 and h2, first ones
-    of triggers that may go on in another block; stored."""
-    ranged = opened.repartitionByRange("trigger", "k").sortWithinPartitions("trigger", "k")
-    schema = "u byte, k long, d long, low int, high int, h1 long, h2 long"
+    """Of open phrases (trigger, u, k, d, low, bytes), where no trigger has more than half of BLOCK_BYTES: repeated windows (u, k, d, low, high)."""
+    met = opened.repartition("trigger").sortWithinPartitions("trigger")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values = Powers(), [byte_values(seed) for seed in (3, 4)]
-
-        def judged(block: pa.Table, border: set[int]) -> pa.RecordBatch:
+        def judged(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            block = pa.Table.from_batches(parts)
+            # in corpus order; rows that repeat an id and its text are one document
+            places = [block.column(c).to_numpy() for c in (*KEY, "low")]
+            sort = np.lexsort(places[::-1])
+            moves = np.ones(len(sort), bool)
+            moves[1:] = np.logical_or.reduce([c[sort][1:] != c[sort][:-1] for c in places])
+            block = block.take(pa.array(sort[moves])).combine_chunks()
             data, offsets = flat(block.column("bytes").combine_chunks())
-            trigger, u, k, d, low = (block.column(c).to_numpy() for c in ("trigger", *KEY, "low"))
+            u, k, d, low = (block.column(c).to_numpy() for c in (*KEY, "low"))
             windows = np.diff(offsets) - length + 1
             row = np.repeat(np.arange(len(k)), windows)
-            at = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
-            starts = offsets[row] + at - low[row]
-            order, fresh = suffix_classes(data, starts, length)
+            inner = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+            order, fresh = suffix_classes(data, offsets[row] + inner, length)
             # in each class of the suffix array the first in corpus order stays
-            places = [u[row], k[row], d[row], at]
-            sort = np.lexsort(places[::-1])
-            moves = np.zeros(len(row), bool)
-            for c in places:
-                moves[1:] |= c[sort][1:] != c[sort][:-1]
-            corpus = np.empty(len(row), np.int64)
-            corpus[sort] = np.cumsum(moves)
-            group = np.cumsum(fresh) - 1
-            least = np.full(int(group[-1]) + 1 if len(group) else 0, len(row), np.int64)
-            np.minimum.at(least, group, corpus[order])
-            repeated = np.zeros(len(row), bool)
-            repeated[order] = corpus[order] > least[group]
+            repeated = np.ones(len(row), bool)
+            repeated[np.minimum.reduceat(order, np.flatnonzero(fresh))] = False
             runs, ends = word_spans(repeated, np.concatenate(([0], np.cumsum(windows))))
-            cut = np.isin(trigger, np.fromiter(border, np.int64, len(border)))[row] & ~repeated
-            which = starts[cut]
-            h = [span_hash(prefix_hash(v[data], powers), which, which + length, powers).view(np.int64) for v in values]
-            none = np.ones(len(runs), bool)
-            arrays = [pa.array(np.concatenate((c[row[runs]], c[row[cut]]))) for c in (u, k, d)]
-            arrays += [pa.array(np.concatenate((c, at[cut])).astype(np.int32)) for c in (at[runs], at[ends - 1])]
-            mask = np.concatenate((none, np.zeros(int(cut.sum()), bool)))
-            pad = np.zeros(len(runs), np.int64)
-            arrays += [pa.array(np.concatenate((pad, x)), mask=mask) for x in h]
-            return pa.RecordBatch.from_arrays(arrays, names=[*KEY, "low", "high", "h1", "h2"])
-
-        block, border, seen = Block(), set(), None
+            at = low[row] + inner
+            arrays = [pa.array(c[row[runs]]) for c in (u, k, d)] + [pa.array(c.astype(np.int32)) for c in (at[runs], at[ends - 1])]
+            return pa.RecordBatch.from_arrays(arrays, names=[*KEY, "low", "high"])
+
+        held: list[pa.RecordBatch] = []  # the last trigger may go on
+        seen = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            trigger = batch.column("trigger").to_numpy()
-            if seen is None:
-                border.add(int(trigger[0]))
-            for part in slices(batch, "bytes", BLOCK_BYTES // 2):
-                own = part.column("trigger").to_numpy()
-                if block.bytes >= BLOCK_BYTES // 2:
-                    # a trigger that goes on in the next block is judged by digests as well
-                    if int(own[0]) == seen:
-                        border.add(seen)
-                    yield judged(block.take(), border)
-                    border = {int(own[0])} if int(own[0]) == seen else set()
-                block.add(part)
-                seen = int(own[-1])
-        if block.parts:
-            yield judged(block.take(), border | {seen})
-
-    return stored(ranged.mapInArrow(run, schema), "windows")
-
-
-def _across_blocks(windows: DataFrame) -> DataFrame:
-    """(u, k, d, low, high) of windows whose first occurrence lies in another block."""
-    rows = windows.where("h1 is not null").select("h1", "h2", *KEY, F.col("low").alias("at"))
-    place = F.struct(*KEY, "at")
-    firsts = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("found")).where("found > 1")
-    met = join_hot(rows, stored(firsts, "firsts"), ["h1", "h2"], "found", "k")
-    return met.where(place != F.col("first")).select(*KEY, F.col("at").alias("low"), F.col("at").alias("high"))
+            for part in slices(batch, "bytes", SUFFIX_BYTES):
+                trigger = part.column("trigger").to_numpy()
+                begin = int(np.searchsorted(trigger, trigger[-1]))
+                if held and (begin or trigger[0] != seen):
+                    yield judged([*held, part.slice(0, begin)])
+                    held = []
+                elif begin:
+                    yield judged([part.slice(0, begin)])
+                held.append(part.slice(begin))
+                seen = trigger[-1]
+        if held:
+            yield judged(held)
+
+    return met.mapInArrow(run, "u byte, k long, d long, low int, high int")
+
+
+def _opened(texts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
+    """(trigger, u, k, d, low, bytes) of the phrases in ``rows`` (u, k, d, low, high, trigger)."""
+    wanted = rows.groupBy(*KEY).agg(F.collect_set(F.struct("trigger", "low", "high")).alias("open"))
+    found = texts.join(wanted, KEY).select(*KEY, F.encode("text", "utf-8").alias("all"), F.explode("open").alias("o"))
+    return found.select(
+        F.col("o.trigger").alias("trigger"), *KEY, F.col("o.low").alias("low"),
+        F.substring("all", F.col("o.low") + 1, F.col("o.high") - F.col("o.low") + length).alias("bytes"),
+    )
+
+
+def _large(rows: DataFrame, length: int) -> DataFrame:
+    """Triggers whose phrases do not fit into half a block, so at most two per BLOCK_BYTES of phrases; stored."""
+    size = F.sum(F.col("high") - F.col("low") + length)
+    return stored(rows.groupBy("trigger").agg(size.alias("size")).where(F.col("size") > BLOCK_BYTES // 2).select("trigger"), "large")
 
 
 def _bucketed(keyed: DataFrame) -> DataFrame:
@@ -356,18 +407,23 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if not 8 <= gram <= length:
         raise ValueError("gram must lie between 8 and length")
     texts = _bucketed(_keyed(docs, doc_id, text))
-    found = _repeats(_phrases(texts, length, gram))
-    wanted = found.where("trigger is not null").groupBy(*KEY).agg(F.collect_set(F.struct("trigger", "low", "high")).alias("open"))
-    opened = texts.join(wanted, KEY).select(*KEY, F.encode("text", "utf-8").alias("all"), F.explode("open").alias("o"))
-    opened = opened.select(
-        F.col("o.trigger").alias("trigger"), *KEY, F.col("o.low").alias("low"),
-        F.substring("all", F.col("o.low") + 1, F.col("o.high") - F.col("o.low") + length).alias("bytes"),
-    )
-    windows = _windows(opened, length)
-    spans = found.where("trigger is null").select(*KEY, "low", "high").unionByName(
-        windows.where("h1 is null").select(*KEY, "low", "high")
-    ).unionByName(_across_blocks(windows))
-    per_text = spans.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    found = _repeats(_phrases(texts, length, gram), _frequent(_phrases(_part(texts), length, gram)))
+    span = ["u", "k", "d", "low", "high"]
+    spans = found.where("trigger is null").select(*span)
+    opened, fitting, width = found.where("trigger is not null"), [], length - gram + 1
+    while width > 1 and not (large := _large(opened, length)).isEmpty():
+        fitting.append(opened.join(F.broadcast(large), "trigger", "left_anti"))
+        rest = opened.join(F.broadcast(large), "trigger", "left_semi")
+        width = max(1, width // FINER)
+        cut_up = [_pieces(_opened(texts, rows, length), length, gram, width) for rows in (rest, _part(rest))]
+        found = _repeats(cut_up[0], _frequent(cut_up[1]))
+        spans = spans.unionByName(found.where("trigger is null").select(*span))
+        opened = found.where("trigger is not null")
+    # pieces of one window have one kind for each trigger
+    if width > 1 or not fitting:
+        fitting.append(opened)
+    judged = _windows(_opened(texts, reduce(DataFrame.unionByName, fitting), length), length)
+    per_text = spans.unionByName(judged).groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

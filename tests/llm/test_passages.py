@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -97,3 +98,50 @@ def test_rows_whose_texts_share_thirty_bits(spark):
             either = [sorted(r[1:] for r in brute(list(enumerate(order)), 100)) for order in (pair, pair[::-1])]
             assert sorted((r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) in either
             assert [r.doc_id for r in got] == [name] * 2
+
+
+def around(passage, n):
+    """``passage`` in ``n`` texts, each time between other words."""
+    return [(i, prose(1000 + i, 40, 800) + passage + prose(5000 + i, 40, 800)) for i in range(n)]
+
+
+def test_triggers_beyond_a_block_make_no_row_per_window(spark, monkeypatch):
+    """A passage in very many texts: phrases at its ends differ, share a trigger and do not fit into one block."""
+    counts = []
+
+    def counted(df, label, stored=P.stored):
+        out = stored(df, label)
+        counts.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(P, "stored", counted)
+    rows = around(prose(9, 60, 800), 300)
+    for block in (4 << 20, 40_000, 2_000):
+        counts.clear()
+        monkeypatch.setattr(P, "BLOCK_BYTES", block)
+        check(P.remove_passages(frame(spark, rows)).collect(), rows, 100)
+        assert sum(n for _, n in counts) < 30 * len(rows)
+
+
+def test_frequent_triggers_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(P, "FREQUENT_PART", 1)
+    monkeypatch.setattr(P, "FREQUENT_LEAST", 2)
+    rows = made() + around(prose(9, 60, 800), 20)
+    for block in (P.BLOCK_BYTES, 4000):
+        monkeypatch.setattr(P, "BLOCK_BYTES", block)
+        check(P.remove_passages(frame(spark, rows)).collect(), rows, 100)
+
+
+def test_texts_are_parsed_once(spark, monkeypatch, tmp_path):
+    class Noted(P.Parser):
+        def phrases(self, data, offsets):
+            with open(f"{folder}/{os.getpid()}", "a") as out:
+                out.write(f"{len(data)}\n")
+            return super().phrases(data, offsets)
+
+    folder = str(tmp_path)
+    monkeypatch.setattr(P, "Parser", Noted)
+    rows = [(i, prose(i, 200, 800)) for i in range(200)]
+    check(P.remove_passages(frame(spark, rows)).collect(), rows, 100)
+    parsed = sum(int(line) for file in tmp_path.iterdir() for line in file.read_text().split())
+    assert parsed < 1.25 * sum(len(text.encode()) for _, text in rows)
