@@ -174,11 +174,14 @@ def join_hot(
 
     Keys above 1 / HOT_PART of all rows number HOT_PART at most, whatever the size of the tables, so
     they are broadcast to mark the rows that get a salt from the column ``spread``; ``keys`` repeats
-    those keys once per salt. All other keys join as they are.
+    those keys once per salt. All other keys join as they are; where no key is hot, nothing is broadcast or salted.
     """
     salt, hot, key_salt = fresh_name("salt"), fresh_name("hot"), fresh_name("salt")
-    total = keys.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
-    is_hot = F.col(count) > max(1, total // HOT_PART)
+    total, largest = keys.agg(F.coalesce(F.sum(count), F.lit(0)), F.coalesce(F.max(count), F.lit(0))).first()
+    border = max(1, total // HOT_PART)
+    if largest <= border:
+        return rows.join(keys, on, how)
+    is_hot = F.col(count) > border
     marks = keys.where(is_hot).select(*on, F.lit(True).alias(hot))
     dealt = F.when(F.col(hot), F.pmod(F.xxhash64(spread), F.lit(HOT_SALTS))).otherwise(F.lit(0))
     salted = rows.join(F.broadcast(marks), on, "left").withColumn(salt, dealt.cast("int")).drop(hot)

@@ -51,4 +51,14 @@ def components(links: DataFrame) -> DataFrame:
     if found is None:
         return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = found.select(F.col("root").alias("node"), "root").distinct()
-    return found.unionByName(roots.join(found.select("node"), "node", "left_anti"))
+    return stored(found.unionByName(roots.join(found.select("node"), "node", "left_anti")), "labels")
+
+
+def joined_components(found: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of ``components`` with more ``links`` (a, b) among its nodes or others; links work between roots only."""
+    a, b = (found.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}")) for x in "ab")
+    led = links.join(a, "a", "left").join(b, "b", "left")
+    merged = components(led.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    higher = merged.select(F.col("node").alias("root"), F.col("root").alias("higher"))
+    carried = found.join(higher, "root", "left").select("node", F.coalesce("higher", "root").alias("root"))
+    return carried.unionByName(merged.join(found.select("node"), "node", "left_anti"))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import (
     Powers, byte_values, flat, fresh_name, gram_hash, is_space, join_hot, lower_ascii, mix, prefix_hash, ship, slices, span_hash, stored, table, word_spans,
 )
-from .components import components
+from .components import components, joined_components
 from .registry import QUERIES
 
 ship(__name__)
@@ -163,9 +163,12 @@ def _by_differences(checked: DataFrame, percent: int) -> DataFrame:
     missed = stored(
         close.groupBy("pivot").agg(F.count(F.lit(1)).alias("found"), F.bool_and("linked").alias("all")).where("not all"), "missed"
     )
-    members = join_hot(close, missed, ["pivot"], "found", "a").select(
-        "pivot", F.col("a").alias("x"), F.col("n_a").alias("n"), "n_b", (F.col("n_b") - F.col("overlap")).alias("r"),
-        (F.col("n_a") - F.col("overlap")).alias("more"), "linked", "differs",
+    members = stored(
+        join_hot(close, missed, ["pivot"], "found", "a").select(
+            "pivot", F.col("a").alias("x"), F.col("n_a").alias("n"), "n_b", (F.col("n_b") - F.col("overlap")).alias("r"),
+            (F.col("n_a") - F.col("overlap")).alias("more"), "linked", "differs",
+        ),
+        "members",
     )
     entries = members.select("pivot", "x", F.explode("differs").alias("gram"))
     repeated = stored(entries.groupBy("pivot", "gram").agg(F.count(F.lit(1)).alias("found")).where("found > 1"), "differences")
@@ -216,9 +219,10 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     several = stored(
         lists.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "several"
     )
-    lists = stored(join_hot(lists, several, ["gram"], "length", "d1").drop("length"), "open")
+    open_lists = join_hot(lists, several, ["gram"], "length", "d1").drop("length")
+    listed = stored(open_lists.withColumn("block", _block(F.col("n"), percent)), "open")
     named = sets.groupBy("d1").agg(F.min(F.struct("doc_id", "t1", "t2")).alias("named"))
-    asked = stored(lists.select("d1").distinct().join(named, "d1"), "asked")
+    asked = stored(listed.select("d1").distinct().join(named, "d1"), "asked")
     # one text of each set that has candidates is read again for all of its n-grams
     first = asked.select("d1", F.col("named.doc_id").alias("doc_id"), F.col("named.t1").alias("t1"), F.col("named.t2").alias("t2"))
     same_row = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_t1") == F.col("t1")) & (F.col("own_t2") == F.col("t2"))
@@ -229,7 +233,6 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     whole = stored(whole.select("d1", "grams"), "sets")
 
     blocks = F.array(F.col("block"), F.col("block") - 1)
-    listed = stored(lists.withColumn("block", _block(F.col("n"), percent)), "listed")
     # pivots: in each block of a list (and the next one) the set with fewest n-grams of its own
     reach = listed.select("gram", "d1", "n", "p", "own", F.explode(blocks).alias("block"))
     pivots = stored(
@@ -249,11 +252,17 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     labels = components(links)
 
     # what is open: pairs of different pivots and components in one list that size and position allow
-    heads = checked.where("close").select(F.col("b").alias("d1")).distinct().withColumn("head", F.col("d1"))
-    groups = checked.where("close").select(F.col("a").alias("d1"), F.col("b").alias("pivot"))
-    named = listed.join(heads, "d1", "left").join(groups, "d1", "left").join(labels.withColumnRenamed("node", "d1"), "d1", "left")
-    named = named.select(
-        "gram", "block", "d1", "n", "p", F.coalesce("head", "pivot", "d1").alias("pivot"), F.coalesce("root", "d1").alias("label")
+    none = F.lit(None).cast("long")
+    heads = checked.where("close").select(F.col("b").alias("d1"), F.col("b").alias("head"), none.alias("pivot"), none.alias("root"))
+    groups = checked.where("close").select(F.col("a").alias("d1"), none.alias("head"), F.col("b").alias("pivot"), none.alias("root"))
+    rooted = labels.select(F.col("node").alias("d1"), none.alias("head"), none.alias("pivot"), "root")
+    # one value of each kind at most for a set, so that one join brings all three
+    known = heads.unionByName(groups).unionByName(rooted).groupBy("d1").agg(*(F.max(c).alias(c) for c in ("head", "pivot", "root")))
+    named = stored(
+        listed.join(known, "d1", "left").select(
+            "gram", "block", "d1", "n", "p", F.coalesce("head", "pivot", "d1").alias("pivot"), F.coalesce("root", "d1").alias("label")
+        ),
+        "labelled",
     )
     mixed = stored(
         named.groupBy("gram").agg(
@@ -289,7 +298,7 @@ def link_sets(docs: DataFrame, sets: DataFrame, doc_id: str, text: str, n: int,
     open_ = asking.join(right, ["gram", "pivot_b", "block_b"])
     open_ = open_.where((F.col("label_a") != F.col("label_b")) & _can_link(percent)).select("a", "b").distinct()
     last = _verified(_untested(open_, checked), whole, percent).where("linked").select("a", "b")
-    return components(links.unionByName(last))
+    return joined_components(labels, last)
 
 
 def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT) -> DataFrame:

@@ -1,9 +1,12 @@
 import random
 import re
 
+from reviewlens.llm import components as components_module
 from reviewlens.llm import jaccard
-from reviewlens.llm.components import components
+from reviewlens.llm.common import join_hot, stored
+from reviewlens.llm.components import components, joined_components
 from reviewlens.llm.jaccard import jaccard_classes, keep_one
+from reviewlens.session import settings_of
 
 from .util import SCHEMA, clashing, frame
 
@@ -109,3 +112,36 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     got = {tuple(r) for r in jaccard.op9_jaccard_join(spark, sf).collect()}
     assert got == set(brute(rows))
+
+
+def test_no_broadcast_without_hot_keys(spark):
+    rows = frame(spark, [(i % 9, i) for i in range(18)], "k long, v long")
+    for n, hot in ((1, False), (3, True)):
+        keys = frame(spark, [(i, n) for i in range(6)], "k long, n long")
+        with settings_of(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}):
+            joined = join_hot(rows, keys, ["k"], "n", "v")
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert joined.columns == ["k", "v", "n"] and ("BroadcastExchange" in plan) == hot
+            assert sorted(map(tuple, joined.collect())) == sorted((i % 9, i, n) for i in range(18) if i % 9 < 6)
+
+
+def test_more_links_join_components(spark):
+    rng = random.Random(2)
+    first = [(rng.randrange(400), rng.randrange(400)) for _ in range(150)]
+    more = [(rng.randrange(500), rng.randrange(500)) for _ in range(40)] + [(600, 601), (601, 601), (602, 602)]
+    found = components(frame(spark, first, "a long, b long"))
+    for links in (more, []):
+        got = joined_components(found, frame(spark, links, "a long, b long")).collect()
+        want = components(frame(spark, first + links, "a long, b long")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_components_are_not_made_twice(spark, monkeypatch):
+    """Sets that one pivot links leave no further pairs, so no link is followed after the first components."""
+    made = []
+    monkeypatch.setattr(components_module, "stored", lambda df, label: made.append(label) or stored(df, label))
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, " ".join([*base, *(f"x{i}_{k}" for k in range(i % 3))])) for i in range(30)]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_classes(frame(spark, rows)).collect()]
+    assert sorted(got) == sorted(brute(rows))
+    assert "roots" in made and "roots" not in made[made.index("labels") :]
